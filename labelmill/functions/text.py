@@ -29,6 +29,10 @@ _ODD = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 # A lone plain blank is left out: it would be replaced by itself.
 _WHITESPACE_RUN = rf"[{_ODD}][ {_ODD}]*| [ {_ODD}]+"
 
+# A paragraph worth quoting, and what is quoted where there is none.
+SUMMARY_MINIMUM = 50
+SUMMARY_FALLBACK = 200
+
 # The wording of a labelling request.
 REQUEST_OPENING = "다음 문서를 분석하여 메타데이터를 추출해주세요."
 REQUEST_FORMAT = "파일 형식: "
@@ -81,16 +85,18 @@ def strip_fences(answer: Column) -> Column:
     return strip(F.regexp_replace(body, r"```\z", ""))
 
 
-def summary_paragraph(text: Column, minimum: int = 50, fallback: int = 200) -> Column:
-    """First paragraph of at least ``minimum`` characters, cut to the limit.
+def summary_paragraph(text: Column) -> Column:
+    """First paragraph that is long enough, cut to the limit.
 
     A paragraph is a line, white space at its ends ignored. Texts without such
-    a line yield their first ``fallback`` characters.
+    a line yield their first characters.
     """
     lines = F.transform(F.split(text, r"[\r\n]+"), strip)
-    long_enough = F.filter(lines, lambda line: F.length(line) >= minimum)
+    long_enough = F.filter(lines, lambda line: F.length(line) >= SUMMARY_MINIMUM)
     return F.substring(
-        F.coalesce(F.get(long_enough, F.lit(0)), F.substring(strip(text), 1, fallback)),
+        F.coalesce(
+            F.get(long_enough, F.lit(0)), F.substring(strip(text), 1, SUMMARY_FALLBACK)
+        ),
         1,
         SUMMARY_CHARS,
     )

@@ -140,8 +140,11 @@ def rule_labels(
         F.array_max("_years").alias("year2"),
         "content_summary",
     )
-    whole = found.filter(F.col("part") == "").drop("part")
-    labels = whole.unionByName(_combine_parts(found.filter(F.col("part") != "")))
+    labels = found.filter(F.col("part") == "").drop("part").unionByName(
+        _combine_parts(
+            found.filter(F.col("part") != ""), documents.filter(F.col("part") != "")
+        )
+    )
     fmt = U.file_format(U.file_name(F.col("uri")), F.lit(source_type))
     given = set(labels.columns)
     fixed = {**FIELD_DEFAULTS, "updated_at": run_date}
@@ -154,22 +157,40 @@ def rule_labels(
     return labels.select("uri", *columns)
 
 
-def _combine_parts(found: DataFrame) -> DataFrame:
+def _combine_parts(found: DataFrame, parts: DataFrame) -> DataFrame:
     """Findings of a document's parts; every step reduces before it shuffles."""
 
     def first(name: str, found_one: Column) -> Column:
         return F.min_by(name, F.when(found_one, F.col("part")))
 
-    long_enough = F.length("content_summary") >= 50
-    return found.groupBy("uri").agg(
+    long_enough = F.length("content_summary") >= X.SUMMARY_MINIMUM
+    combined = found.groupBy("uri").agg(
         F.min("language").alias("language"),
         F.coalesce(first("model", F.col("model") != "UNKNOWN"), F.lit("UNKNOWN")).alias("model"),
         F.max("xev").alias("xev"),
         F.min("year1").alias("year1"),
         F.max("year2").alias("year2"),
-        F.coalesce(
-            first("content_summary", long_enough),
-            first("content_summary", F.col("content_summary") != ""),
-            F.lit(""),
-        ).alias("content_summary"),
+        first("content_summary", long_enough).alias("_paragraph"),
+    )
+    openings = _opening(parts, X.SUMMARY_FALLBACK)
+    return combined.join(openings, "uri", "left").select(
+        *[c for c in combined.columns if c != "_paragraph"],
+        F.coalesce("_paragraph", "head", F.lit("")).alias("content_summary"),
+    )
+
+
+def _opening(parts: DataFrame, chars: int) -> DataFrame:
+    """The first characters of each document, white space at its ends ignored."""
+    written = X.strip(F.col("full_text")) != ""
+    ends = parts.filter(written).groupBy("uri").agg(
+        F.min("part").alias("_first"), F.max("part").alias("_last")
+    )
+    blanks, text = F.lit(X.WHITESPACE), F.col("full_text")
+    text = F.when(F.col("part") == F.col("_first"), F.ltrim(text, blanks)).otherwise(text)
+    text = F.when(F.col("part") == F.col("_last"), F.rtrim(text, blanks)).otherwise(text)
+    inner = (
+        parts.join(ends, "uri")
+        .filter(F.col("part").between(F.col("_first"), F.col("_last")))
+        .select("uri", "part", F.coalesce(text, F.lit("")).alias("full_text"))
     )
+    return head_text(inner, "uri", "part", "full_text", chars)
