@@ -187,7 +187,7 @@ SHARD_NAMES = ["0", "2", "10"]
 
 
 def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(uri, shard_uri, content)``: each text in three shards of one page.
+    """``(uri, shard_uri, content, length)``: each text in three shards of one page.
 
     Paragraphs are 80 characters wide. As in the service's JSON an index of 0
     is left out, indices are texts, and the last paragraph has no end.
@@ -221,7 +221,10 @@ def shard_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("i") + 1) / 4).alias("confidence"),
     )
     body = F.struct("text", F.array(page).alias("pages"), F.array(entity).alias("entities"))
-    return shards.select("uri", "shard_uri", F.to_json(body).alias("content"))
+    return shards.select(
+        "uri", "shard_uri", F.to_json(body).alias("content"),
+        F.octet_length("text").alias("length"),
+    )
 
 
 # --- videos --------------------------------------------------------------------------

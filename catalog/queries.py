@@ -21,8 +21,9 @@ from labelmill.operators import (
 from labelmill.plans import batch
 from labelmill.plans import video as video_plan
 from labelmill.schema import METADATA_COLUMNS
-from labelmill.session import scratch_path
+from labelmill.session import scratch_path, stored
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
+from labelmill.sources import files
 from labelmill.sources.tables import read_metadata_csv
 
 RUN_AT = datetime(2024, 1, 29, 14, 30, 5)
@@ -52,6 +53,22 @@ def file_manifest(spark, sf_dir):
     )
 
 
+@query
+def stored_files(spark, sf_dir):
+    """The files the tables consist of, from the listing alone."""
+    found = files.list_files(spark, sf_dir, suffix=".parquet")
+    return found.select("file_name", "length", "mime_type")
+
+
+@query
+def object_info(spark, sf_dir):
+    created = F.timestamp_seconds(F.lit(1_700_000_000) + F.col(I.DOC_ID) * 3601)
+    listed = I.listing(spark, sf_dir).withColumn(
+        "modificationTime", F.when(F.col(I.DOC_ID) % 7 > 0, created)
+    )
+    return routing.object_info(listed)
+
+
 @query
 def resolve_inputs(spark, sf_dir):
     c = F.col
@@ -153,6 +170,10 @@ def _parsed_shards(spark, sf_dir):
     return shards.parse_shards(I.shard_files(spark, sf_dir))
 
 
+def _merged(spark, sf_dir):
+    return shards.merge_shards(_parsed_shards(spark, sf_dir), size=F.col("length"))
+
+
 @query
 def anchor_slice(spark, sf_dir):
     cut = F.transform(
@@ -174,7 +195,7 @@ def page_text(spark, sf_dir):
 
 @query
 def shard_merge(spark, sf_dir):
-    merged = shards.merge_shards(_parsed_shards(spark, sf_dir))
+    merged = _merged(spark, sf_dir)
     numbers = F.transform("pages", lambda p: p["page_number"].cast("string"))
     mentions = F.transform(
         "entities", lambda e: F.concat(e["mention_text"], F.lit("@"), e["confidence"].cast("string"))
@@ -193,20 +214,21 @@ def shard_merge(spark, sf_dir):
 
 @query
 def page_stats(spark, sf_dir):
-    return shards.page_stats(shards.merge_shards(_parsed_shards(spark, sf_dir)))
+    return shards.page_stats(_merged(spark, sf_dir))
 
 
 @query
 def entity_list(spark, sf_dir):
-    return shards.entity_list(shards.merge_shards(_parsed_shards(spark, sf_dir)))
+    return shards.entity_list(_merged(spark, sf_dir))
 
 
 @query
 def text_sidecar(spark, sf_dir):
     path = scratch_path(spark, "sidecar")
-    write_text_sidecar(I.texts(spark, sf_dir), path, RUN_DATE)
-    stored = spark.read.parquet(path)
-    return stored.select("uri", "part", "full_text", F.col("run_date").cast("string").alias("run_date"))
+    write_text_sidecar(I.texts(spark, sf_dir), path, "first")
+    write_text_sidecar(I.texts(spark, sf_dir), path, "second")
+    write_text_sidecar(I.texts(spark, sf_dir), path, "second")
+    return spark.read.parquet(path).select("uri", "part", "full_text", "run")
 
 
 @query
@@ -496,5 +518,6 @@ def batch_report(spark, sf_dir):
 @query
 def video_records(spark, sf_dir):
     """Videos to the 13 columns."""
-    documents = routing.split_quarantine(_video_documents(spark, sf_dir))[0]
-    return video_plan.video_records(documents, RUN_DATE, I.MODELS)
+    documents = stored(_video_documents(spark, sf_dir), "videos")
+    good = routing.split_quarantine(documents)[0]
+    return video_plan.video_records(good, RUN_DATE, I.MODELS)

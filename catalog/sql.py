@@ -426,6 +426,9 @@ def _accuracy(column: str) -> str:
 ORACLES: dict[str, str] = {
     "file_manifest": f"""WITH {LISTING} SELECT uri, length, {_name('uri')} AS file_name, {_mime('uri')} AS mime_type
       FROM listing WHERE NOT ends_with(uri, '/')""",
+    "object_info": f"""WITH {LISTING} SELECT uri, length AS size, {_mime('uri')} AS content_type,
+      CASE WHEN doc_id % 7 > 0 THEN strftime(make_timestamp((1700000000 + doc_id * 3601) * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00'
+        ELSE '' END AS created FROM listing""",
     "resolve_inputs": f"""WITH {JOBS}, bases AS (SELECT doc_id, {_BASE} AS base FROM jobs)
       SELECT doc_id, split_part(base, '/', 3) AS bucket,
         CASE WHEN base IS NOT NULL THEN regexp_replace(base, '^gs://[^/]*/?', '') END AS prefix FROM bases""",
@@ -465,7 +468,7 @@ ORACLES: dict[str, str] = {
     "entity_list": f"""WITH {TEXTS}, {SHARDS} SELECT uri, '' AS part,
         row_number() OVER (PARTITION BY uri ORDER BY shard_uri) - 1 AS position, 'language' AS type,
         lang AS mention_text, (i + 1) / 4 AS confidence FROM shards""",
-    "text_sidecar": f"WITH {TEXTS} SELECT uri, '' AS part, full_text, '{RUN_DATE}' AS run_date FROM texts",
+    "text_sidecar": f"""WITH {TEXTS} SELECT uri, '' AS part, full_text, unnest(['first', 'second']) AS run FROM texts""",
     "extract_documents": f"""WITH {TEXTS} SELECT uri, {_mime('uri')} AS mime_type, full_text,
         len(string_split(full_text, chr(12)))::BIGINT AS page_count,
         array_to_string(list_transform(string_split(full_text, chr(12)), lambda p: {_strip('p')}), chr(12)) AS page_texts,

@@ -9,45 +9,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from labelmill.operators.skew import few_or_all, join_narrow, salt_of
+
 # Largest text put into one row, in bytes. Grouping holds several copies of a
 # text in one task, so this stays far below the two gigabytes of a cell.
 WHOLE_LIMIT_BYTES = 16 * 1024 * 1024
 
-# Up to this many oversize keys are broadcast; more are joined by shuffle.
-_BROADCAST_KEYS = 10_000
-
-_SALTS = 256
-
 
-def with_part(
+def oversize_groups(
     pieces: DataFrame,
     keys: list[str],
-    order: Column,
     size: Column,
     limit: int = WHOLE_LIMIT_BYTES,
-) -> DataFrame:
-    """Add ``part``: ``''`` where the group fits the limit, else ``order``.
+    order: Column | None = None,
+) -> DataFrame | None:
+    """Keys whose pieces exceed the limit together, None if there are none.
 
     The sizes are summed at once, with map-side partial sums, so a group that
-    holds most of the rows costs no more than any other. Knowing the oversize
-    groups before the plan is made leaves out the join where there are none,
-    which is the rule, and lets their few keys be broadcast otherwise: the
-    texts are not shuffled for it.
+    holds most of the rows costs no more than any other. With ``order`` the
+    first and last place of each group come along as ``_first`` and ``_last``.
     """
-    oversize = (
-        pieces.select(*keys, size.cast("bigint").alias("_size"))
-        .groupBy(*keys)
-        .agg(F.sum("_size").alias("_size"))
-        .filter(F.col("_size") > limit)
-        .select(*keys)
+    measured = pieces.select(
+        *keys, size.cast("bigint").alias("_size"), *([order.alias("_at")] if order is not None else [])
+    )
+    ends = [F.min("_at").alias("_first"), F.max("_at").alias("_last")] if order is not None else []
+    groups = measured.groupBy(*keys).agg(F.sum("_size").alias("_size"), *ends)
+    return few_or_all(groups.filter(F.col("_size") > limit).drop("_size"))
+
+
+def with_part(
+    pieces: DataFrame, keys: list[str], order: Column, oversize: DataFrame
+) -> DataFrame:
+    """Add ``part``: ``order`` in the oversize groups, ``''`` in all others."""
+    marked = join_narrow(
+        pieces, oversize.withColumn("_over", F.lit(True)), keys, order, "left"
     )
-    first = oversize.limit(_BROADCAST_KEYS + 1).collect()
-    if not first:
-        return pieces.withColumn("part", F.lit(""))
-    if len(first) <= _BROADCAST_KEYS:
-        known = pieces.sparkSession.createDataFrame(first, oversize.schema)
-        oversize = F.broadcast(known)
-    marked = pieces.join(oversize.withColumn("_over", F.lit(True)), keys, "left")
     part = F.when(F.col("_over"), order.cast("string")).otherwise(F.lit(""))
     return marked.withColumn("part", part).drop("_over")
 
@@ -61,12 +57,11 @@ def head_text(parts: DataFrame, key: str, order: str, text: str, chars: int) ->
     parts add nothing; of them at most one is kept per share, for keys that
     have no text at all.
     """
-    salt = F.pmod(F.xxhash64(order), F.lit(_SALTS))
     rows = parts.select(
         key,
         F.col(order).alias("_order"),
         F.substring(text, 1, chars).alias("_text"),
-        salt.alias("_salt"),
+        salt_of(F.col(order)).alias("_salt"),
     )
 
     def within(df: DataFrame, *by: str) -> DataFrame:

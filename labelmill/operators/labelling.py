@@ -11,6 +11,7 @@ from labelmill.functions import rules as R
 from labelmill.functions import text as X
 from labelmill.functions import uri as U
 from labelmill.operators.assemble import head_text
+from labelmill.operators.skew import join_narrow
 from labelmill.schema import FIELD_DEFAULTS, METADATA_COLUMNS, REQUEST_TEXT_CHARS
 from labelmill.session import configure
 
@@ -47,7 +48,7 @@ def ask_labeler(
     ``partitions`` spreads the calls when the input has too few partitions.
     """
     if partitions:
-        requests = requests.repartition(partitions, "uri")
+        requests = requests.repartition(partitions)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,7 +190,7 @@ def _opening(parts: DataFrame, chars: int) -> DataFrame:
     text = F.when(F.col("part") == F.col("_first"), F.ltrim(text, blanks)).otherwise(text)
     text = F.when(F.col("part") == F.col("_last"), F.rtrim(text, blanks)).otherwise(text)
     inner = (
-        parts.join(ends, "uri")
+        join_narrow(parts, ends, ["uri"], F.col("part"))
         .filter(F.col("part").between(F.col("_first"), F.col("_last")))
         .select("uri", "part", F.coalesce(text, F.lit("")).alias("full_text"))
     )

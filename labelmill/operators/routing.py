@@ -25,6 +25,25 @@ def select_objects(listing: DataFrame, prefix: str = "", suffix: str = "") -> Da
     )
 
 
+def object_info(listing: DataFrame) -> DataFrame:
+    """``(uri, size, content_type, created)``; 0 or ``''`` where unknown.
+
+    ``created`` is the time as ISO 8601 in UTC, fractions only if there are any.
+    """
+    at = F.to_utc_timestamp("modificationTime", F.current_timezone())
+    whole = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(at, ".SSSSSS")
+    created = F.concat(
+        whole, F.when(fraction == ".000000", "").otherwise(fraction), F.lit("+00:00")
+    )
+    return listing.select(
+        "uri",
+        F.coalesce("length", F.lit(0)).alias("size"),
+        U.mime_type(F.col("uri")).alias("content_type"),
+        F.coalesce(created, F.lit("")).alias("created"),
+    )
+
+
 def supported_files(listing: DataFrame) -> DataFrame:
     return listing.filter(U.is_supported(F.col("uri")))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from labelmill.functions import uri as U
 from labelmill.functions.anchors import page_texts
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, with_part
+from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, oversize_groups, with_part
 from labelmill.schema import ENTITIES, SHARD_JSON, SHARD_PAGES
 
 
@@ -75,23 +75,25 @@ def merge_shards(
     more for the check.
     """
     size = F.octet_length("text") if size is None else size
-    placed = with_part(shards, ["uri"], F.col("shard_uri"), size, limit)
+    oversize = oversize_groups(shards, ["uri"], size, limit)
+    if oversize is None:
+        placed, keys = shards.withColumn("part", F.lit("")), ["uri"]
+    else:
+        placed = with_part(shards, ["uri"], F.col("shard_uri"), oversize)
+        keys = ["uri", "part"]
     status = F.col("status") if "status" in shards.columns else F.lit("ok")
+    pages = page_texts(F.col("text"), F.col("pages"))
     rows = placed.select(
-        "uri",
-        "part",
+        *keys,
         status.alias("status"),
-        F.struct(
-            "shard_uri",
-            "text",
-            page_texts(F.col("text"), F.col("pages")).alias("pages"),
-            "entities",
-        ).alias("shard"),
+        F.struct("shard_uri", "text", pages.alias("pages"), "entities").alias("shard"),
     )
-    merged = rows.groupBy("uri", "part").agg(
+    merged = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list("shard")).alias("s"),
         _first_problem(F.col("status")).alias("status"),
     )
+    if oversize is None:
+        merged = merged.withColumn("part", F.lit(""))
     return merged.select(
         "uri",
         "part",
@@ -103,10 +105,17 @@ def merge_shards(
     )
 
 
-def with_missing(expected: DataFrame, merged: DataFrame) -> DataFrame:
-    """Add a status row for each expected document that has no shard."""
-    found = expected.select("uri").distinct().join(merged, "uri", "left")
-    return found.withColumn("status", F.coalesce("status", F.lit("no_shards")))
+def with_missing(expected: DataFrame, merged: DataFrame, shards: DataFrame) -> DataFrame:
+    """The expected documents only, with a status row for those without shards.
+
+    Restricting and filling up are separate joins, so a document in many parts
+    is never on the side that cannot be split.
+    """
+    listed = expected.select("uri")
+    found = merged.join(listed, "uri", "left_semi")
+    missing = listed.join(shards.select("uri").distinct(), "uri", "left_anti")
+    rows = missing.select("uri", F.lit("").alias("part"), F.lit("no_shards").alias("status"))
+    return found.unionByName(rows, allowMissingColumns=True)
 
 
 def page_stats(documents: DataFrame) -> DataFrame:

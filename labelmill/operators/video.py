@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions import videos as V
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, with_part
+from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, oversize_groups, with_part
 from labelmill.schema import CAPTION_ANSWER, VIDEO_ANSWER
 
 LANGUAGES = ("ko", "en")
@@ -85,31 +85,29 @@ def transcript_texts(
     """
     text = F.coalesce("text", F.lit(""))
     rows = lines.select(*keys, "seq", text.alias("text"))
+    oversize = oversize_groups(rows, list(keys), F.octet_length("text") + 1, limit, order=F.col("seq"))
+    if oversize is None:
+        return _joined_lines(rows, keys)
     at = F.lpad(F.col("seq").cast("string"), 20, "0")
-    placed = with_part(rows, list(keys), at, F.octet_length("text") + 1, limit)
-    whole = (
-        placed.filter(F.col("part") == "")
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "text"))).alias("l"))
-        .select(
-            *keys,
-            F.lit("").alias("part"),
-            F.array_join("l.text", "\n").alias("transcript"),
-            F.lit(True).alias("opening"),
-        )
-    )
-    parted = placed.filter(F.col("part") != "")
-    ends = parted.groupBy(*keys).agg(
-        F.min("part").alias("_first"), F.max("part").alias("_last")
-    )
-    line_end = F.when(F.col("part") == F.col("_last"), "").otherwise("\n")
-    pieces = parted.join(ends, list(keys)).select(
+    placed = with_part(rows, list(keys), at, oversize)
+    line_end = F.when(F.col("seq") == F.col("_last"), "").otherwise("\n")
+    pieces = placed.filter(F.col("part") != "").select(
         *keys,
         "part",
         F.concat("text", line_end).alias("transcript"),
-        (F.col("part") == F.col("_first")).alias("opening"),
+        (F.col("seq") == F.col("_first")).alias("opening"),
+    )
+    return _joined_lines(placed.filter(F.col("part") == ""), keys).unionByName(pieces)
+
+
+def _joined_lines(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    lines = F.sort_array(F.collect_list(F.struct("seq", "text")))
+    return rows.groupBy(*keys).agg(lines.alias("l")).select(
+        *keys,
+        F.lit("").alias("part"),
+        F.array_join("l.text", "\n").alias("transcript"),
+        F.lit(True).alias("opening"),
     )
-    return whole.unionByName(pieces)
 
 
 def chosen_lines(lines: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -119,18 +117,16 @@ def chosen_lines(lines: DataFrame, tracks: DataFrame) -> DataFrame:
 
 
 def video_documents(info: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Documents ``(uri, part, full_text)`` of videos.
+    """Documents ``(video_id, part, full_text, status)`` of videos.
 
-    ``info`` carries ``uri`` and ``video_id``, ``transcripts`` one text per
-    video. A video without transcript is read from its description. The head
-    lines open the first part.
+    ``transcripts`` holds one text per video. A video without transcript is
+    read from its description. The head lines open the first part.
     """
     spoken = transcripts.select("video_id", "part", "transcript", "opening")
     rows = info.join(spoken, "video_id", "left")
     words = V.spoken_text(F.col("transcript"), F.col("description"))
     whole = V.video_text(F.col("title"), F.col("channel"), F.col("published_at"), words)
     return rows.select(
-        "uri",
         "video_id",
         F.coalesce("part", F.lit("")).alias("part"),
         F.when(F.coalesce("opening", F.lit(True)), whole)

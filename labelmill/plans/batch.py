@@ -16,7 +16,7 @@ from labelmill.operators.report import distribution_report
 from labelmill.operators.routing import size_route, split_quarantine, supported_files
 from labelmill.operators.shards import merge_shards, parse_shards, with_missing
 from labelmill.schema import DIRECT_LIMIT_BYTES
-from labelmill.session import configure, scratch_path
+from labelmill.session import configure, stored
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
 from labelmill.sources.files import list_files, read_contents
 
@@ -31,18 +31,6 @@ class Outcome:
     report: DataFrame
 
 
-def _stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write rows once and read them back.
-
-    Extraction and labelling call services. What they answered is kept in the
-    shared folder, so neither a second use nor a lost executor calls again.
-    """
-    spark = rows.sparkSession
-    path = scratch_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def direct_documents(
     spark: SparkSession, path: str, extractor: Extractor, any_extension: bool = False
 ) -> DataFrame:
@@ -64,9 +52,8 @@ def chunked_documents(files: DataFrame, shards: DataFrame) -> DataFrame:
     any becomes a status row.
     """
     large = files.filter(F.col("route") == "chunked").select("uri")
-    parsed = parse_shards(shards.join(large, "uri", "left_semi"))
     size = F.col("length") if "length" in shards.columns else None
-    merged = with_missing(large, merge_shards(parsed, size=size))
+    merged = with_missing(large, merge_shards(parse_shards(shards), size=size), shards)
     return merged.withColumn("error", F.lit(None).cast("string"))
 
 
@@ -88,9 +75,12 @@ def batch_records(
 
 
 def finish(records: DataFrame, csv_path: str, failed: DataFrame) -> Outcome:
-    """Write the CSV and hang the report on the same stored records."""
+    """Write the CSV and hang the report on the same stored records.
+
+    A run repeated under its name replaces its own output.
+    """
     table = metadata_table(records)
-    written = write_metadata_csv(table, csv_path)
+    written = write_metadata_csv(table, csv_path, mode="overwrite")
     return Outcome(written, records, failed, distribution_report(table))
 
 
@@ -127,9 +117,9 @@ def run_batch(
         )
         documents = documents.unionByName(unread, allowMissingColumns=True)
 
-    good, failed = split_quarantine(_stored(documents, "documents"))
-    write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y-%m-%d}")
-    records = _stored(
+    good, failed = split_quarantine(stored(documents, "documents"))
+    write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y%m%d_%H%M%S}")
+    records = stored(
         batch_records(good, f"{at:%Y-%m-%d}", models, labeler, partitions), "records"
     )
     name = f"batch_metadata_{at:%Y%m%d_%H%M%S}.csv"

@@ -1,12 +1,15 @@
 """Video URLs to metadata records."""
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions import videos as V
 from labelmill.operators.labelling import label_documents, rule_labels
+from labelmill.operators.routing import split_quarantine
+from labelmill.operators.skew import join_hot
 from labelmill.operators.video import (
     chosen_lines,
     select_tracks,
@@ -14,6 +17,9 @@ from labelmill.operators.video import (
     video_documents,
     video_info,
 )
+from labelmill.plans.batch import Outcome, finish
+from labelmill.session import configure, stored
+from labelmill.sinks.tables import write_text_sidecar
 
 
 def video_ids(urls: DataFrame) -> DataFrame:
@@ -32,17 +38,22 @@ def documents_of_videos(
     A URL without a video and a video without an answer keep a status row.
     """
     ids = video_ids(urls)
-    # Foreign URLs share one key, null; they do not take part in any join.
+    # Foreign URLs share one key, null; they do not take part in the join.
     foreign = ids.filter(F.col("status") != "ok").select(
         "uri", "video_id", F.lit("").alias("part"), "status"
     )
-    info = ids.filter(F.col("status") == "ok").drop("status").join(
-        video_info(answers), "video_id", "left"
+    spoken = transcript_texts(chosen_lines(lines, select_tracks(tracks)), ("video_id",))
+    documents = video_documents(video_info(answers), spoken)
+    # One video may be behind most of the URLs: it is put together once.
+    own = ids.filter(F.col("status") == "ok").drop("status")
+    known = join_hot(own, documents, "video_id", F.col("uri")).select(
+        "uri",
+        "video_id",
+        F.coalesce("part", F.lit("")).alias("part"),
+        "full_text",
+        F.coalesce("status", F.lit("video_not_found")).alias("status"),
     )
-    known = info.withColumn("status", F.coalesce("status", F.lit("video_not_found")))
-    spoken = chosen_lines(lines, select_tracks(tracks))
-    documents = video_documents(known, transcript_texts(spoken, ("video_id",)))
-    return documents.unionByName(foreign, allowMissingColumns=True)
+    return known.unionByName(foreign, allowMissingColumns=True)
 
 
 def video_records(
@@ -55,3 +66,26 @@ def video_records(
     if labeler is not None:
         return label_documents(documents, labeler, run_date, source_type="video")
     return rule_labels(documents, models or [], run_date, source_type="video")
+
+
+def run_videos(
+    urls: DataFrame,
+    answers: DataFrame,
+    tracks: DataFrame,
+    lines: DataFrame,
+    output_path: str,
+    at: datetime,
+    models: list[str] | None = None,
+    labeler: Callable[[str], str] | None = None,
+) -> Outcome:
+    """Label the videos behind a table of URLs, or behind one.
+
+    URLs without a video end in ``Outcome.quarantine``.
+    """
+    configure(urls.sparkSession)
+    documents = stored(documents_of_videos(urls, answers, tracks, lines), "videos")
+    good, failed = split_quarantine(documents)
+    write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y%m%d_%H%M%S}")
+    records = stored(video_records(good, f"{at:%Y-%m-%d}", models, labeler), "records")
+    name = f"video_metadata_{at:%Y%m%d_%H%M%S}.csv"
+    return finish(records, f"{output_path.rstrip('/')}/{name}", failed)

@@ -33,14 +33,17 @@ def write_metadata_csv(records: DataFrame, path: str, mode: str = "errorifexists
     return path
 
 
-def write_text_sidecar(documents: DataFrame, path: str, run_date: str) -> str:
-    """Add texts to the sidecar table ``(uri, part, full_text)`` of a run date.
+def write_text_sidecar(documents: DataFrame, path: str, run: str) -> str:
+    """Put texts into the sidecar table ``(uri, part, full_text, run)``; its path.
 
     Keyed by the full URI: files of one name in two folders do not replace
-    each other.
+    each other. A run repeated under its name replaces its own rows only.
     """
-    rows = documents.select("uri", "part", "full_text").withColumn(
-        "run_date", F.lit(run_date)
+    rows = documents.select("uri", "part", "full_text").withColumn("run", F.lit(run))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run")
+        .parquet(path)
     )
-    rows.write.mode("append").partitionBy("run_date").parquet(path)
     return path

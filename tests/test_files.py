@@ -48,6 +48,18 @@ def test_listing(spark, tree):
     assert "content" not in plan
 
 
+def test_object_info(spark):
+    times = ["2024-01-29 14:30:00+00:00", "2024-01-29 14:30:00.25+00:00", None]
+    df = spark.createDataFrame([(f"{i}.pdf", i or None, t) for i, t in enumerate(times)], "uri string, length bigint, t string")
+    df = df.withColumn("modificationTime", F.col("t").cast("timestamp"))
+    want = [("0.pdf", 0, "2024-01-29T14:30:00+00:00"), ("1.pdf", 1, "2024-01-29T14:30:00.250000+00:00"), ("2.pdf", 2, "")]
+    for zone in ("UTC", "Asia/Seoul"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = [(r.uri, r.size, r.created) for r in routing.object_info(df).orderBy("uri").collect()]
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == want
+
+
 def test_routing(spark):
     df = spark.createDataFrame([(None,), (0,), (20 * 1024 * 1024,), (20 * 1024 * 1024 + 1,)], "length bigint")
     assert [r[0] for r in df.select(routing.size_route(F.col("length"))).collect()] == ["direct", "direct", "direct", "chunked"]
@@ -82,8 +94,10 @@ def test_empty_table_writes_nothing(spark, tmp_path):
 
 def test_sidecars_of_equal_names(spark, tmp_path):
     docs = spark.createDataFrame([("gs://b/x/a.pdf", "", "one"), ("gs://b/y/a.pdf", "", "two")], "uri string, part string, full_text string")
-    path = write_text_sidecar(docs, str(tmp_path / "side"), "2024-01-29")
+    path = write_text_sidecar(docs, str(tmp_path / "side"), "run1")
+    write_text_sidecar(docs, path, "run1")
     stored = spark.read.parquet(path)
+    assert stored.count() == 2
     assert {r.uri: r.full_text for r in stored.collect()} == {"gs://b/x/a.pdf": "one", "gs://b/y/a.pdf": "two"}
     assert routing.pending_files(docs.select("uri"), stored).count() == 0
 

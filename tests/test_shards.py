@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelmill.functions import anchors
-from labelmill.operators import assemble, shards
+from labelmill.operators import assemble, shards, skew
 
 
 def slices(text, segments):
@@ -60,7 +60,9 @@ FILES = [
 def test_merge_order_and_status(spark):
     files = spark.createDataFrame(FILES, "uri string, shard_uri string, content string")
     expected = spark.createDataFrame([(u,) for u in ("gs://b/a.docx", "gs://b/b.pdf", "gs://b/c.pdf", "gs://b/none.pdf")], "uri string")
-    merged = shards.with_missing(expected, shards.merge_shards(shards.parse_shards(files)))
+    unlisted = spark.createDataFrame([("gs://b/other.pdf", "s/o-0.json", "{}")], files.schema)
+    files = files.union(unlisted)
+    merged = shards.with_missing(expected, shards.merge_shards(shards.parse_shards(files)), files)
     got = {r.uri: r for r in merged.collect()}
     a = got["gs://b/a.docx"]
     assert a.full_text == " zero\ntentwo" and a.part == "" and a.mime_type.endswith("wordprocessingml.document")
@@ -68,7 +70,7 @@ def test_merge_order_and_status(spark):
     assert [e.mention_text for e in a.entities] == ["m0", "m10", "m10"]
     assert (got["gs://b/b.pdf"].full_text, got["gs://b/b.pdf"].pages, got["gs://b/b.pdf"].status) == ("", [], "ok")
     assert (got["gs://b/c.pdf"].full_text, got["gs://b/c.pdf"].status) == ("rest", "unreadable_shard")
-    assert got["gs://b/none.pdf"].status == "no_shards"
+    assert got["gs://b/none.pdf"].status == "no_shards" and len(got) == 4
     listed = shards.entity_list(merged).orderBy("position").collect()
     assert [(r.position, r.mention_text, r.confidence) for r in listed] == [(0, "m0", 0.5), (1, "m10", 0.25), (2, "m10", 0.25)]
 
@@ -87,7 +89,7 @@ def many_shards(spark, counts):
 
 @pytest.mark.parametrize("broadcast_keys", [10_000, 0])
 def test_one_document_with_most_shards_stays_in_pieces(spark, monkeypatch, broadcast_keys):
-    monkeypatch.setattr(assemble, "_BROADCAST_KEYS", broadcast_keys)
+    monkeypatch.setattr(skew, "_BROADCAST_KEYS", broadcast_keys)
     rows, df = many_shards(spark, {"hot": 400, "x": 3, "y": 2})
     merged = shards.merge_shards(df, limit=500).orderBy("uri", "part").collect()
     assert {r.uri: sum(m.uri == r.uri for m in merged) for r in merged} == {"hot": 400, "x": 1, "y": 1}
