@@ -34,25 +34,39 @@ _EDGE_AFTER = r"(?![\p{L}\p{N}])"
 
 
 def _words(names: list[str]) -> str:
-    """Any of the names as a whole word, case ignored, the longest first."""
-    longest_first = sorted(names, key=lambda n: (-len(n), n))
+    """Any of the names as a whole word, the longest first."""
+    longest_first = sorted((n.lower() for n in names), key=lambda n: (-len(n), n))
     escaped = "|".join(re.escape(n) for n in longest_first)
-    return f"(?iu){_EDGE_BEFORE}({escaped}){_EDGE_AFTER}"
+    return f"{_EDGE_BEFORE}({escaped}){_EDGE_AFTER}"
 
 
 def model_name(text: Column, models: list[str]) -> Column:
-    """The first of the given names to occur in the text, else ``UNKNOWN``."""
+    """The first of the given names to occur in the text, else ``UNKNOWN``.
+
+    Case is ignored.
+    """
     if not models:
         return F.lit("UNKNOWN")
-    found = F.lower(F.regexp_extract(text, _words(models), 1))
+    found = F.regexp_extract(F.lower(text), _words(models), 1)
     canonical = F.create_map(*[F.lit(x) for m in models for x in (m.lower(), m)])
     return F.coalesce(F.try_element_at(canonical, found), F.lit("UNKNOWN"))
 
 
+def _says(text: Column, word: str, pattern: str | None = None) -> Column:
+    """Whether a word occurs as a whole, case ignored.
+
+    A plain search goes first: few texts hold the word, and only those are
+    looked at with a pattern.
+    """
+    lowered, word = F.lower(text), word.lower()
+    edged = rf"{_EDGE_BEFORE}(?:{pattern or re.escape(word)}){_EDGE_AFTER}"
+    return F.contains(lowered, F.lit(word)) & lowered.rlike(edged)
+
+
 def _first_kind(text: Column, kinds: list[str]) -> Column:
     result = F.lit("UNKNOWN")
     for kind in reversed(kinds):
-        result = F.when(text.rlike(_words([kind])), F.lit(kind)).otherwise(result)
+        result = F.when(_says(text, kind), F.lit(kind)).otherwise(result)
     return result
 
 
@@ -66,10 +80,8 @@ def engine_type(text: Column) -> Column:
 
 def xev_type(text: Column) -> Column:
     """Hybrid kind of a vehicle, null when the text names none."""
-    plug_in = r"(?iu)(?<![\p{L}\p{N}])plug-?in[- ]hybrid(?![\p{L}\p{N}])"
-    return F.when(text.rlike(plug_in), F.lit("Plugin-Hybrid")).when(
-        text.rlike(_words(["Hybrid"])), F.lit("Hybrid")
-    )
+    plug_in = _says(text, "hybrid", "plug-?in[- ]hybrid")
+    return F.when(plug_in, F.lit("Plugin-Hybrid")).when(_says(text, "hybrid"), F.lit("Hybrid"))
 
 
 def _amounts(text: Column, pattern: str, currency: str, factor: int) -> Column:
@@ -122,42 +134,40 @@ def words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
 
 
 def word_counts(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
-    """Distinct words as ``(n, word)``, counted inside the row.
+    """Distinct words as ``(neg, word)``, counted inside the row.
 
-    Sorting puts equal words side by side, so a word's count is the distance
-    from its first position to that of the next word. Nothing is exploded and
-    nothing is shuffled.
+    ``neg`` is the count below zero, so that sorting puts the most frequent
+    word first and ties in word order. Sorted words stand side by side; a word's
+    count is the distance from its first place to that of the next word.
+    Nothing is exploded and nothing is shuffled.
     """
 
-    def runs(s: Column) -> Column:
-        positions = F.sequence(F.lit(0), F.size(s) - 1)
-        starts = F.filter(
-            positions, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
-        )
-        return F.when(F.size(s) == 0, F.array().cast("array<struct<n:bigint,word:string>>")).otherwise(
-            F.get(F.transform(F.array(starts), lambda b: counts(s, b)), F.lit(0))
-        )
+    def starts(s: Column) -> Column:
+        new = lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)
+        return F.array_compact(F.transform(s, new))
 
-    def counts(s: Column, starts: Column) -> Column:
+    def counts(s: Column, b: Column) -> Column:
         return F.transform(
-            starts,
+            b,
             lambda p, j: F.struct(
-                (F.coalesce(F.get(starts, j + 1), F.size(s)) - p).cast("bigint").alias("n"),
+                (p - F.coalesce(F.get(b, j + 1), F.size(s))).cast("bigint").alias("neg"),
                 F.get(s, p).alias("word"),
             ),
         )
 
-    ordered = F.array_sort(words(text, stop_words))
-    return F.get(F.transform(F.array(ordered), runs), F.lit(0))
+    ordered = F.sort_array(words(text, stop_words))
+    return _let(ordered, lambda s: _let(starts(s), lambda b: counts(s, b)))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def top_words(counts: Column, k: int = 10) -> Column:
     """The ``k`` most frequent words, ties in word order, best first."""
-    ranked = F.array_sort(
-        F.transform(counts, lambda c: F.struct((-c["n"]).alias("neg"), c["word"].alias("word")))
-    )
     return F.transform(
-        F.slice(ranked, 1, k),
+        F.slice(F.sort_array(counts), 1, k),
         lambda c, i: F.struct(
             (i + 1).cast("bigint").alias("rank"),
             c["word"].alias("word"),

@@ -25,10 +25,6 @@ WHITESPACE = "".join(
         ],
     )
 )
-_ODD = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# A lone plain blank is left out: it would be replaced by itself.
-_WHITESPACE_RUN = rf"[{_ODD}][ {_ODD}]*| [ {_ODD}]+"
-
 # A paragraph worth quoting, and what is quoted where there is none.
 SUMMARY_MINIMUM = 50
 SUMMARY_FALLBACK = 200
@@ -50,8 +46,14 @@ def strip(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Each run of white space becomes one blank; none is left at the ends."""
-    return F.btrim(F.regexp_replace(text, _WHITESPACE_RUN, " "), F.lit(" "))
+    """Each run of white space becomes one blank; none is left at the ends.
+
+    Every kind of white space is first made a plain blank, which leaves the
+    pattern nothing but runs of blanks to look for.
+    """
+    kinds = WHITESPACE.replace(" ", "")
+    blanks = F.translate(text, kinds, " " * len(kinds))
+    return F.btrim(F.regexp_replace(blanks, " {2,}", " "), F.lit(" "))
 
 
 def request_text(text: Column) -> Column:

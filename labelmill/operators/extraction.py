@@ -43,11 +43,19 @@ def extract_documents(files: DataFrame, extractor: Extractor) -> DataFrame:
     return done.withColumn("part", F.lit(""))
 
 
-def plain_text(uri: str, content: bytes, mime_type: str) -> dict:
-    """Extractor for text files: form feeds separate the pages."""
-    text = content.decode("utf-8")
-    pages = [
-        {"page_number": i, "text": page.strip()}
-        for i, page in enumerate(text.split("\f"), start=1)
-    ]
-    return {"full_text": text, "pages": pages, "entities": []}
+def _plain_text() -> Extractor:
+    # Made inside a function, it travels to the workers as code: they need not
+    # have this package installed.
+    def plain_text(uri: str, content: bytes, mime_type: str) -> dict:
+        """Extractor for text files: form feeds separate the pages."""
+        text = content.decode("utf-8")
+        pages = [
+            {"page_number": i, "text": page.strip()}
+            for i, page in enumerate(text.split("\f"), start=1)
+        ]
+        return {"full_text": text, "pages": pages, "entities": []}
+
+    return plain_text
+
+
+plain_text = _plain_text()

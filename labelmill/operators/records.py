@@ -65,7 +65,7 @@ def keyword_topk_of_parts(parts: DataFrame, key: str, text: str, k: int = 10) ->
     counts = (
         parts.select(key, F.explode(R.word_counts(F.col(text))).alias("c"))
         .groupBy(key, F.col("c.word").alias("word"))
-        .agg(F.sum("c.n").alias("n"))
+        .agg((-F.sum("c.neg")).alias("n"))
     )
     best = W.partitionBy(key).orderBy(F.desc("n"), "word")
     ranked = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
