@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelmill.functions.let import let
 from labelmill.functions.text import strip
 
 
@@ -41,14 +42,10 @@ def _with_wide(text: Column, use) -> Column:
 
     Cutting a string by character position walks it from the start each time;
     on the fixed-width form a cut costs only its own length, so a shard with
-    many paragraphs stays linear. The one-element array makes Spark encode the
-    text once per row.
+    many paragraphs stays linear.
     """
     wide = F.encode(F.coalesce(text, F.lit("")), "UTF-32")
-    cuts = F.transform(
-        F.array(wide), lambda w: use(w, F.floor(F.octet_length(w) / 4))
-    )
-    return F.get(cuts, F.lit(0))
+    return let(wide, lambda w: use(w, F.floor(F.octet_length(w) / 4)))
 
 
 def anchor_text(text: Column, segments: Column) -> Column:

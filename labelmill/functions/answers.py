@@ -7,6 +7,7 @@ An absent key takes its default, a null stays null.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelmill.functions.let import let
 from labelmill.functions.text import strip_fences
 from labelmill.schema import FIELD_DEFAULTS, LABEL_FIELDS, METADATA_COLUMNS
 
@@ -22,8 +23,7 @@ def parse_strict(text: Column) -> Column:
     the array or makes it longer than two.
     """
     wrapped = F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))
-    parsed = F.transform(F.array(F.try_parse_json(wrapped)), _sole_value)
-    return F.get(parsed, F.lit(0))
+    return let(F.try_parse_json(wrapped), _sole_value)
 
 
 def _sole_value(v: Column) -> Column:
@@ -50,9 +50,13 @@ def field_or(value: Column, key: str, default: Column) -> Column:
     return F.when(has_key(value, key), text_at(value, key)).otherwise(default)
 
 
-def answer_status(parsed: Column) -> Column:
+def labels_of(parsed: Column) -> Column:
+    """The ``metadata`` of an answer or a stored record."""
+    return F.try_variant_get(parsed, "$.metadata", "variant")
+
+
+def answer_status(parsed: Column, labels: Column) -> Column:
     """``ok``, or why the answer is replaced by the default record."""
-    labels = F.try_variant_get(parsed, "$.metadata", "variant")
     return (
         F.when(parsed.isNull(), F.lit("not_json"))
         .when(~is_object(parsed), F.lit("not_an_object"))
@@ -66,7 +70,7 @@ def parse_answer(answer: Column) -> Column:
 
 
 def answer_fields(
-    parsed: Column, status: Column, file_format: Column, run_date: Column
+    parsed: Column, labels: Column, status: Column, file_format: Column, run_date: Column
 ) -> list[Column]:
     """The 13 metadata columns of a parsed answer.
 
@@ -75,7 +79,6 @@ def answer_fields(
     file's extension.
     """
     ok = status == "ok"
-    labels = F.try_variant_get(parsed, "$.metadata", "variant")
     defaults = {k: F.lit(v).cast("string") for k, v in FIELD_DEFAULTS.items()}
     defaults["updated_at"] = run_date
     defaults["file_format"] = file_format
@@ -89,20 +92,19 @@ def answer_fields(
     return columns + [summary.alias("content_summary")]
 
 
-def record_status(record: Column) -> Column:
+def record_status(record: Column, nested: Column) -> Column:
     """``ok``, or why a stored record cannot be flattened."""
-    return F.regexp_replace(answer_status(record), "^not_json$", "not_a_record")
+    return F.regexp_replace(answer_status(record, nested), "^not_json$", "not_a_record")
 
 
-def record_fields(record: Column) -> list[Column]:
+def record_fields(record: Column, nested: Column, status: Column) -> list[Column]:
     """The 13 columns of a stored record, nested or flat.
 
     Fields come from ``metadata`` when that key exists, else from the top
     level, never from both; the summary always comes from the top level. An
     absent key is ``''``, a null stays null.
     """
-    nested = F.try_variant_get(record, "$.metadata", "variant")
-    usable = record_status(record) == "ok"
+    usable = status == "ok"
 
     def column(name: str) -> Column:
         at_top = field_or(record, name, F.lit(""))

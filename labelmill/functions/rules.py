@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelmill.functions.let import let
+
 # Type rules in order of preference.
 CAR_TYPES = ["SUV", "Sedan"]
 ENGINE_TYPES = ["Electric", "Hybrid"]
@@ -156,12 +158,7 @@ def word_counts(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
         )
 
     ordered = F.sort_array(words(text, stop_words))
-    return _let(ordered, lambda s: _let(starts(s), lambda b: counts(s, b)))
-
-
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once per row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return let(ordered, lambda s: let(starts(s), lambda b: counts(s, b)))
 
 
 def top_words(counts: Column, k: int = 10) -> Column:

@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from labelmill.functions.let import let
 from labelmill.schema import REQUEST_TEXT_CHARS, SUMMARY_CHARS
 
 # The characters that count as white space in a text, Unicode
@@ -72,9 +73,14 @@ def label_request(file_format: Column, text: Column) -> Column:
     )
 
 
-def _drop_prefix(text: Column, prefix: str) -> Column:
-    rest = F.substring(text, len(prefix) + 1, 2**31 - 1)
-    return F.when(F.startswith(text, F.lit(prefix)), rest).otherwise(text)
+def _drop_opening(text: Column, fence: str) -> Column:
+    rest = F.substring(text, len(fence) + 1, 2**31 - 1)
+    return F.when(F.startswith(text, F.lit(fence)), rest).otherwise(text)
+
+
+def _drop_closing(text: Column, fence: str) -> Column:
+    rest = F.substring(text, F.lit(1), F.length(text) - len(fence))
+    return F.when(F.endswith(text, F.lit(fence)), rest).otherwise(text)
 
 
 def strip_fences(answer: Column) -> Column:
@@ -83,8 +89,9 @@ def strip_fences(answer: Column) -> Column:
     A language-tagged fence goes first, then a plain one, so a doubled opening
     is removed as well; the closing fence goes last.
     """
-    body = _drop_prefix(_drop_prefix(strip(answer), "```json"), "```")
-    return strip(F.regexp_replace(body, r"```\z", ""))
+    untagged = let(strip(answer), lambda a: _drop_opening(a, "```json"))
+    opened = let(untagged, lambda a: _drop_opening(a, "```"))
+    return strip(let(opened, lambda a: _drop_closing(a, "```")))
 
 
 def summary_paragraph(text: Column) -> Column:

@@ -83,14 +83,14 @@ def parse_responses(responses: DataFrame, run_date: str) -> DataFrame:
         error.alias("error"),
         A.parse_answer(F.col("response")).alias("parsed"),
     )
-    judged = parsed.withColumn(
+    judged = parsed.withColumn("labels", A.labels_of(F.col("parsed"))).withColumn(
         "status",
         F.when(F.col("error").isNotNull(), "labeler_error").otherwise(
-            A.answer_status(F.col("parsed"))
+            A.answer_status(F.col("parsed"), F.col("labels"))
         ),
     )
     fields = A.answer_fields(
-        F.col("parsed"), F.col("status"), F.col("file_format"), F.lit(run_date)
+        *[F.col(c) for c in ("parsed", "labels", "status", "file_format")], F.lit(run_date)
     )
     return judged.select("uri", *fields, "status", "error")
 

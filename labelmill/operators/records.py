@@ -15,11 +15,14 @@ from labelmill.session import configure
 def flatten_records(records: DataFrame, column: str = "record") -> DataFrame:
     """JSON records, nested or flat, to the 13 columns and ``status``."""
     configure(records.sparkSession)
-    parsed = records.withColumn("_r", A.parse_strict(F.col(column)))
     others = [c for c in records.columns if c != column]
-    return parsed.select(
-        *others, *A.record_fields(F.col("_r")), A.record_status(F.col("_r")).alias("status")
+    record, nested = F.col("_record"), F.col("_nested")
+    parsed = (
+        records.withColumn("_record", A.parse_strict(F.col(column)))
+        .withColumn("_nested", A.labels_of(record))
+        .withColumn("status", A.record_status(record, nested))
     )
+    return parsed.select(*others, *A.record_fields(record, nested, F.col("status")), "status")
 
 
 def metadata_table(records: DataFrame) -> DataFrame:
