@@ -114,7 +114,9 @@ def test_shard_files(spark, tmp_path):
 
 def test_scratch_is_shared_folder(spark):
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+    assert one != two
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert one.startswith(base.rstrip("/"))
 
 
 def test_run_by_rules(spark, tree, tmp_path):

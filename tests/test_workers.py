@@ -1,5 +1,10 @@
-"""Python workers start without this package on their path."""
+"""Queries run from any folder and without any Spark settings.
 
+Python workers then start without this package on their path, and no scratch
+folder is named.
+"""
+
+import os
 import subprocess
 import sys
 
@@ -11,14 +16,15 @@ sys.path.insert(0, {root!r})
 import __spark_entry__ as entry
 from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-for name in ("extract_documents", "label_documents"):
+for name in ("extract_documents", "label_documents", "csv_round_trip"):
     print(name, entry.queries()[name](spark, {sf!r}).count() > 0)
 """
 
 
 def test_queries_run_from_any_folder(tmp_path):
     script = SCRIPT.format(root=str(ROOT), sf=SF_DIR)
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path)}
     done = subprocess.run(
-        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=180
+        [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180
     )
-    assert done.stdout.split() == ["extract_documents", "True", "label_documents", "True"], done.stderr[-2000:]
+    assert done.stdout.split() == ["extract_documents", "True", "label_documents", "True", "csv_round_trip", "True"], done.stderr[-2000:]
