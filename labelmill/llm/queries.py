@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labelmill.llm import exactdedup, sharding, simhash
+from labelmill.llm import decontam, exactdedup, pii, sharding, simhash
 from labelmill.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,11 +21,21 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
