@@ -4,7 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labelmill.llm import decontam, exactdedup, pii, quality, sharding, simhash, toxicity
+from labelmill.llm import (
+    decontam,
+    exactdedup,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 from labelmill.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +46,16 @@ def op4_decontamination(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_source_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_warc(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_quality_classifier(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
