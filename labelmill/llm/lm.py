@@ -32,25 +32,18 @@ LEAST_COUNT = 2
 
 # Words of a chunk; it ends with the document that reaches them. Bytes of text
 # whose n-grams share a range of the hash.
-CHUNK_WORDS = 2_500_000
-RANGE_BYTES = 16 << 20
+CHUNK_WORDS = 1_500_000
+RANGE_BYTES = 8 << 20
+
+# N-grams of two words or more are told apart by the upper 56 bits of their
+# hash: among 10^9 different ones, a chance of 2 in 10^8 for each to be taken for
+# another. Words keep 64 bits.
+GRAM_BITS = np.uint64(2**64 - 2**8)
 
 _CODED = "place long, chunk long, kind int, number int, data binary"
 _BODY = 0
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An integer array by byte planes, compressed."""
-    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
-
-
 def joined(*parts: bytes) -> bytes:
     """Parts behind their lengths."""
     sizes = np.array([len(parts), *map(len, parts)], np.int64).tobytes()
@@ -64,6 +57,19 @@ def parted(data: bytes) -> list[bytes]:
     return [data[s:e] for s, e in zip(starts, ends)]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """An integer array by byte planes, each compressed for itself."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    coder = zstandard.ZstdCompressor(level=1)
+    return joined(*(coder.compress(p.tobytes()) for p in planes))
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    coder = zstandard.ZstdDecompressor()
+    planes = [np.frombuffer(coder.decompress(p), np.uint8) for p in parted(data)]
+    return np.stack(planes, axis=1).view(kind).ravel()
+
+
 def differences(ordered: np.ndarray) -> np.ndarray:
     return np.diff(ordered, prepend=np.uint64(0))
 
@@ -86,7 +92,7 @@ def grams_of(words: np.ndarray, lengths: np.ndarray, order: int) -> Iterator[tup
             following[1:] = mixed_hash(current[:-1], words[1:])
             current = following
         ends = np.flatnonzero(inside >= n - 1)
-        yield ends, current[ends]
+        yield ends, current[ends] & GRAM_BITS if n > 1 else current[ends]
 
 
 class _Numbers(dict):
@@ -121,7 +127,6 @@ class Chunk:
         sequence = rank[np.concatenate(self.words)] if len(sort) else np.zeros(0, np.uint32)
         lengths = np.array([len(w) for w in self.words], np.int64)
         body = joined(
-            pack(differences(hashes)),
             pack(sequence),
             pack(lengths),
             pack(np.array(self.ids, np.int64)),
@@ -145,7 +150,10 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def answered(rows: pd.DataFrame) -> pd.DataFrame:
-    """The lists of one range, each n-gram's count in the chunk replaced by that in the corpus."""
+    """The lists of one range, each n-gram's count in the chunk replaced by that in the corpus.
+
+    Words keep their hashes beside the counts; the chunk needs them.
+    """
     out = rows.copy()
     for n in sorted(set(rows["kind"]) - {_BODY}):
         places = np.flatnonzero((rows["kind"] == n).to_numpy())
@@ -155,8 +163,9 @@ def answered(rows: pd.DataFrame) -> pd.DataFrame:
         _, where = np.unique(grams, return_inverse=True)
         totals = np.bincount(where, counts).astype(np.int64)[where]
         ends = np.cumsum([len(c) for _, c in lists])[:-1]
-        for place, part in zip(places, np.split(totals, ends)):
-            out.iat[place, out.columns.get_loc("data")] = pack(part)
+        for place, part, (hashes, _) in zip(places, np.split(totals, ends), lists):
+            data = joined(pack(hashes), pack(part)) if n == 1 else pack(part)
+            out.iat[place, out.columns.get_loc("data")] = data
     out["place"] = out["chunk"]
     return out
 
@@ -167,16 +176,22 @@ def chunk_scores(rows: pd.DataFrame, order: int) -> pd.DataFrame:
     Unigrams are still to be divided by the words of the corpus.
     """
     body = rows.loc[rows["kind"] == _BODY, "data"].iloc[0]
-    hashes, sequence, lengths, ids, known = (
-        unpack(p, k)
-        for p, k in zip(parted(bytes(body)), (np.uint64, np.uint32, np.int64, np.int64, np.uint8))
+    sequence, lengths, ids, known = (
+        unpack(p, k) for p, k in zip(parted(bytes(body)), (np.uint32, np.int64, np.int64, np.uint8))
     )
-    words = np.cumsum(hashes, dtype=np.uint64)[sequence]
+    lists = {
+        n: [bytes(d) for d in rows[rows["kind"] == n].sort_values("number")["data"]]
+        for n in range(1, order + 1)
+    }
+    both = [parted(d) for d in lists[1]]
+    lists[1] = [counts for _, counts in both]
+    none = np.zeros(0, np.uint64)
+    hashes = np.concatenate([none, *(np.cumsum(unpack(h, np.uint64), dtype=np.uint64) for h, _ in both)])
+    words = hashes[sequence]
     counts = []
     for n, (ends, grams) in enumerate(grams_of(words, lengths, order), start=1):
         distinct, where = np.unique(grams, return_inverse=True)
-        answers = rows[rows["kind"] == n].sort_values("number")["data"]
-        totals = np.concatenate([np.zeros(0, np.int64), *(unpack(bytes(d), np.int64) for d in answers)])
+        totals = np.concatenate([none, *(unpack(d, np.int64) for d in lists[n])])
         if len(totals) != len(distinct):
             raise ValueError("a chunk and its counts differ")
         count = np.zeros(len(words), np.int64)

@@ -95,9 +95,9 @@ WITH spoken AS (
         translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[ \\t\\n\\x0B\\f\\r]+') AS words
     FROM documents
 ),
-part AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS at FROM spoken),
+part AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS j FROM spoken),
 token AS (
-    SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS i
+    SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS i
     FROM part WHERE w <> ''
 ),
 gram AS (

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import text_of
+from labelmill.llm.common import text_of, with_columns_replaced
 from labelmill.llm.splitters import numbers, ranked
 from labelmill.session import stored
 
@@ -85,3 +85,39 @@ def shard_documents(
         (F.col("place") - F.get(first, "shard")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def with_shards(
+    docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with their ``shard`` and ``slot``, as ``shard_documents`` places them.
+
+    Input columns of these names are replaced. Rows repeated with their id are
+    told apart by text and by an occurrence number, which is only made if there
+    are any.
+    """
+    placed = stored(shard_documents(docs, shards, id_column, text_column), "shards")
+    kept = with_columns_replaced(docs, ["shard", "slot"])
+    text = text_of(text_column)
+    keys = {
+        "_id": F.col(id_column).cast("long"),
+        "_crc": F.crc32(text.cast("binary")),
+        "_size": (F.octet_length(text) + ROW_BYTES).cast("long"),
+    }
+    mine = kept.withColumns(keys)
+    theirs = placed.select(
+        F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), F.col("size").alias("_size"),
+        "shard", "slot",
+    )
+    names = list(keys)
+    if theirs.groupBy(*names).count().filter("count > 1").limit(1).count():
+        mine = mine.withColumn("_copy", F.row_number().over(Window.partitionBy(*names).orderBy("_id")))
+        theirs = theirs.withColumn(
+            "_copy", F.row_number().over(Window.partitionBy(*names).orderBy("slot", "shard"))
+        )
+        names.append("_copy")
+    same = [mine[n].eqNullSafe(theirs[n]) for n in names]
+    condition = same[0]
+    for one in same[1:]:
+        condition = condition & one
+    return mine.join(theirs, condition).select(*[mine[c] for c in kept.columns], "shard", "slot")
