@@ -32,7 +32,7 @@ LEAST_COUNT = 2
 
 # Words of a chunk; it ends with the document that reaches them. Bytes of text
 # whose n-grams share a range of the hash.
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 2_200_000
 RANGE_BYTES = 8 << 20
 
 # N-grams of two words or more are told apart by the upper 56 bits of their
