@@ -93,22 +93,23 @@ def _free(mask: int) -> list[int]:
 def upper_nodes(codes: DataFrame, max_bits: int) -> DataFrame:
     """Fingerprints ``(fp, node)`` under every upper node ``(mask, pattern)`` with two or more.
 
-    A mask keeps ``max_bits + 1`` alternatives at each level, so every pair
-    within the distance meets under some node.
+    A mask has ``max_bits + 1`` children, so every pair within the distance
+    meets under some node. Masks depend on bit places alone: five levels leave at
+    most 14 free bits, and there are at most 243 masks to split, whatever the data.
     """
     parts = max_bits + 1
     level, masks, finished = codes.withColumn("mask", F.lit(0).cast("long")), [0], []
     while True:
-        children = {m: [_signed((m | c) & (2**64 - 1)) for c in _thirds(_free(m), parts)] for m in masks}
-        options = F.coalesce(
-            *[
-                F.when(F.col("mask") == m, F.array(*[F.lit(c).cast("long") for c in cs]))
-                for m, cs in children.items()
-            ]
-        )
+        children = [
+            (m, _signed((m | part) & (2**64 - 1))) for m in masks for part in _thirds(_free(m), parts)
+        ]
+        child = codes.sparkSession.createDataFrame(children, "mask long, child long")
         level = stored(
-            level.withColumn("mask", F.explode(options)).withColumn(
-                "pattern", F.col("fp").bitwiseAND(F.col("mask"))
+            level.join(F.broadcast(child), "mask").select(
+                "fp",
+                "node",
+                F.col("child").alias("mask"),
+                F.col("fp").bitwiseAND(F.col("child")).alias("pattern"),
             ),
             "nodes",
         )

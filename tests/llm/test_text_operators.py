@@ -1,0 +1,268 @@
+"""Personal data, benchmark leaks, language model scores and web archives."""
+
+import base64
+import gzip
+import hashlib
+import itertools
+import math
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from labelmill.llm import decontam, lm, pii, warc
+
+TEXT = "doc_id long, text string"
+
+# --- personal data ---------------------------------------------------------------
+
+
+def luhn(digits):
+    doubled = [int(d) * (2 if i % 2 else 1) for i, d in enumerate(reversed(digits))]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def base_spans(text):
+    """The contract's patterns, run one after the other."""
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    rules = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+    ]
+    return sorted(
+        (m.start(), kind, m.end())
+        for kind, (pattern, holds) in enumerate(rules)
+        for m in re.finditer(pattern, text)
+        if holds(m.group())
+    )
+
+
+PIECES = ["a", "@", ".", "-", "+", " ", "1", "255", "256", "0", "4425414259157784", "(", ")", "é", "😀", "\n", "x.y@b.co"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
+def test_base_spans_match_the_patterns(text):
+    got = [s for s in pii.find_spans(text) if s[1] < len(pii.BASE_KINDS)]
+    assert got == base_spans(text)
+
+
+@pytest.mark.parametrize(
+    "text,kind,value",
+    [
+        ("see HTTPS://a.b/c?d=1).", "url", "HTTPS://a.b/c?d=1"),
+        ("mailto:x", "url", None),
+        ("IBAN: DE89 3704 0044 0532 0130 00, x", "iban", "DE89 3704 0044 0532 0130 00"),
+        ("iban DE88370400440532013000", "iban", None),
+        ("Account number: 12-345/67.", "account", "12-345/67"),
+        ("password=da6a7d4f67 x", "account", "da6a7d4f67"),
+        ("the account was closed: never", "account", None),
+        ("token = nothing", "account", None),
+    ],
+)
+def test_added_spans(text, kind, value):
+    found = [text[s:e] for s, k, e in pii.find_spans(text) if pii.KINDS[k] == kind]
+    assert found == ([value] if value else [])
+
+
+def test_spans_are_linear_in_long_texts():
+    for text in ("1" * 300_000, "a" * 300_000 + "@", "1 " * 200_000, "+1" * 200_000, "a@" * 200_000, "1." * 200_000):
+        pii.find_spans(text)
+
+
+def test_personal_data_rows(spark):
+    rows = [(1, "é x@y.zz +1 (212) 555-0199"), (2, None), (2, ""), (None, "1.2.3.4")]
+    docs = spark.createDataFrame([(*r, "q") for r in rows], TEXT + ", spans string")
+    got = {(r.doc_id, r.spans): r for r in pii.personal_data(docs).collect()}
+    first = got[(1, "email:2:8,phone:9:26")]
+    assert (first.n_email, first.n_ip, first.n_card, first.n_phone) == (1, 0, 0, 1)
+    assert first.base_sha256 == hashlib.sha256(b"email:2:8,phone:9:26").hexdigest()
+    assert got[(2, "")].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[(None, "ip:0:7")].n_ip == 1
+    assert pii.personal_data(docs).count() == 4
+    assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+# --- benchmark leaks ---------------------------------------------------------------
+
+ITEM = [f"w{i}" for i in range(20)]
+LONG = "doc_id long, text string, item_id string"
+
+
+def test_masks_tolerate_the_substitutions():
+    for wrong in itertools.combinations(range(decontam.STRETCH), decontam.SUBSTITUTED):
+        assert any(
+            not {at + i for i in mask} & set(wrong)
+            for mask in decontam.MASKS
+            for at in range(decontam.STRETCH - decontam.SPAN + 1)
+        )
+
+
+def found(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], LONG)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontam.leaks(docs, bench).collect()}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_leaks(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontam, "SEED_ROWS", 0)
+        monkeypatch.setattr(decontam, "HIT_ROWS", 0)
+    changed = [w if i % 7 else "other" for i, w in enumerate(ITEM)]
+    spoiled = [w if i % 3 else "other" for i, w in enumerate(ITEM)]
+    texts = [
+        "so " * 9 + " ".join(ITEM) + " end",
+        " ".join(changed).upper().replace(" ", ", "),
+        " ".join(spoiled),
+        " ".join(ITEM[:12]),
+        " ".join(ITEM[6:]) + " tail",
+        "w1 w2 w3",
+        None,
+        "",
+    ]
+    got = found(spark, texts, [" ".join(ITEM), None, "", "w1 w2 w3", " ".join(ITEM)])
+    assert sorted(got) == [(d, i) for d in (0, 1, 4) for i in (0, 4)]
+    assert tuple(got[(0, 0)])[2:] == (9, 20, 20, 13)
+    assert (got[(1, 0)].first_token, got[(1, 0)].agreeing, got[(1, 0)].best_stretch) == (0, 17, 12)
+    assert (got[(4, 0)].first_token, got[(4, 0)].agreeing) == (-6, 14)
+
+
+@pytest.mark.parametrize("length,wrong,leaked", [(8, 0, 1), (8, 1, 0), (10, 1, 1), (10, 2, 0), (13, 2, 1), (13, 3, 0), (7, 0, 0)])
+def test_short_items(spark, length, wrong, leaked):
+    words = ITEM[:length]
+    text = [w if i >= wrong else "other" for i, w in enumerate(words)]
+    assert len(found(spark, [" ".join(text)], [" ".join(words)])) == leaked
+
+
+def test_leaks_of_repeated_rows_and_empty_tables(spark):
+    item = " ".join(ITEM)
+    docs = spark.createDataFrame([(1, item), (1, item), (None, item)], TEXT)
+    bench = spark.createDataFrame([(5, item), (5, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()] == [(1, 5)]
+    assert decontam.leaks(docs.limit(0), bench).count() == 0
+    assert decontam.leaks(docs, bench.limit(0)).count() == 0
+
+
+# --- language model ---------------------------------------------------------------
+
+
+def brute_scores(rows):
+    texts = [(i, re.findall(r"[^ \t\n\r\x0b\f]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))) for i, t in rows]
+    counts = Counter(tuple(w[i : i + n]) for _, w in texts for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    total = sum(len(w) for _, w in texts)
+    for doc_id, w in texts:
+        score, used = 0.0, Counter()
+        for i in range(len(w)):
+            longest = min(i + 1, 3)
+            for n in range(longest, 0, -1):
+                gram = tuple(w[i - n + 1 : i + 1])
+                if n == 1 or counts[gram] >= 2:
+                    share = counts[gram] / (counts[gram[:-1]] if n > 1 else total)
+                    score += math.log(share) + (longest - n) * math.log(0.4)
+                    used[n] += 1
+                    break
+        yield doc_id, len(w), used[1], used[2], used[3], score
+
+
+@pytest.mark.parametrize("words,size", [(1_500_000, 8 << 20), (20, 64)])
+def test_backoff_scores(spark, monkeypatch, words, size):
+    """Also with many chunks and ranges."""
+    monkeypatch.setattr(lm, "CHUNK_WORDS", words)
+    monkeypatch.setattr(lm, "RANGE_BYTES", size)
+    base = "the cat Sat on the mat and the dog sat on the cat mat é ß the the the".split()
+    rows = [(i, " ".join(base[i % 5 : 5 + i % 13])) for i in range(60)] + [(60, None), (61, " \n"), (None, "the cat"), (1, "the\x0bcat\x1cx")]
+    docs = spark.createDataFrame(rows, TEXT).repartition(3)
+    got = Counter(
+        (r.doc_id, r.n_words, r.by_1, r.by_2, r.by_3, round(r.log_score, 4)) for r in lm.backoff_scores(docs).collect()
+    )
+    assert got == Counter((*r[:5], round(r[5], 4)) for r in brute_scores(rows))
+
+
+def test_backoff_edges(spark):
+    docs = spark.createDataFrame([(1, "x", 3)], TEXT + ", n_words int")
+    assert [tuple(r) for r in lm.backoff_scores(docs).collect()] == [(1, 1, 1, 0, 0, 0.0, 0.0)]
+    assert lm.backoff_scores(docs.limit(0)).count() == 0
+
+
+# --- web archives ---------------------------------------------------------------
+
+PAGES = "page_id long, url string, html string"
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+@pytest.mark.parametrize("payload", [b"", b"x", b"\r\n\r\nWARC/1.1\r\n" * 900, bytes(range(256)) * 50])
+def test_chunked_framing_round_trip(payload):
+    assert warc.dechunked(warc.chunked(payload)) == payload
+
+
+def test_damaged_chunks_are_errors():
+    for body in (b"3\r\nabc", b"3\r\nabcd\r\n0\r\n\r\n", b""):
+        with pytest.raises(ValueError):
+            warc.dechunked(body)
+
+
+@pytest.mark.parametrize("rows_to_broadcast", [100_000, 0])
+def test_archived_pages(spark, monkeypatch, rows_to_broadcast):
+    monkeypatch.setattr(warc, "REPEATED_ROWS", rows_to_broadcast)
+    monkeypatch.setattr(warc, "SEGMENT_BYTES", 500)
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 70)
+    long = "é\r\n\r\nWARC/1.1\r\n€" * 400
+    rows = [(3, "http://x/ä b", long), (1, None, long), (2, "u", long), (4, "u", None), (5, "u", ""), (6, "u", "one"), (9, "u\r\nv", "0\r\n\r\n")]
+    rows += [(8, "u", long + "!"), (8, "u", long + "!"), (None, "u", long + "?"), (None, "u", long + "?")]
+    pages = spark.createDataFrame([(*r, 7) for r in rows], PAGES + ", payload int").repartition(4)
+    got = sorted(tuple(r) for r in warc.archived_pages(pages).na.fill(-1).collect())
+    first = {}
+    for page, _, html in rows:
+        if page is not None:
+            first[html or ""] = min(first.get(html or "", page), page)
+    want = []
+    for page, _, html in rows:
+        known = first.get(html or "", page)
+        again = page is not None and known != page
+        want.append((-1 if page is None else page, len((html or "").encode()), digest(html), "revisit" if again else "response", known if again else -1))
+    assert got == sorted(want)
+
+
+def test_archives_are_plain_records(spark, tmp_path, monkeypatch):
+    """The files follow the format; another reader finds every payload."""
+    monkeypatch.setattr(warc, "SEGMENT_BYTES", 300)
+    rows = [(i, f"http://x/{i}", "text " * i) for i in range(150)]
+    path = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(2), path)
+    blocks = {}
+    for file in (tmp_path / "w").glob("part-*.gz"):
+        data = gzip.decompress(file.read_bytes())
+        assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
+        for fields, block in warc.parse_records(data):
+            origin = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"])
+            blocks.setdefault(origin, []).append((int(fields.get("WARC-Segment-Number", 1)), block))
+    assert len(blocks) == 150 and max(map(len, blocks.values())) > 2
+    for i, _, html in rows:
+        whole = b"".join(b for _, b in sorted(blocks[f"<urn:page:{i}>"]))
+        assert warc.dechunked(whole.split(b"\r\n\r\n", 1)[1]) == html.encode()
+    read = {r.page_id: bytes(r.payload).decode() for r in warc.read_archives(spark, path).collect()}
+    assert read == {i: html for i, _, html in rows}
+
+
+def test_missing_segment_is_an_error(spark):
+    parts = [(1, "a", "a", "response", 1, -1, "D", None, b"x"), (1, "c", "a", "continuation", 3, 3, "", None, b"z")]
+    frame = spark.createDataFrame(parts, warc.PARSED)
+    with pytest.raises(Exception, match="segments are missing"):
+        warc.reassembled(frame).collect()
+
+
+def test_small_payloads_are_all_responses(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], PAGES)
+    got = warc.archived_pages(pages, least_bytes=3).collect()
+    assert sorted((r.page_id, r.record_type) for r in got) == [(1, "response"), (2, "response"), (3, "response"), (4, "revisit")]
+    assert warc.archived_pages(pages.limit(0)).count() == 0
+    assert warc.archived_pages(pages.select("page_id", "url", F.lit(None).cast("string").alias("html"))).count() == 4
