@@ -88,7 +88,7 @@ def quoted(text: Column) -> Column:
 
 FULL_LABELS = (
     '"type":"기술정보","source":"FAQ","region":"A1(KOREA)","country":"Korea",'
-    '"model":"CT (One)","xev":null,"year1":2024,"year2":"2025","language":"ko-KR",'
+    '"model":"QX (One)","xev":null,"year1":2024,"year2":"2025","language":"ko-KR",'
     '"version":"v2.0.1","updated_at":"2024-02-29","file_format":"web"'
 )
 SOME_LABELS = '"type":"브랜드","type":"비즈니스","region":null,"xev":"Hybrid"'

@@ -23,7 +23,6 @@ from labelmill.plans import video as video_plan
 from labelmill.schema import METADATA_COLUMNS
 from labelmill.session import scratch_path, stored
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
-from labelmill.sources import files
 from labelmill.sources.tables import read_metadata_csv
 
 RUN_AT = datetime(2024, 1, 29, 14, 30, 5)
@@ -53,13 +52,6 @@ def file_manifest(spark, sf_dir):
     )
 
 
-@query
-def stored_files(spark, sf_dir):
-    """The files the tables consist of, from the listing alone."""
-    found = files.list_files(spark, sf_dir, suffix=".parquet")
-    return found.select("file_name", "length", "mime_type")
-
-
 @query
 def object_info(spark, sf_dir):
     created = F.timestamp_seconds(F.lit(1_700_000_000) + F.col(I.DOC_ID) * 3601)

@@ -29,7 +29,10 @@ STOP_WORDS = sorted(
     " this to was were will with 그 그리고 는 등 및 수 에 에서 을 의 이 있는 있다 하는 한".split()
 )
 
-_WON = r"([0-9][0-9,]*(?:[.][0-9]+)?)\s*만\s*원"
+# A number is tried from its beginning only: inside a run of digits and commas
+# the rest of the pattern fails as it did from there.
+_NUMBER = r"(?<![0-9])(?<![0-9],)[0-9][0-9,]*+(?:[.][0-9]++)?"
+_WON = rf"({_NUMBER})\s*만\s*원"
 _DOLLAR = r"[$]\s*([0-9][0-9,]*(?:[.][0-9]+)?)"
 _EDGE_BEFORE = r"(?<![\p{L}\p{N}])"
 _EDGE_AFTER = r"(?![\p{L}\p{N}])"
@@ -86,14 +89,21 @@ def xev_type(text: Column) -> Column:
     return F.when(plug_in, F.lit("Plugin-Hybrid")).when(_says(text, "hybrid"), F.lit("Hybrid"))
 
 
-def _amounts(text: Column, pattern: str, currency: str, factor: int) -> Column:
+def _amounts(text: Column, sign: str, pattern: str, currency: str, factor: int) -> Column:
+    """Amounts by the pattern, in texts that hold the sign. Decimal but for endless digits."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    return F.transform(
+
+    def amount(written: Column) -> Column:
+        number = F.regexp_replace(written, ",", "")
+        exact = (number.try_cast("decimal(28,4)") * factor).cast("double")
+        return F.coalesce(exact, number.cast("double") * factor)
+
+    every = F.transform(
         found,
-        lambda a: F.struct(
-            F.lit(currency).alias("currency"),
-            (F.regexp_replace(a, ",", "").cast("double") * factor).alias("amount"),
-        ),
+        lambda a: F.struct(F.lit(currency).alias("currency"), amount(a).alias("amount")),
+    )
+    return F.when(F.contains(text, F.lit(sign)), every).otherwise(
+        F.array().cast("array<struct<currency:string,amount:double>>")
     )
 
 
@@ -103,16 +113,17 @@ def prices(text: Column) -> Column:
     Won amounts are written in units of ten thousand.
     """
     return F.concat(
-        _amounts(text, _WON, "KRW", 10_000), _amounts(text, _DOLLAR, "USD", 1)
+        _amounts(text, "만", _WON, "KRW", 10_000), _amounts(text, "$", _DOLLAR, "USD", 1)
     )
 
 
 def price_text(text: Column) -> Column:
     """The first amount as written, null without one."""
-    return F.nullif(
-        F.regexp_extract(text, r"([0-9][0-9,]*(?:[.][0-9]+)?\s*만\s*원|[$]\s*[0-9][0-9,]*(?:[.][0-9]+)?)", 1),
-        F.lit(""),
+    written = F.regexp_extract(
+        text, rf"({_NUMBER}\s*만\s*원|[$]\s*[0-9][0-9,]*+(?:[.][0-9]++)?)", 1
     )
+    priced = F.contains(text, F.lit("만")) | F.contains(text, F.lit("$"))
+    return F.when(priced, F.nullif(written, F.lit("")))
 
 
 def model_years(text: Column) -> Column:

@@ -100,12 +100,12 @@ def summary_paragraph(text: Column) -> Column:
     A paragraph is a line, white space at its ends ignored. Texts without such
     a line yield their first characters.
     """
+    opening = F.substring(strip(text), 1, SUMMARY_FALLBACK)
+    return F.substring(F.coalesce(long_paragraph(text), opening), 1, SUMMARY_CHARS)
+
+
+def long_paragraph(text: Column) -> Column:
+    """The first paragraph that is long enough, cut to the limit; null without one."""
     lines = F.transform(F.split(text, r"[\r\n]+"), strip)
     long_enough = F.filter(lines, lambda line: F.length(line) >= SUMMARY_MINIMUM)
-    return F.substring(
-        F.coalesce(
-            F.get(long_enough, F.lit(0)), F.substring(strip(text), 1, SUMMARY_FALLBACK)
-        ),
-        1,
-        SUMMARY_CHARS,
-    )
+    return F.substring(F.get(long_enough, F.lit(0)), 1, SUMMARY_CHARS)

@@ -131,6 +131,7 @@ def rule_labels(
         R.xev_type(text).alias("xev"),
         R.model_years(text).alias("_years"),
         X.summary_paragraph(text).alias("content_summary"),
+        X.long_paragraph(text).alias("_paragraph"),
     ).select(
         "uri",
         "part",
@@ -140,8 +141,9 @@ def rule_labels(
         F.array_min("_years").alias("year1"),
         F.array_max("_years").alias("year2"),
         "content_summary",
+        "_paragraph",
     )
-    labels = found.filter(F.col("part") == "").drop("part").unionByName(
+    labels = found.filter(F.col("part") == "").drop("part", "_paragraph").unionByName(
         _combine_parts(
             found.filter(F.col("part") != ""), documents.filter(F.col("part") != "")
         )
@@ -164,14 +166,13 @@ def _combine_parts(found: DataFrame, parts: DataFrame) -> DataFrame:
     def first(name: str, found_one: Column) -> Column:
         return F.min_by(name, F.when(found_one, F.col("part")))
 
-    long_enough = F.length("content_summary") >= X.SUMMARY_MINIMUM
     combined = found.groupBy("uri").agg(
         F.min("language").alias("language"),
         F.coalesce(first("model", F.col("model") != "UNKNOWN"), F.lit("UNKNOWN")).alias("model"),
         F.max("xev").alias("xev"),
         F.min("year1").alias("year1"),
         F.max("year2").alias("year2"),
-        first("content_summary", long_enough).alias("_paragraph"),
+        first("_paragraph", F.col("_paragraph").isNotNull()).alias("_paragraph"),
     )
     openings = _opening(parts, X.SUMMARY_FALLBACK)
     return combined.join(openings, "uri", "left").select(

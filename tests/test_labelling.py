@@ -1,6 +1,8 @@
 import json
 from collections import Counter
 
+import pytest
+
 from labelmill.functions import rules as R
 from labelmill.operators import extraction, labelling, records
 from labelmill.schema import METADATA_COLUMNS
@@ -73,6 +75,20 @@ def column(spark, values, expression):
     return [r[1] for r in df.select("i", expression(F.col("t"))).orderBy("i").collect()]
 
 
+def test_prices_are_decimal_and_linear(spark):
+    texts = ["2,999.99만원", "1" * 1_000_000 + " 만 " + "2" * 1_000_000, ",5만원 1.2.3만원 1,,5만원", "9" * 40 + "만원"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: [p.amount for p in r.p] for r in df.select("i", R.prices(F.col("t")).alias("p")).collect()}
+    assert got == {0: [29_999_900.0], 1: [], 2: [50_000.0, 23_000.0, 150_000.0], 3: [pytest.approx(1e44)]}
+
+
+def test_long_paragraph_of_a_later_part_wins(spark):
+    parts = [("u", "0", "short line\n" * 40), ("u", "1", "A real paragraph that is long enough to be the summary of it.")]
+    df = spark.createDataFrame(parts, "uri string, part string, full_text string")
+    (row,) = labelling.rule_labels(df, ["X"], "2024-01-29").collect()
+    assert row.content_summary.startswith("A real paragraph")
+
+
 def test_prices(spark):
     texts = ["3,000만원", "1,200만 원 or $30,000", "$5.50, $ 7 and 2.5만원", "$", "만원", "30,000원"]
     got = column(spark, texts, R.prices)

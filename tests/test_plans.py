@@ -5,9 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from catalog import queries as catalog
 
-QUERIES = entry.queries()
-EAGER = {"stored_files"}
+QUERIES = {name: entry.queries()[name] for name in catalog.QUERIES}
 
 
 def plan(spark, sf_dir, name):

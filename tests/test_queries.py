@@ -9,9 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import queries as catalog
+from catalog import sql as catalog_sql
+from labelmill.sources import files
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+# Queries of the text preparation package are tested beside it.
+QUERIES = {name: entry.queries()[name] for name in catalog.QUERIES}
+ORACLES = catalog_sql.ORACLES
 
 TABLES = """region nation customer supplier part orders lineitem events documents
 embeddings pages benchmark labels conversations""".split()
@@ -60,13 +64,13 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 
 def test_each_query_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"stored_files"}
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-def test_stored_files(spark, sf_dir):
-    """SQL cannot list files; the folder is listed here instead."""
-    got = {r.file_name: r.length for r in QUERIES["stored_files"](spark, sf_dir).collect()}
-    assert got == {p.name: p.stat().st_size for p in Path(sf_dir).glob("*.parquet")}
+def test_listed_files(spark, sf_dir):
+    found = files.list_files(spark, sf_dir, suffix=".parquet").collect()
+    assert {r.file_name: r.length for r in found} == {p.name: p.stat().st_size for p in Path(sf_dir).glob("*.parquet")}
 
 
 def test_flagship(spark):

@@ -58,14 +58,14 @@ def test_earlier_report(spark):
 
 
 GOOD = {
-    "type": "기술정보", "source": "FAQ", "region": "A1(KOREA)", "country": "Korea", "model": "MQ4 PE (The Name)", "xev": None,
+    "type": "기술정보", "source": "FAQ", "region": "A1(KOREA)", "country": "Korea", "model": "QX7 PE (The Name)", "xev": None,
     "year1": "2024", "year2": None, "language": "ko-KR", "version": "v1.2.3", "updated_at": "2024-02-29", "file_format": "pdf", "content_summary": "s",
 }
 
 
 def test_violations(spark):
     bad = {
-        "type": "x", "source": None, "region": "A9", "country": "Atlantis", "model": "mq4", "xev": "Diesel", "year1": "24", "year2": "20244",
+        "type": "x", "source": None, "region": "A9", "country": "Atlantis", "model": "qx7", "xev": "Diesel", "year1": "24", "year2": "20244",
         "language": "korean", "version": "1.0.0", "updated_at": "2023-02-29", "file_format": "PDF", "content_summary": "s" * 1001,
     }
     placeholders = {**GOOD, **dict.fromkeys(["type", "source", "region", "country", "model", "language"], "UNKNOWN"), "country": "COMMON"}

@@ -28,22 +28,25 @@ def test_strip_and_clean_follow_python(spark):
     assert column(spark, texts, X.clean_text) == [re.sub(r"\s+", " ", t).strip() for t in texts]
 
 
-def unfence(t):
-    t = t.strip()
-    for opening in ("```json", "```"):
-        if t.startswith(opening):
-            t = t[len(opening):]
-    if t.endswith("```"):
-        t = t[:-3]
-    return t.strip()
-
-
 def test_strip_fences_step_by_step(spark):
-    texts = [
-        "{}", "```json\n{}\n```", "```\n{}```", "  ```json{}``` \n", "```json```{}```", "``````json{}",
-        "```", "``````", "```json", "", "{}\n```\n", "　```json {} ```\x1c", "```JSON\n{}```", "a```b```", "```json\n```json\n{}\n``````",
-    ]
-    assert column(spark, texts, X.strip_fences) == [unfence(t) for t in texts]
+    wanted = {
+        '{}': '{}',
+        '```json\n{}\n```': '{}',
+        '```\n{}```': '{}',
+        '  ```json{}``` \n': '{}',
+        '```json```{}```': '{}',
+        '``````json{}': '```json{}',
+        '```': '',
+        '``````': '',
+        '```json': '',
+        '': '',
+        '{}\n```\n': '{}',
+        '\u3000```json {} ```\x1c': '{}',
+        '```JSON\n{}```': 'JSON\n{}',
+        'a```b```': 'a```b',
+        '```json\n```json\n{}\n``````': '```json\n{}\n```',
+    }
+    assert column(spark, list(wanted), X.strip_fences) == list(wanted.values())
 
 
 def test_request_keeps_whole_characters(spark):

@@ -38,10 +38,10 @@ def test_names_and_types(spark):
 
 
 def test_document_id(spark):
-    df = table(spark, [("My Doc.v2.pdf",), ("기아-é_1!?.x",), (".hidden",), ("áb",), ("①½",)], "n string")
+    df = table(spark, [("My Doc.v2.pdf",), ("가나-é_1!?.x",), (".hidden",), ("áb",), ("①½",)], "n string")
     at = F.lit("2024-01-29 14:30:05").cast("timestamp_ntz")
     assert [r[0] for r in results(df, U.document_id(F.col("n"), at))] == [
-        "My_Doc_20240129143005", "기아-é_1___20240129143005", "_20240129143005", "a_b_20240129143005", "①½_20240129143005",
+        "My_Doc_20240129143005", "가나-é_1___20240129143005", "_20240129143005", "a_b_20240129143005", "①½_20240129143005",
     ]
 
 
