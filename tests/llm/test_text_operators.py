@@ -127,7 +127,8 @@ def test_leaks(spark, monkeypatch, broadcast):
         "",
     ]
     got = found(spark, texts, [" ".join(ITEM), None, "", "w1 w2 w3", " ".join(ITEM)])
-    assert sorted(got) == [(d, i) for d in (0, 1, 4) for i in (0, 4)]
+    assert sorted(got) == [(d, i) for d in (0, 1, 3, 4) for i in (0, 4)]
+    assert (got[(3, 0)].agreeing, got[(3, 0)].best_stretch) == (12, 12)
     assert tuple(got[(0, 0)])[2:] == (9, 20, 20, 13)
     assert (got[(1, 0)].first_token, got[(1, 0)].agreeing, got[(1, 0)].best_stretch) == (0, 17, 12)
     assert (got[(4, 0)].first_token, got[(4, 0)].agreeing) == (-6, 14)
