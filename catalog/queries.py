@@ -204,14 +204,28 @@ def shard_merge(spark, sf_dir):
     )
 
 
+@query
+def shard_owner(spark, sf_dir):
+    """Shard files below the folders of their documents, told apart by path alone."""
+    u = F.col("uri")
+    folder = uri.chunk_prefix(uri.bucket(u), u, _at())
+    files = I.shard_files(spark, sf_dir).select(
+        F.concat(folder, F.lit("job/0/"), uri.file_name(F.col("shard_uri"))).alias("shard_uri"),
+        "length",
+    )
+    names = batch.output_names(I.listing(spark, sf_dir), "out", RUN_AT)
+    return shards.owned_shards(files, names).select("uri", "shard_uri", "length")
+
+
 @query
 def page_stats(spark, sf_dir):
-    return shards.page_stats(_merged(spark, sf_dir))
+    return shards.page_stats(_parsed_shards(spark, sf_dir))
 
 
 @query
 def entity_list(spark, sf_dir):
-    return shards.entity_list(_merged(spark, sf_dir))
+    # Positions run through whole documents, so none is in parts.
+    return shards.entity_list(_parsed_shards(spark, sf_dir)).withColumn("part", F.lit(""))
 
 
 @query
@@ -510,6 +524,15 @@ def batch_report(spark, sf_dir):
 @query
 def video_records(spark, sf_dir):
     """Videos to the 13 columns."""
-    documents = stored(_video_documents(spark, sf_dir), "videos")
+    ids = video_plan.video_ids(I.video_urls(spark, sf_dir))
+    found = video_plan.distinct_videos(
+        ids,
+        I.video_answers(spark, sf_dir),
+        I.spoken_tracks(spark, sf_dir),
+        I.spoken_lines(spark, sf_dir),
+    )
+    documents = stored(found, "videos")
     good = routing.split_quarantine(documents)[0]
-    return video_plan.video_records(good, RUN_DATE, I.MODELS)
+    labels = video_plan.video_records(good, RUN_DATE, I.MODELS)
+    records = video_plan.records_of_urls(ids, documents, labels)
+    return records.filter("found = 'ok'").select("uri", *METADATA_COLUMNS)

@@ -468,6 +468,12 @@ ORACLES: dict[str, str] = {
     "entity_list": f"""WITH {TEXTS}, {SHARDS} SELECT uri, '' AS part,
         row_number() OVER (PARTITION BY uri ORDER BY shard_uri) - 1 AS position, 'language' AS type,
         lang AS mention_text, (i + 1) / 4 AS confidence FROM shards""",
+    "shard_owner": f"""WITH {TEXTS}, {SHARDS}, named AS (
+        SELECT uri, {_name('uri')} AS name, 'gs://' || split_part(uri, '/', 3) AS bucket FROM texts),
+      files AS (SELECT name, shard_uri, octet_length(encode(text))::BIGINT AS length, bucket FROM shards JOIN named USING (uri))
+      SELECT named.uri, files.bucket || '/temp_async_output/20240129_143005/' || files.name || '/job/0/'
+        || {_name('shard_uri')} AS shard_uri, length
+      FROM files JOIN named USING (name) WHERE name <> ''""",
     "text_sidecar": f"""WITH {TEXTS} SELECT uri, '' AS part, full_text, unnest(['first', 'second']) AS run FROM texts""",
     "extract_documents": f"""WITH {TEXTS} SELECT uri, {_mime('uri')} AS mime_type, full_text,
         len(string_split(full_text, chr(12)))::BIGINT AS page_count,

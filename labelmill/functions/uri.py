@@ -24,6 +24,9 @@ FORMAT_BY_EXTENSION = {
     "txt": "string_link",
 }
 
+# Fixed value: the folder for shards of documents too large for a direct call.
+CHUNK_FOLDER = "temp_async_output"
+
 # Extensions a batch accepts, in any case.
 SUPPORTED_EXTENSIONS = ["pptx", "pdf", "docx"]
 
@@ -152,9 +155,17 @@ def chunk_prefix(output_bucket: Column, uri: Column, at: Column) -> Column:
     return F.concat(
         F.lit(SCHEME),
         output_bucket,
-        F.lit("/temp_async_output/"),
+        F.lit(f"/{CHUNK_FOLDER}/"),
         F.date_format(at, "yyyyMMdd_HHmmss"),
         F.lit("/"),
         F.substring_index(uri, "/", -1),
         F.lit("/"),
     )
+
+
+def chunk_folder(uri: Column) -> Column:
+    """Run and document folder of a shard or of a ``chunk_prefix``, else ``''``.
+
+    Scheme and bucket are left out: a store may list them in another form.
+    """
+    return F.regexp_extract(uri, rf"(?:^|/)({CHUNK_FOLDER}/[^/]+/[^/]+/)", 1)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelmill.operators.skew import join_short
 from labelmill.schema import ACCURACY_TARGET, DOMAINS, PLACEHOLDERS, SUMMARY_CHARS
 
 # Formats of the columns that have no closed list.
@@ -49,14 +50,15 @@ def domain_violations(
     """``(key, column, value, rule)`` of every value that breaks its rule.
 
     One pass over the records without a shuffle: the closed lists are short
-    constants. ``countries(country, region)`` is joined when given; Spark
-    broadcasts it if it turns out small.
+    constants. ``countries(country, region)`` is joined when given: broadcast
+    if it was counted as few, else salted, since most records may say the same.
     """
     rules = _rules()
     if countries is not None:
-        known = countries.select(F.col("country").alias("_country")).distinct()
-        records = records.join(known, F.col("country") == F.col("_country"), "left")
-        listed = F.col("country").isin(PLACEHOLDERS) | F.col("_country").isNotNull()
+        known = countries.filter(F.col("country").isNotNull()).select("country").distinct()
+        known = known.withColumn("_listed", F.lit(True))
+        records = join_short(records, known, ["country"], F.col(key), "left")
+        listed = F.col("country").isin(PLACEHOLDERS) | F.col("_listed")
         rules["country"] = ("domain", listed)
     checks = []
     for column, (rule, obeys) in rules.items():

@@ -115,25 +115,30 @@ def report_lines(
 ) -> Iterator[str]:
     """The report's text line by line, values by falling count.
 
-    Lines are handed on as partitions of the ordered report arrive; the driver
-    holds no more than one of them.
+    Takes the present report and the earlier one, whose mean page number goes
+    last. Lines are handed on as partitions of the ordered report arrive; the
+    driver holds no more than one of them.
     """
-    total = report.filter("dimension = 'total'").select("n").head()
-    if total is None or total["n"] == 0:
+    titles = {**SECTIONS, **EARLIER_SECTIONS}
+    place = F.create_map(*[F.lit(x) for i, d in enumerate(["total", *titles]) for x in (d, i)])
+    ordered = report.orderBy(
+        F.try_element_at(place, F.col("dimension")), F.desc("n"), "value"
+    ).toLocalIterator()
+    total = next(ordered, None)
+    if total is None or total["dimension"] != "total" or total["n"] == 0:
         yield EMPTY_REPORT
         return
     rule = "=" * 60
     yield from (rule, title, rule)
     yield f"\nTotal Documents Processed: {total['n']}"
     yield f"Generation Date: {generated_at}"
-    place = F.create_map(*[F.lit(x) for i, d in enumerate(SECTIONS) for x in (d, i)])
-    ordered = report.filter("dimension <> 'total'").orderBy(
-        F.try_element_at(place, F.col("dimension")), F.desc("n"), "value"
-    )
+    shown = "label" if "label" in report.columns else "value"
     section = None
-    for row in ordered.toLocalIterator():
+    for row in ordered:
         if row["dimension"] != section:
             section = row["dimension"]
-            yield f"\n\n{SECTIONS[section]}:"
-        yield f"  - {row['label']}: {row['n']}"
+            yield f"\n\n{titles[section]}:"
+        yield f"  - {row[shown]}: {row['n']}"
+    if "mean_pages" in report.columns and total["mean_pages"] is not None:
+        yield f"\n\nAverage Page Count: {total['mean_pages']:.2f}"
     yield "\n" + rule

@@ -1,14 +1,36 @@
 """OCR shards to documents: parse, cut pages, merge in shard order."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelmill.functions import uri as U
 from labelmill.functions.anchors import page_texts
 from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, oversize_groups, with_part
+from labelmill.operators.skew import join_short
 from labelmill.schema import ENTITIES, SHARD_JSON, SHARD_PAGES
 
 
+def owned_shards(files: DataFrame, names: DataFrame) -> DataFrame:
+    """Shard files ``(shard_uri, ...)`` with the ``uri`` of their document.
+
+    ``names`` holds ``(uri, chunk_prefix)``: where the shards of a document were
+    put. They may lie in any folder below. Shards of other documents go; before
+    the texts are parsed, and however many shards a document has.
+    """
+    owners = names.select("uri", U.chunk_folder(F.col("chunk_prefix")).alias("_folder"))
+    placed = files.drop("uri").withColumn("_folder", U.chunk_folder(F.col("shard_uri")))
+    return join_short(
+        placed, owners.filter(F.col("_folder") != ""), ["_folder"], F.col("shard_uri")
+    ).drop("_folder")
+
+
+def shards_of(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """Shards ``(uri, shard_uri, ...)`` of the expected documents only."""
+    listed = expected.select("uri").distinct()
+    return join_short(files, listed, ["uri"], F.col("shard_uri"), "left_semi")
+
+
 def parse_shards(files: DataFrame, content: str = "content") -> DataFrame:
     """Shard files ``(uri, shard_uri, content)`` to their text and structure.
 
@@ -106,35 +128,34 @@ def merge_shards(
 
 
 def with_missing(expected: DataFrame, merged: DataFrame, shards: DataFrame) -> DataFrame:
-    """The expected documents only, with a status row for those without shards.
-
-    Restricting and filling up are separate joins, so a document in many parts
-    is never on the side that cannot be split.
-    """
+    """Merged documents, with a status row for the expected ones without shards."""
     listed = expected.select("uri")
-    found = merged.join(listed, "uri", "left_semi")
     missing = listed.join(shards.select("uri").distinct(), "uri", "left_anti")
     rows = missing.select("uri", F.lit("").alias("part"), F.lit("no_shards").alias("status"))
-    return found.unionByName(rows, allowMissingColumns=True)
+    return merged.unionByName(rows, allowMissingColumns=True)
 
 
-def page_stats(documents: DataFrame) -> DataFrame:
-    """Pages and characters per document, parts added up."""
-    pages = F.coalesce(F.size("pages"), F.lit(0)).cast("bigint")
-    return documents.groupBy("uri").agg(
-        F.sum(pages).alias("page_count"),
-        F.sum(F.length("full_text").cast("bigint")).alias("text_length"),
+def page_stats(shards: DataFrame) -> DataFrame:
+    """Pages and characters per document, summed over its parsed shards."""
+    return shards.groupBy("uri").agg(
+        F.sum(F.size("pages").cast("bigint")).alias("page_count"),
+        F.sum(F.length("text").cast("bigint")).alias("text_length"),
     )
 
 
-def entity_list(documents: DataFrame) -> DataFrame:
-    """One row per recognised entity, in document order."""
-    return documents.select(
-        "uri", "part", F.posexplode("entities").alias("position", "entity")
+def entity_list(shards: DataFrame) -> DataFrame:
+    """One row per recognised entity of parsed shards, numbered through their document."""
+    before = W.partitionBy("uri").orderBy("shard_uri").rowsBetween(W.unboundedPreceding, -1)
+    listed = shards.select(
+        "uri",
+        "entities",
+        F.coalesce(F.sum(F.size("entities")).over(before), F.lit(0)).alias("_before"),
+    )
+    return listed.select(
+        "uri", "_before", F.posexplode("entities").alias("_at", "entity")
     ).select(
         "uri",
-        "part",
-        F.col("position").cast("bigint").alias("position"),
+        (F.col("_before") + F.col("_at")).cast("bigint").alias("position"),
         "entity.type",
         "entity.mention_text",
         "entity.confidence",

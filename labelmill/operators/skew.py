@@ -38,6 +38,17 @@ def join_narrow(
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def join_short(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], spread_by: Column, how: str = "inner"
+) -> DataFrame:
+    """Join with a lookup of one short row per key: broadcast once it was
+    counted as few, salted beyond that."""
+    counted = few_or_all(lookup)
+    if counted is lookup:
+        return join_narrow(rows, lookup, keys, spread_by, how)
+    return rows.join(lookup if counted is None else counted, keys, how)
+
+
 def join_hot(
     rows: DataFrame, lookup: DataFrame, key: str, spread_by: Column, how: str = "left"
 ) -> DataFrame:

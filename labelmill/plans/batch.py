@@ -13,12 +13,18 @@ from labelmill.operators.extraction import Extractor, extract_documents
 from labelmill.operators.labelling import label_documents, rule_labels
 from labelmill.operators.records import metadata_table
 from labelmill.operators.report import distribution_report
-from labelmill.operators.routing import size_route, split_quarantine, supported_files
-from labelmill.operators.shards import merge_shards, parse_shards, with_missing
+from labelmill.operators.routing import select_objects, size_route, split_quarantine, supported_files
+from labelmill.operators.shards import (
+    merge_shards,
+    owned_shards,
+    parse_shards,
+    shards_of,
+    with_missing,
+)
 from labelmill.schema import DIRECT_LIMIT_BYTES
 from labelmill.session import configure, stored
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
-from labelmill.sources.files import list_files, read_contents
+from labelmill.sources.files import below_prefix, read_contents
 
 
 @dataclass
@@ -31,29 +37,33 @@ class Outcome:
     report: DataFrame
 
 
-def direct_documents(
-    spark: SparkSession, path: str, extractor: Extractor, any_extension: bool = False
-) -> DataFrame:
-    """Documents of all files below a path that are read in one call.
+def direct_documents(contents: DataFrame, extractor: Extractor) -> DataFrame:
+    """Documents of the files that are read in one call.
 
-    The same tests that choose from the listing are put on the scan itself, so
-    contents are neither joined nor shuffled, and files that are too large or
-    have another extension are not opened.
+    The size test is put on the scan of ``(uri, length, content)`` itself, so
+    contents are neither joined nor shuffled, and files that are too large are
+    not opened.
     """
-    contents = read_contents(spark, path, None if any_extension else SUPPORTED_EXTENSIONS)
-    direct = contents.filter(F.col("length") <= DIRECT_LIMIT_BYTES)
-    return extract_documents(direct, extractor)
+    direct = contents.filter(F.coalesce("length", F.lit(0)) <= DIRECT_LIMIT_BYTES)
+    return extract_documents(direct.select("uri", "length", "content"), extractor)
 
 
-def chunked_documents(files: DataFrame, shards: DataFrame) -> DataFrame:
+def chunked_documents(files: DataFrame, shards: DataFrame, at: datetime) -> DataFrame:
     """Documents of the listed large files from their stored OCR shards.
 
-    ``shards`` carries ``(uri, shard_uri, length, content)``; a file without
-    any becomes a status row.
+    ``shards`` carries ``(shard_uri, length, content)`` and either the ``uri``
+    of the document, or else a path below its ``chunk_prefix`` of the run
+    ``at``. A file without any becomes a status row.
     """
     large = files.filter(F.col("route") == "chunked").select("uri")
+    if "uri" in shards.columns:
+        own = shards_of(shards, large)
+    else:
+        # Owners are found by run and document folder, in whatever bucket.
+        put = U.chunk_prefix(F.lit(""), F.col("uri"), F.lit(at).cast("timestamp"))
+        own = owned_shards(shards, large.select("uri", put.alias("chunk_prefix")))
     size = F.col("length") if "length" in shards.columns else None
-    merged = with_missing(large, merge_shards(parse_shards(shards), size=size), shards)
+    merged = with_missing(large, merge_shards(parse_shards(own), size=size), own)
     return merged.withColumn("error", F.lit(None).cast("string"))
 
 
@@ -84,33 +94,24 @@ def finish(records: DataFrame, csv_path: str, failed: DataFrame) -> Outcome:
     return Outcome(written, records, failed, distribution_report(table))
 
 
-def run_batch(
-    spark: SparkSession,
-    input_path: str,
+def _run(
+    contents: DataFrame,
     output_path: str,
+    csv_name: str,
     extractor: Extractor,
     at: datetime,
-    models: list[str] | None = None,
-    labeler: Callable[[str], str] | None = None,
-    shards: DataFrame | None = None,
-    any_extension: bool = False,
-    partitions: int | None = None,
+    models: list[str] | None,
+    labeler: Callable[[str], str] | None,
+    shards: DataFrame | None,
+    shards_at: datetime | None,
+    partitions: int | None,
 ) -> Outcome:
-    """Label all files below a path, or one file.
-
-    One bad file never stops the others: it ends in ``Outcome.quarantine``,
-    while a document whose labelling failed keeps its default record. A single
-    file is the same job over a path with one file; ``any_extension`` takes
-    whatever its suffix is.
-    """
-    configure(spark)
-    listing = list_files(spark, input_path)
-    chosen = listing if any_extension else supported_files(listing)
-    files = chosen.withColumn("route", size_route(F.col("length")))
+    listing = select_objects(contents.drop("content"))
+    files = listing.withColumn("route", size_route(F.col("length")))
 
-    documents = direct_documents(spark, input_path, extractor, any_extension)
+    documents = direct_documents(contents, extractor)
     if shards is not None:
-        documents = documents.unionByName(chunked_documents(files, shards))
+        documents = documents.unionByName(chunked_documents(files, shards, shards_at or at))
     else:
         unread = files.filter(F.col("route") == "chunked").select(
             "uri", F.lit("").alias("part"), "mime_type", F.lit("no_shards").alias("status")
@@ -122,8 +123,61 @@ def run_batch(
     records = stored(
         batch_records(good, f"{at:%Y-%m-%d}", models, labeler, partitions), "records"
     )
+    return finish(records, f"{output_path.rstrip('/')}/{csv_name}", failed)
+
+
+def run_batch(
+    spark: SparkSession,
+    inputs: str | DataFrame,
+    output_path: str,
+    extractor: Extractor,
+    at: datetime,
+    models: list[str] | None = None,
+    labeler: Callable[[str], str] | None = None,
+    shards: DataFrame | None = None,
+    any_extension: bool = False,
+    partitions: int | None = None,
+    shards_at: datetime | None = None,
+) -> Outcome:
+    """Label all files whose path begins with ``inputs``, see ``below_prefix``.
+
+    ``inputs`` may also be a table ``(uri, length, content)``: then nothing is
+    listed. One bad file never stops the others: it ends in
+    ``Outcome.quarantine``, while a document whose labelling failed keeps its
+    default record. ``any_extension`` takes whatever the suffix is. ``shards``
+    without a ``uri`` are those of the run ``shards_at``, this one by default.
+    """
+    configure(spark)
+    if isinstance(inputs, DataFrame):
+        contents = inputs if any_extension else supported_files(inputs)
+    else:
+        wanted = None if any_extension else SUPPORTED_EXTENSIONS
+        contents = read_contents(spark, below_prefix(inputs), wanted)
     name = f"batch_metadata_{at:%Y%m%d_%H%M%S}.csv"
-    return finish(records, f"{output_path.rstrip('/')}/{name}", failed)
+    return _run(
+        contents, output_path, name, extractor, at, models, labeler, shards, shards_at, partitions
+    )
+
+
+def run_file(
+    spark: SparkSession,
+    path: str,
+    output_path: str,
+    extractor: Extractor,
+    at: datetime,
+    models: list[str] | None = None,
+    labeler: Callable[[str], str] | None = None,
+    shards: DataFrame | None = None,
+    shards_at: datetime | None = None,
+) -> Outcome:
+    """Label one file, whatever its extension.
+
+    Its CSV bears its name and is replaced when the file is labelled again.
+    """
+    configure(spark)
+    name = path.rsplit("/", 1)[-1].rsplit(".", 1)[0] + "_metadata.csv"
+    contents = read_contents(spark, path)
+    return _run(contents, output_path, name, extractor, at, models, labeler, shards, shards_at, None)
 
 
 def output_names(listing: DataFrame, folder: str, at: datetime) -> DataFrame:

@@ -30,32 +30,47 @@ def video_ids(urls: DataFrame) -> DataFrame:
     )
 
 
-def documents_of_videos(
-    urls: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
+def distinct_videos(
+    ids: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
 ) -> DataFrame:
-    """Documents of videos from the stored answers about them.
+    """Documents of the videos among ``ids``, each put together once.
+
+    ``(uri, video_id, part, full_text, status)``; the id also serves as ``uri``.
+    Ids are reduced before the shuffle, so a video behind most of the URLs is
+    one key of many, and its text is not repeated for them.
+    """
+    wanted = ids.filter(F.col("status") == "ok").select("video_id").distinct()
+    spoken = transcript_texts(chosen_lines(lines, select_tracks(tracks)), ("video_id",))
+    asked = answers.join(wanted, "video_id", "left_semi")
+    return video_documents(video_info(asked), spoken).withColumn("uri", F.col("video_id"))
+
+
+def of_urls(ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows ``(video_id, status, ...)`` of videos for each URL of ``ids``.
 
     A URL without a video and a video without an answer keep a status row.
     """
-    ids = video_ids(urls)
     # Foreign URLs share one key, null; they do not take part in the join.
-    foreign = ids.filter(F.col("status") != "ok").select(
-        "uri", "video_id", F.lit("").alias("part"), "status"
-    )
-    spoken = transcript_texts(chosen_lines(lines, select_tracks(tracks)), ("video_id",))
-    documents = video_documents(video_info(answers), spoken)
-    # One video may be behind most of the URLs: it is put together once.
+    foreign = ids.filter(F.col("status") != "ok")
     own = ids.filter(F.col("status") == "ok").drop("status")
-    known = join_hot(own, documents, "video_id", F.col("uri")).select(
-        "uri",
-        "video_id",
-        F.coalesce("part", F.lit("")).alias("part"),
-        "full_text",
-        F.coalesce("status", F.lit("video_not_found")).alias("status"),
+    known = join_hot(own, rows.drop("uri"), "video_id", F.col("uri")).withColumn(
+        "status", F.coalesce("status", F.lit("video_not_found"))
     )
     return known.unionByName(foreign, allowMissingColumns=True)
 
 
+def documents_of_videos(
+    urls: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
+) -> DataFrame:
+    """The document of every URL. The text of a video behind several URLs is
+    repeated for each; the jobs join labels to the URLs instead."""
+    ids = video_ids(urls)
+    found = of_urls(ids, distinct_videos(ids, answers, tracks, lines))
+    return found.select(
+        "uri", "video_id", F.coalesce("part", F.lit("")).alias("part"), "full_text", "status"
+    )
+
+
 def video_records(
     documents: DataFrame,
     run_date: str,
@@ -65,7 +80,20 @@ def video_records(
     """Records of video documents; their file format is ``video``."""
     if labeler is not None:
         return label_documents(documents, labeler, run_date, source_type="video")
-    return rule_labels(documents, models or [], run_date, source_type="video")
+    rules = rule_labels(documents, models or [], run_date, source_type="video")
+    return rules.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
+
+
+def records_of_urls(ids: DataFrame, documents: DataFrame, records: DataFrame) -> DataFrame:
+    """``(uri, found, 13 columns, status, error)`` of every URL.
+
+    ``found`` says what became of the URL, ``status`` of the labels. Only the
+    narrow records are joined to the URLs, never the texts.
+    """
+    labels = records.withColumnsRenamed({"uri": "video_id", "status": "_labels"})
+    videos = documents.groupBy("video_id").agg(F.min("status").alias("status"))
+    joined = of_urls(ids, videos.join(labels, "video_id", "left"))
+    return joined.withColumnsRenamed({"status": "found", "_labels": "status"})
 
 
 def run_videos(
@@ -80,12 +108,29 @@ def run_videos(
 ) -> Outcome:
     """Label the videos behind a table of URLs, or behind one.
 
-    URLs without a video end in ``Outcome.quarantine``.
+    Each video is written and labelled once, under its id; its record goes to
+    all its URLs. URLs without a video end in ``Outcome.quarantine``. The CSV
+    of a single URL bears the id of its video.
     """
     configure(urls.sparkSession)
-    documents = stored(documents_of_videos(urls, answers, tracks, lines), "videos")
-    good, failed = split_quarantine(documents)
+    ids = video_ids(urls)
+    documents = stored(distinct_videos(ids, answers, tracks, lines), "videos")
+    good = split_quarantine(documents)[0]
     write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y%m%d_%H%M%S}")
-    records = stored(video_records(good, f"{at:%Y-%m-%d}", models, labeler), "records")
-    name = f"video_metadata_{at:%Y%m%d_%H%M%S}.csv"
-    return finish(records, f"{output_path.rstrip('/')}/{name}", failed)
+    labels = stored(video_records(good, f"{at:%Y-%m-%d}", models, labeler), "labels")
+    records = stored(records_of_urls(ids, documents, labels), "records")
+    failed = records.filter(F.col("found") != "ok").select(
+        "uri", "video_id", F.col("found").alias("status")
+    )
+    return finish(
+        records.filter(F.col("found") == "ok"),
+        f"{output_path.rstrip('/')}/{_csv_name(ids, at)}",
+        failed,
+    )
+
+
+def _csv_name(ids: DataFrame, at: datetime) -> str:
+    few = ids.select("video_id").limit(2).collect()
+    if len(few) == 1 and few[0]["video_id"] is not None:
+        return f"video_{few[0]['video_id']}_{at:%Y%m%d_%H%M%S}_metadata.csv"
+    return f"video_metadata_{at:%Y%m%d_%H%M%S}.csv"

@@ -7,13 +7,16 @@ from labelmill.operators.records import metadata_table
 
 BYTE_ORDER_MARK = "\ufeff"
 
+# A file is read back by one task, since values may hold line breaks.
+ROWS_PER_FILE = 100_000
+
 
 def write_metadata_csv(records: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write the 13 columns as CSV files with byte-order marks; their path.
 
     The mark is part of the first header name, since the writer has no option
     for it. An empty table writes nothing and returns ``''``. The path is a
-    folder; every task writes a file of its own. ``append`` adds files and
+    folder; every task writes files of its own, of limited length. ``append`` adds files and
     leaves the old ones alone.
     """
     table = metadata_table(records)
@@ -24,6 +27,7 @@ def write_metadata_csv(records: DataFrame, path: str, mode: str = "errorifexists
     (
         marked.write.mode(mode)
         .option("header", True)
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("escape", '"')
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)

@@ -1,4 +1,10 @@
-"""Object listings and file contents."""
+"""Object listings and file contents.
+
+Spark's file sources leave out files, and folders below the given path, whose
+names start with ``_`` or ``.``. To read those, bring their contents as a table.
+"""
+
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -6,19 +12,24 @@ from pyspark.sql import functions as F
 from labelmill.operators.routing import select_objects
 
 
+def below_prefix(path: str) -> str:
+    """A path of the file source for all objects that begin with ``path``.
+
+    What follows the first ``*`` is ignored. A path that ends in a slash is a
+    folder; any other also matches longer names.
+    """
+    base = path.split("*", 1)[0]
+    literal = re.sub(r"([\\\[\]{}?])", r"\\\1", base)
+    return literal if literal.endswith("/") else literal + "*"
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """``(uri, length, modificationTime, file_name, mime_type)`` below a path.
 
     Only the listing is read: content is not among the selected columns and is
     pruned from the scan.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(F.col("path").alias("uri"), "length", "modificationTime")
-    )
-    return select_objects(listing, suffix=suffix)
+    return select_objects(read_contents(spark, path).drop("content"), suffix=suffix)
 
 
 def _any_case(extension: str) -> str:
@@ -28,23 +39,26 @@ def _any_case(extension: str) -> str:
 def read_contents(
     spark: SparkSession, path: str, extensions: list[str] | None = None
 ) -> DataFrame:
-    """``(uri, length, content)`` of the files below a path.
+    """``(uri, length, modificationTime, content)`` of the files below a path.
 
     Extensions are matched in any case, while listing: a glob ignores no case
-    by itself, so each letter is given in both.
+    by itself, so each letter is given in both. The files are listed here, once
+    for all that is made of the result.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if extensions:
         names = ",".join(f"*.{_any_case(e)}" for e in extensions)
         reader = reader.option("pathGlobFilter", f"{{{names}}}")
-    return reader.load(path).select(F.col("path").alias("uri"), "length", "content")
+    return reader.load(path).select(
+        F.col("path").alias("uri"), "length", "modificationTime", "content"
+    )
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Shard files ``(shard_uri, length, content)``, one row per JSON file.
 
     ``length`` comes from the listing, so sizes can be summed without opening
-    a file.
+    a file. ``operators.shards.owned_shards`` finds the documents they belong to.
     """
     files = read_contents(spark, path).withColumnRenamed("uri", "shard_uri")
-    return files.filter(F.endswith("shard_uri", F.lit(".json")))
+    return files.filter(F.endswith("shard_uri", F.lit(".json"))).drop("modificationTime")

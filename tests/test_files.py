@@ -12,7 +12,7 @@ from labelmill.plans import batch
 from labelmill.schema import METADATA_COLUMNS, METADATA_SCHEMA
 from labelmill.session import scratch_path
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
-from labelmill.sources.files import list_files, read_contents, read_shards
+from labelmill.sources.files import below_prefix, list_files, read_contents, read_shards
 from labelmill.sources.tables import read_metadata_csv
 
 AT = datetime(2024, 1, 29, 14, 30)
@@ -151,5 +151,45 @@ def test_run_with_labeler_and_shards(spark, tree, tmp_path, monkeypatch):
 
 
 def test_run_of_one_file(spark, tree, tmp_path):
-    done = batch.run_batch(spark, str(tree / "c.txt"), str(tmp_path / "out"), extraction.plain_text, AT, any_extension=True)
-    assert [(r.file_format, r.content_summary) for r in done.records.collect()] == [("string_link", "not supported")]
+    (tree / "c.txt.bak").write_text("an older one")
+    for _ in range(2):
+        done = batch.run_file(spark, str(tree / "c.txt"), str(tmp_path / "out"), extraction.plain_text, AT)
+        assert [(r.file_format, r.content_summary) for r in done.records.collect()] == [("string_link", "not supported")]
+        assert done.csv_path.endswith("out/c_metadata.csv")
+        assert read_metadata_csv(spark, done.csv_path).count() == 1
+
+
+def test_prefixes_and_stars(spark, tree):
+    for path, want in {
+        "su": ["sub/a.pdf", "sub/b.PPTX", "sub/deep/d.Docx"], "sub/": ["sub/a.pdf", "sub/b.PPTX", "sub/deep/d.Docx"],
+        "sub/a*.docx": ["sub/a.pdf"], "b": ["bad.pdf"], "*.pdf": names(list_files(spark, str(tree))),
+    }.items():
+        assert names(list_files(spark, below_prefix(f"{tree}/{path}"))) == want, path
+    odd = tree / "od{d}[1]?"
+    odd.mkdir()
+    (odd / "x.pdf").write_text("x")
+    assert names(list_files(spark, below_prefix(str(odd)))) == ["od{d}[1]?/x.pdf"]
+
+
+def test_run_over_a_table_of_contents(spark, tmp_path):
+    rows = [("gs://b/_draft.pdf", 9, b"An Aurora"), ("gs://b/.h.pdf", 1, b"h"), ("gs://b/n.txt", 1, b"n"), ("gs://b/o/", 0, b""), ("gs://b/nil.pdf", None, b"nil")]
+    table = spark.createDataFrame(rows, "uri string, length bigint, content binary")
+    done = batch.run_batch(spark, table, str(tmp_path / "out"), extraction.plain_text, AT, models=["Aurora"])
+    assert {r.uri: r.model for r in done.records.collect()} == {"gs://b/_draft.pdf": "Aurora", "gs://b/.h.pdf": "UNKNOWN", "gs://b/nil.pdf": "UNKNOWN"}
+
+
+def test_run_with_shard_files(spark, tree, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "DIRECT_LIMIT_BYTES", 25)
+    monkeypatch.setattr(batch, "size_route", lambda c: routing.size_route(c, 25))
+    for folder, pieces in {"b.PPTX/9/0": ["An Au", "rora"], "other.pdf/9/0": ["other"], "b.PPTX2/1": ["no"]}.items():
+        place = tmp_path / "temp_async_output" / "20240129_143000" / folder
+        place.mkdir(parents=True)
+        for i, piece in enumerate(pieces):
+            (place / f"doc-{i}.json").write_text(json.dumps({"text": piece}))
+    found = read_shards(spark, str(tmp_path / "temp_async_output"))
+    done = batch.run_batch(spark, f"{tree}/sub/b", str(tmp_path / "out"), extraction.plain_text, AT, models=["Aurora"], shards=found)
+    assert [(r.uri[-6:], r.model) for r in done.records.collect()] == [("b.PPTX", "Aurora")]
+    later = batch.run_batch(spark, f"{tree}/sub/b", str(tmp_path / "late"), extraction.plain_text, datetime(2025, 1, 1), shards=found, shards_at=AT)
+    assert later.records.count() == 1 and later.quarantine.isEmpty()
+    none = batch.run_batch(spark, f"{tree}/sub/b", str(tmp_path / "none"), extraction.plain_text, datetime(2025, 1, 1), shards=found)
+    assert [r.status for r in none.quarantine.collect()] == ["no_shards"]

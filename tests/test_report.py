@@ -1,6 +1,8 @@
 from collections import Counter
 
-from labelmill.operators import quality, report
+import pytest
+
+from labelmill.operators import quality, report, skew
 from labelmill.schema import METADATA_COLUMNS, METADATA_SCHEMA
 
 
@@ -57,6 +59,23 @@ def test_earlier_report(spark):
     assert got == {("total", None): (3, 22.5), ("car_model", "EX"): (2, None), ("source_type", "document"): (2, None), ("source_type", "video"): (1, None)}
 
 
+    lines = list(report.report_lines(report.earlier_report(df), "now"))
+    assert lines[1:] == [
+        "METADATA GENERATION REPORT", "=" * 60, "\nTotal Documents Processed: 3", "Generation Date: now",
+        "\n\nCar Model Distribution:", "  - EX: 2", "\n\nSource Type Distribution:", "  - document: 2", "  - video: 1",
+        "\n\nAverage Page Count: 22.50", "\n" + "=" * 60,
+    ]
+
+
+@pytest.mark.parametrize("broadcast_keys", [10_000, 0])
+def test_countries_when_nearly_all_are_unknown(spark, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(skew, "_BROADCAST_KEYS", broadcast_keys)
+    rows = [{**GOOD, "country": "UNKNOWN", "updated_at": "2024-01-01"}] * 990 + [{**GOOD, "country": c} for c in ("Korea", "Atlantis", None)]
+    countries = spark.createDataFrame([("Korea", "A1(KOREA)"), ("Korea", "again"), (None, "x")], "country string, region string")
+    got = quality.domain_violations(records(spark, rows), "updated_at", countries).collect()
+    assert sorted((r["column"], str(r.value)) for r in got) == [("country", "Atlantis"), ("country", "None")]
+
+
 GOOD = {
     "type": "기술정보", "source": "FAQ", "region": "A1(KOREA)", "country": "Korea", "model": "QX7 PE (The Name)", "xev": None,
     "year1": "2024", "year2": None, "language": "ko-KR", "version": "v1.2.3", "updated_at": "2024-02-29", "file_format": "pdf", "content_summary": "s",

@@ -2,10 +2,12 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from labelmill.functions import anchors
 from labelmill.operators import assemble, shards, skew
 
@@ -63,7 +65,9 @@ def test_merge_order_and_status(spark):
     expected = spark.createDataFrame([(u,) for u in ("gs://b/a.docx", "gs://b/b.pdf", "gs://b/c.pdf", "gs://b/none.pdf")], "uri string")
     unlisted = spark.createDataFrame([("gs://b/other.pdf", "s/o-0.json", "{}")], files.schema)
     files = files.union(unlisted)
-    merged = shards.with_missing(expected, shards.merge_shards(shards.parse_shards(files)), files)
+    own = shards.shards_of(files, expected)
+    parsed = shards.parse_shards(own)
+    merged = shards.with_missing(expected, shards.merge_shards(parsed), own)
     got = {r.uri: r for r in merged.collect()}
     a = got["gs://b/a.docx"]
     assert a.full_text == " zero\ntentwo" and a.part == "" and a.mime_type.endswith("wordprocessingml.document")
@@ -72,10 +76,29 @@ def test_merge_order_and_status(spark):
     assert (got["gs://b/b.pdf"].full_text, got["gs://b/b.pdf"].pages, got["gs://b/b.pdf"].status) == ("", [], "ok")
     assert (got["gs://b/c.pdf"].full_text, got["gs://b/c.pdf"].status) == ("rest", "unreadable_shard")
     assert got["gs://b/none.pdf"].status == "no_shards" and len(got) == 4
-    listed = shards.entity_list(merged).orderBy("position").collect()
+    listed = shards.entity_list(parsed).orderBy("position").collect()
     assert [(r.position, r.mention_text, r.confidence) for r in listed] == [(0, "m0", 0.5), (1, "m10", 0.25), (2, "m10", 0.25)]
 
 
+@pytest.mark.parametrize("broadcast_keys", [10_000, 0])
+def test_owners_of_shards(spark, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(skew, "_BROADCAST_KEYS", broadcast_keys)
+    names = [("gs://b/x/a.pdf", "gs://b/temp_async_output/t/a.pdf/"), ("gs://b/y/a.pdf", "gs://b/temp_async_output/t/a.pdf/"), ("gs://b/c.pdf", "gs://b/temp_async_output/t/c.pdf/"), ("gs://b/o/", "gs://b/temp_async_output/t//"), ("n", None)]
+    files = [("gs://b/temp_async_output/t/a.pdf/1/0/s.json",), ("gs://b/temp_async_output/t/c.pdf.json",), ("gs://b/elsewhere/s.json",), ("gs://b/temp_async_output/u/c.pdf/s.json",), (None,)]
+    got = shards.owned_shards(spark.createDataFrame(files, "shard_uri string"), spark.createDataFrame(names, "uri string, chunk_prefix string")).collect()
+    assert sorted((r.uri, r.shard_uri) for r in got) == [("gs://b/x/a.pdf", files[0][0]), ("gs://b/y/a.pdf", files[0][0])]
+
+
+def test_counts_and_entities_shuffle_no_text(spark, sf_dir):
+    for name in ("page_stats", "entity_list"):
+        df = entry.queries()[name](spark, sf_dir)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = df._jdf.queryExecution().explainString(mode)
+        moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(uri#", plan)
+        assert len(moved) == 1, name
+        assert not re.search("text|body|content|shard#", moved[0]), moved
+
+
 def many_shards(spark, counts):
     rng = random.Random(3)
     rows = []
@@ -97,7 +120,7 @@ def test_one_document_with_most_shards_stays_in_pieces(spark, monkeypatch, broad
     for uri in ("hot", "x", "y"):
         text = "".join(t for u, _, t in sorted(rows) if u == uri)
         assert "".join(m.full_text for m in merged if m.uri == uri) == text
-    stats = {r.uri: r.text_length for r in shards.page_stats(shards.merge_shards(df, limit=500)).collect()}
+    stats = {r.uri: r.text_length for r in shards.page_stats(df).collect()}
     assert stats["hot"] == sum(len(t) for u, _, t in rows if u == "hot")
 
 
