@@ -126,8 +126,13 @@ class Chunk:
         hashes = hashes[sort]
         sequence = rank[np.concatenate(self.words)] if len(sort) else np.zeros(0, np.uint32)
         lengths = np.array([len(w) for w in self.words], np.int64)
+        # Frequent words get small numbers in the body; these compress better.
+        frequent = np.argsort(-np.bincount(sequence), kind="stable").astype(np.uint32)
+        place = np.empty_like(frequent)
+        place[frequent] = np.arange(len(frequent), dtype=np.uint32)
         body = joined(
-            pack(sequence),
+            pack(place[sequence]),
+            pack(frequent),
             pack(lengths),
             pack(np.array(self.ids, np.int64)),
             pack(np.array(self.known, np.uint8)),
@@ -176,8 +181,9 @@ def chunk_scores(rows: pd.DataFrame, order: int) -> pd.DataFrame:
     Unigrams are still to be divided by the words of the corpus.
     """
     body = rows.loc[rows["kind"] == _BODY, "data"].iloc[0]
-    sequence, lengths, ids, known = (
-        unpack(p, k) for p, k in zip(parted(bytes(body)), (np.uint32, np.int64, np.int64, np.uint8))
+    kinds = (np.uint32, np.uint32, np.int64, np.int64, np.uint8)
+    sequence, frequent, lengths, ids, known = (
+        unpack(p, k) for p, k in zip(parted(bytes(body)), kinds)
     )
     lists = {
         n: [bytes(d) for d in rows[rows["kind"] == n].sort_values("number")["data"]]
@@ -187,7 +193,7 @@ def chunk_scores(rows: pd.DataFrame, order: int) -> pd.DataFrame:
     lists[1] = [counts for _, counts in both]
     none = np.zeros(0, np.uint64)
     hashes = np.concatenate([none, *(np.cumsum(unpack(h, np.uint64), dtype=np.uint64) for h, _ in both)])
-    words = hashes[sequence]
+    words = hashes[frequent[sequence]]
     counts = []
     for n, (ends, grams) in enumerate(grams_of(words, lengths, order), start=1):
         distinct, where = np.unique(grams, return_inverse=True)
