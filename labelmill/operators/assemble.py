@@ -48,6 +48,68 @@ def with_part(
     return marked.withColumn("part", part).drop("_over")
 
 
+def told_apart(parts: DataFrame, key: str, order: str, text: str) -> DataFrame:
+    """Add ``_doc``: the key and the number of the copy a part belongs to.
+
+    A key that occurs several times has several parts of the same place. They
+    are numbered in the order of their texts, so that no copy loses a part or
+    runs into another.
+    """
+    same_place = W.partitionBy(key, order).orderBy(text)
+    copy = F.row_number().over(same_place).alias("copy")
+    return parts.withColumn("_doc", F.struct(F.col(key), copy))
+
+
+def whole_lines(
+    parts: DataFrame, key: str, order: str, text: str, limit: int = WHOLE_LIMIT_BYTES
+) -> DataFrame:
+    """``(key, order, text)``: the parts of each key cut anew, at line breaks.
+
+    What follows the last line break of a part goes on in front of the next
+    one, so no word and no line is spread over two parts. A part without a line
+    break goes on whole. Where lines are numbered, only flags are sorted, never
+    texts. A single line above the limit keeps the cuts it has.
+    """
+    after = F.substring_index(F.substring_index(text, "\n", -1), "\r", -1)
+    breaks = F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    before = W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    flags = parts.select(key, order, breaks.cast("bigint").alias("_breaks"))
+    lines = flags.select(
+        key, order, "_breaks", F.coalesce(F.sum("_breaks").over(before), F.lit(0)).alias("_line")
+    )
+    # The next place after that of a part, before that of any other.
+    follows = F.concat(F.col(order), F.lit("\0"))
+    head = F.substring(text, F.lit(1), F.length(text) - F.length(after))
+
+    def piece(place: Column, line: Column, words: Column) -> Column:
+        return F.struct(place.alias("place"), line.alias("line"), words.alias("words"))
+
+    at, line = F.col(order), F.col("_line")
+    cut = F.when(
+        F.col("_breaks") == 1,
+        F.array(piece(at, line, head), piece(follows, line + 1, after)),
+    ).otherwise(F.array(piece(at, line, F.col(text))))
+    pieces = (
+        parts.select(key, order, text)
+        .join(lines, [key, order])
+        .select(key, F.explode(cut).alias("p"))
+        .select(key, "p.*")
+        .filter((F.col("words") != "") | ~F.endswith("place", F.lit("\0")))
+    )
+    sizes = pieces.groupBy(key, "line").agg(F.sum(F.octet_length("words")).alias("_size"))
+    group = F.when(F.col("_size") > limit, F.col("place")).otherwise("")
+    joined = (
+        pieces.join(sizes, [key, "line"])
+        .groupBy(key, "line", group.alias("_group"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "words"))).alias("s"))
+    )
+    return joined.select(
+        key,
+        F.get("s.place", F.lit(0)).alias(order),
+        F.array_join("s.words", "").alias(text),
+    )
+
+
 def head_text(parts: DataFrame, key: str, order: str, text: str, chars: int) -> DataFrame:
     """``(key, head)``: the first ``chars`` characters of each key's parts.
 

@@ -10,7 +10,7 @@ from labelmill.functions import answers as A
 from labelmill.functions import rules as R
 from labelmill.functions import text as X
 from labelmill.functions import uri as U
-from labelmill.operators.assemble import head_text
+from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, head_text, told_apart, whole_lines
 from labelmill.operators.skew import join_narrow
 from labelmill.schema import FIELD_DEFAULTS, METADATA_COLUMNS, REQUEST_TEXT_CHARS
 from labelmill.session import configure
@@ -20,17 +20,15 @@ def label_requests(documents: DataFrame, source_type: str = "document") -> DataF
     """``(uri, file_format, request)`` of documents ``(uri, part, full_text)``.
 
     The text is cut here, before any Python worker sees it. A document kept in
-    several parts is sent with the beginning of its parts in order.
+    several parts is sent with the beginning of its parts in order. A repeated
+    ``uri`` gives a request for each of its documents.
     """
     fmt = U.file_format(U.file_name(F.col("uri")), F.lit(source_type))
     whole = documents.filter(F.col("part") == "").select(
         "uri", X.request_text(F.coalesce("full_text", F.lit(""))).alias("head")
     )
-    parted = documents.filter(F.col("part") != "").select(
-        "uri", "part", F.coalesce("full_text", F.lit("")).alias("full_text")
-    )
-    heads = head_text(parted, "uri", "part", "full_text", REQUEST_TEXT_CHARS)
-    beginnings = whole.unionByName(heads)
+    heads = head_text(_parts(documents), "_doc", "part", "full_text", REQUEST_TEXT_CHARS)
+    beginnings = whole.unionByName(heads.select("_doc.uri", "head"))
     return beginnings.select(
         "uri",
         fmt.alias("file_format"),
@@ -107,46 +105,37 @@ def label_documents(
     return parse_responses(ask_labeler(requests, labeler, partitions), run_date)
 
 
+def _parts(documents: DataFrame, *others: Column) -> DataFrame:
+    """``(_doc, part, full_text)`` of the documents kept in several parts."""
+    text = F.coalesce("full_text", F.lit("")).alias("full_text")
+    parted = documents.filter(F.col("part") != "").select("uri", "part", text, *others)
+    return told_apart(parted, "uri", "part", "full_text").drop("uri")
+
+
 def rule_labels(
     documents: DataFrame,
     models: list[str],
     run_date: str,
     source_type: str = "document",
     language: Column | None = None,
+    limit: int = WHOLE_LIMIT_BYTES,
 ) -> DataFrame:
     """Metadata records by text rules: no service, no Python worker, no shuffle
     for documents in one row.
 
     What a text does not state stays at its default. Documents kept in several
-    parts are judged part by part and combined; parts end where OCR shards do,
-    that is at page ends.
+    parts are cut anew at line breaks, judged part by part and combined, with
+    the result they would have in one row; only a line above the limit is
+    judged in pieces.
     """
     code = F.lit(None).cast("string") if language is None else language
+    tag = R.language_tag(code).alias("language")
     text = F.coalesce("full_text", F.lit(""))
-    found = documents.select(
-        "uri",
-        "part",
-        R.language_tag(code).alias("language"),
-        R.model_name(text, models).alias("model"),
-        R.xev_type(text).alias("xev"),
-        R.model_years(text).alias("_years"),
-        X.summary_paragraph(text).alias("content_summary"),
-        X.long_paragraph(text).alias("_paragraph"),
-    ).select(
-        "uri",
-        "part",
-        "language",
-        "model",
-        "xev",
-        F.array_min("_years").alias("year1"),
-        F.array_max("_years").alias("year2"),
-        "content_summary",
-        "_paragraph",
+    whole = documents.filter(F.col("part") == "").select(
+        "uri", tag, *_findings(text, models), X.summary_paragraph(text).alias("content_summary")
     )
-    labels = found.filter(F.col("part") == "").drop("part", "_paragraph").unionByName(
-        _combine_parts(
-            found.filter(F.col("part") != ""), documents.filter(F.col("part") != "")
-        )
+    labels = whole.drop("_paragraph").unionByName(
+        _combine_parts(_parts(documents, tag), models, limit)
     )
     fmt = U.file_format(U.file_name(F.col("uri")), F.lit(source_type))
     given = set(labels.columns)
@@ -160,39 +149,59 @@ def rule_labels(
     return labels.select("uri", *columns)
 
 
-def _combine_parts(found: DataFrame, parts: DataFrame) -> DataFrame:
-    """Findings of a document's parts; every step reduces before it shuffles."""
+def _findings(text: Column, models: list[str]) -> list[Column]:
+    """What the rules find in a text that is made of whole lines."""
+    years = R.model_years(text)
+    return [
+        R.model_name(text, models).alias("model"),
+        R.xev_type(text).alias("xev"),
+        F.array_min(years).alias("year1"),
+        F.array_max(years).alias("year2"),
+        X.long_paragraph(text).alias("_paragraph"),
+    ]
+
+
+def _combine_parts(parts: DataFrame, models: list[str], limit: int) -> DataFrame:
+    """Findings of documents in parts; every step reduces before it shuffles."""
+    lines = whole_lines(parts, "_doc", "part", "full_text", limit)
+    found = lines.select("_doc", "part", *_findings(F.col("full_text"), models))
 
     def first(name: str, found_one: Column) -> Column:
         return F.min_by(name, F.when(found_one, F.col("part")))
 
-    combined = found.groupBy("uri").agg(
-        F.min("language").alias("language"),
+    combined = found.groupBy("_doc").agg(
         F.coalesce(first("model", F.col("model") != "UNKNOWN"), F.lit("UNKNOWN")).alias("model"),
         F.max("xev").alias("xev"),
         F.min("year1").alias("year1"),
         F.max("year2").alias("year2"),
         first("_paragraph", F.col("_paragraph").isNotNull()).alias("_paragraph"),
     )
+    spoken = parts.groupBy("_doc").agg(F.min("language").alias("language"))
     openings = _opening(parts, X.SUMMARY_FALLBACK)
-    return combined.join(openings, "uri", "left").select(
-        *[c for c in combined.columns if c != "_paragraph"],
-        F.coalesce("_paragraph", "head", F.lit("")).alias("content_summary"),
+    return (
+        combined.join(spoken, "_doc")
+        .join(openings, "_doc", "left")
+        .select(
+            "_doc.uri",
+            "language",
+            *[c for c in combined.columns if c not in ("_doc", "_paragraph")],
+            F.coalesce("_paragraph", "head", F.lit("")).alias("content_summary"),
+        )
     )
 
 
 def _opening(parts: DataFrame, chars: int) -> DataFrame:
     """The first characters of each document, white space at its ends ignored."""
     written = X.strip(F.col("full_text")) != ""
-    ends = parts.filter(written).groupBy("uri").agg(
+    ends = parts.filter(written).groupBy("_doc").agg(
         F.min("part").alias("_first"), F.max("part").alias("_last")
     )
     blanks, text = F.lit(X.WHITESPACE), F.col("full_text")
     text = F.when(F.col("part") == F.col("_first"), F.ltrim(text, blanks)).otherwise(text)
     text = F.when(F.col("part") == F.col("_last"), F.rtrim(text, blanks)).otherwise(text)
     inner = (
-        join_narrow(parts, ends, ["uri"], F.col("part"))
+        join_narrow(parts, ends, ["_doc"], F.col("part"))
         .filter(F.col("part").between(F.col("_first"), F.col("_last")))
-        .select("uri", "part", F.coalesce(text, F.lit("")).alias("full_text"))
+        .select("_doc", "part", F.coalesce(text, F.lit("")).alias("full_text"))
     )
-    return head_text(inner, "uri", "part", "full_text", chars)
+    return head_text(inner, "_doc", "part", "full_text", chars)

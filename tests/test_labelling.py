@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from labelmill.functions import rules as R
-from labelmill.operators import extraction, labelling, records
+from labelmill.operators import assemble, extraction, labelling, records
 from labelmill.schema import METADATA_COLUMNS
 from pyspark.sql import functions as F
 
@@ -62,6 +62,51 @@ def test_rule_labels_of_parts_equal_those_of_the_whole(spark):
     assert whole.columns == ["uri", "part", "full_text"] and list(first.asDict()) == ["uri", *METADATA_COLUMNS]
 
 
+def cut(text, size):
+    return [text[i : i + size] for i in range(0, len(text), size)]
+
+
+@pytest.mark.parametrize("size", [3, 7, 41])
+def test_words_and_lines_run_across_parts(spark, size):
+    para = "A paragraph that is long enough to be taken for a summary of it."
+    texts = {
+        "gs://b/1.pdf": f"x\n\r\nAuro rapid, Cirrus1\r\nThe Aurora plug-in hybrid of 2024.\n{para}\n19991\n1987",
+        "gs://b/2.pdf": "Cirrus",
+        "gs://b/3.pdf": "\n\nhybrids 20245\r" + "short\n" * 50,
+    }
+    whole = spark.createDataFrame([(u, "", t) for u, t in texts.items()], DOC)
+    pieces = [(u, f"p{i:03d}", t) for u, text in texts.items() for i, t in enumerate(cut(text, size))]
+    parted = spark.createDataFrame(pieces, DOC)
+    want = sorted(labelling.rule_labels(whole, ["Aurora", "Cirrus"], "2024-01-29").collect())
+    assert sorted(labelling.rule_labels(parted, ["Aurora", "Cirrus"], "2024-01-29").collect()) == want
+    first = want[0]
+    assert (first.model, first.xev, first.year1, first.year2, first.content_summary) == ("Aurora", "Plugin-Hybrid", "1987", "2024", para)
+
+
+def test_whole_lines_keep_every_character(spark):
+    texts = {"a": ["on", "e\ntw", "o\r", "\nthree", "", " four"], "b": ["", ""], "c": ["\n", "\n"], "d": ["x" * 9, "y" * 9]}
+    rows = [(u, f"p{i}", t) for u, parts in texts.items() for i, t in enumerate(parts)]
+    df = spark.createDataFrame(rows, DOC)
+    for limit in (1, 10, 1000):
+        got = {}
+        for r in assemble.whole_lines(df, "uri", "part", "full_text", limit).orderBy("uri", "part").collect():
+            got.setdefault(r.uri, []).append(r.full_text)
+        assert {u: "".join(t) for u, t in got.items()} == {u: "".join(t) for u, t in texts.items()}
+        if limit == 1000:
+            assert got["a"] == ["one\n", "two\r", "\n", "three four"] and got["d"] == ["x" * 9 + "y" * 9]
+        if limit == 10:
+            assert got["d"] == texts["d"]
+
+
+def test_repeated_documents_in_parts_stay_apart(spark):
+    rows = [("u", "p0", "ab 20"), ("u", "p1", "24 cd"), ("u", "p0", "ab 20"), ("u", "p1", "24 cd"), ("v", "", "whole")]
+    df = spark.createDataFrame(rows, DOC)
+    asked = [r.request for r in labelling.label_requests(df).collect() if r.uri == "u"]
+    assert len(asked) == 2 and all("\nab 2024 cd\n" in r for r in asked)
+    labels = [r for r in labelling.rule_labels(df, ["X"], "2024-01-29").collect() if r.uri == "u"]
+    assert [(r.year1, r.content_summary) for r in labels] == [("2024", "ab 2024 cd")] * 2
+
+
 def test_extractor_errors_stay_in_their_row(spark):
     files = spark.createDataFrame([("a.txt", "page one\fpage é".encode()), ("b.txt", b"\xff\xfe"), ("c.txt", b"")], "uri string, content binary")
     got = {r.uri: r for r in extraction.extract_documents(files, extraction.plain_text).collect()}
