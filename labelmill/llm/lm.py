@@ -4,9 +4,10 @@ Documents are taken in chunks. A chunk lists its distinct n-grams with their
 counts, in the order of their hashes and dealt over the ranges of the hash: the
 exploded n-grams, one row for all equal ones of a chunk. The lists of one range
 meet in one task, which sums the counts (the count table of that range) and
-joins them back to every list. The counts return to their chunk, where each word
-of each document takes the longest n-gram that the corpus has often enough, and
-the logarithms are summed per document.
+joins them back to every list. The counts return to their chunk, whose words
+wait for them where the first shuffle put them. There each word of each document
+takes the longest n-gram that the corpus has often enough, and the logarithms
+are summed per document.
 
 However frequent an n-gram is, it is one entry per chunk, so no range is hot.
 Lists are sorted, stored as differences and compressed.
@@ -137,7 +138,7 @@ class Chunk:
             pack(np.array(self.ids, np.int64)),
             pack(np.array(self.known, np.uint8)),
         )
-        rows = [(-1 - chunk, chunk, _BODY, 0, body)]
+        rows = [(place_of(chunk), chunk, _BODY, 0, body)]
         for n, (_, grams) in enumerate(grams_of(hashes[sequence], lengths, order), start=1):
             distinct, counts = np.unique(grams, return_counts=True)
             of_range = range_of(distinct, ranges)
@@ -154,13 +155,22 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
+def place_of(chunk: int) -> int:
+    """Where the words of a chunk wait; ranges of the hash have places from 0."""
+    return -1 - chunk
+
+
 def answered(rows: pd.DataFrame) -> pd.DataFrame:
     """The lists of one range, each n-gram's count in the chunk replaced by that in the corpus.
 
-    Words keep their hashes beside the counts; the chunk needs them.
+    Words keep their hashes beside the counts; the chunk needs them. The words
+    of a chunk are not answered.
     """
+    rows = rows[rows["kind"] != _BODY]
+    if rows.empty:
+        return pd.DataFrame()
     out = rows.copy()
-    for n in sorted(set(rows["kind"]) - {_BODY}):
+    for n in sorted(set(rows["kind"])):
         places = np.flatnonzero((rows["kind"] == n).to_numpy())
         lists = [[unpack(p, k) for p, k in zip(parted(bytes(d)), (np.uint64, np.uint32))] for d in rows["data"].iloc[places]]
         grams = np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _ in lists])
@@ -171,19 +181,18 @@ def answered(rows: pd.DataFrame) -> pd.DataFrame:
         for place, part, (hashes, _) in zip(places, np.split(totals, ends), lists):
             data = joined(pack(hashes), pack(part)) if n == 1 else pack(part)
             out.iat[place, out.columns.get_loc("data")] = data
-    out["place"] = out["chunk"]
+    out["place"] = place_of(out["chunk"])
     return out
 
 
-def chunk_scores(rows: pd.DataFrame, order: int) -> pd.DataFrame:
+def chunk_scores(body: bytes, rows: pd.DataFrame, order: int) -> pd.DataFrame:
     """Per document the words, those by n-gram length, and the summed logarithms.
 
     Unigrams are still to be divided by the words of the corpus.
     """
-    body = rows.loc[rows["kind"] == _BODY, "data"].iloc[0]
     kinds = (np.uint32, np.uint32, np.int64, np.int64, np.uint8)
     sequence, frequent, lengths, ids, known = (
-        unpack(p, k) for p, k in zip(parted(bytes(body)), kinds)
+        unpack(p, k) for p, k in zip(parted(body), kinds)
     )
     lists = {
         n: [bytes(d) for d in rows[rows["kind"] == n].sort_values("number")["data"]]
@@ -255,12 +264,23 @@ def backoff_scores(
         if chunk.words:
             yield chunk.coded(first + count, ranges, order)
 
-    coded = given.mapInPandas(code, _CODED)
-    counted = coded.groupBy("place").applyInPandas(answered, _CODED)
+    def score(waiting: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        bodies = waiting.loc[waiting["kind"] == _BODY, "data"]
+        if bodies.empty:
+            return pd.DataFrame()
+        return chunk_scores(bytes(bodies.iloc[0]), counts, order)
+
+    # One shuffle serves both: its lists are counted, its bodies wait in it. The
+    # lists are emptied after it, since a filter or fewer columns would move
+    # below it and make it two.
+    dealt = given.mapInPandas(code, _CODED).repartition("place")
+    counted = dealt.groupBy("place").applyInPandas(answered, _CODED)
+    waiting = dealt.withColumn("data", F.when(F.col("kind") == _BODY, F.col("data")))
     names = [f"by_{n}" for n in range(1, order + 1)]
     shape = ", ".join(["doc_id string", "n_words long", *[f"{n} long" for n in names], "summed double"])
     summed = stored(
-        counted.groupBy("chunk").applyInPandas(lambda rows: chunk_scores(rows, order), shape), "scores"
+        waiting.groupBy("place").cogroup(counted.groupBy("place")).applyInPandas(score, shape),
+        "scores",
     )
     words = summed.agg(F.sum("n_words")).first()[0] or 0
     log_score = F.col("summed") - F.col("by_1") * F.lit(math.log(max(1, words)))
