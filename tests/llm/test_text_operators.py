@@ -185,6 +185,19 @@ def test_backoff_scores(spark, monkeypatch, words, size):
     assert got == Counter((*r[:5], round(r[5], 4)) for r in brute_scores(rows))
 
 
+def test_words_of_chunks_are_shuffled_once(spark, monkeypatch):
+    plans = []
+
+    def run(rows, name):
+        rows.collect()
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows
+
+    monkeypatch.setattr(lm, "stored", run)
+    lm.backoff_scores(spark.range(20).selectExpr("id AS doc_id", "'a b c a b' AS text"))
+    assert "ReusedExchange" in plans[0].split("Initial Plan")[0]
+
+
 def test_backoff_edges(spark):
     docs = spark.createDataFrame([(1, "x", 3)], TEXT + ", n_words int")
     assert [tuple(r) for r in lm.backoff_scores(docs).collect()] == [(1, 1, 1, 0, 0, 0.0, 0.0)]
