@@ -4,7 +4,8 @@
 2. ``near_duplicates``: of documents linked by SimHash, the smallest id stays.
 3. ``decontamination``: documents that overlap with a benchmark item go.
 4. ``mixing``: the rest in the order of the mix; none goes.
-5. ``sharding``: every document with its shard and slot.
+5. ``sharding``: every document with its shard and slot; the slots of a shard
+   follow the mix.
 
 All but the last return the columns they were given. Documents are told apart by
 ``doc_id``; rows repeated with their id share their fate, and rows with a null
@@ -56,8 +57,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with ``shard`` and ``slot``; input columns of these names are replaced."""
-    return sharding.with_shards(docs)
+    """All documents with ``shard`` and ``slot``; input columns of these names are replaced.
+
+    Shards hold near equal bytes; inside each, documents stand as in the mix. A
+    place in the mix depends on the documents alone, so it is found again here,
+    whatever order their files have.
+    """
+    return sharding.with_shards(docs, places=mixing.first_places(docs))
 
 
 STAGES = [

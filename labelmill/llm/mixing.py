@@ -174,17 +174,21 @@ def mixed(
     )
 
 
+def first_places(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+    """``(placed_id, place)``: of each id the first place its rows have in the mix."""
+    placed = mixed(docs, id_column=id_column, **options)
+    first = placed.groupBy(F.col("doc_id").alias("placed_id")).agg(F.min("place").alias("place"))
+    return stored(first, "mix")
+
+
 def in_mixed_order(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, written in the order of the mix when saved.
 
     Rows are range-partitioned by their place, so the files follow each other as
     the mix does. Rows repeated with their id stand together at the first place.
     """
-    placed = stored(
-        mixed(docs, id_column=id_column, **options)
-        .groupBy(F.col("doc_id").alias("mixed_id"))
-        .agg(F.min("place").alias("mixed_place")),
-        "mix",
+    placed = first_places(docs, id_column, **options).withColumnsRenamed(
+        {"placed_id": "mixed_id", "place": "mixed_place"}
     )
     joined = docs.join(placed, F.col(id_column).cast("long").eqNullSafe(F.col("mixed_id")))
     return (

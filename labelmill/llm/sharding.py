@@ -87,16 +87,51 @@ def shard_documents(
     )
 
 
+def slots_by_place(placed: DataFrame, places: DataFrame) -> DataFrame:
+    """``placed`` with the slots of each shard numbered anew, in the order of ``places``.
+
+    ``places`` holds ``(placed_id, place)``, one row for every id. Rows of one
+    id keep their order. Only narrow rows are sorted, by range.
+    """
+    ordered = placed.join(places, placed["doc_id"].eqNullSafe(places["placed_id"]))
+    rows = stored(
+        ordered.select(
+            *[placed[c] for c in placed.columns if c != "shard"],
+            placed["shard"].cast("long").alias("shard"),
+            places["place"].alias("order_key"),
+            F.lit(1).cast("long").alias("one"),
+        ),
+        "ordered",
+    )
+    counts = dict(rows.groupBy("shard").agg(F.count("*")).collect())
+    first, passed = [], 0
+    for s in range(max(counts, default=0) + 1):
+        first.append(passed)
+        passed += counts.get(s, 0)
+    found = ranked(rows, ["shard", "order_key", "slot"], "one").rows
+    slot = F.col("place") - F.get(numbers(first), F.col("shard").cast("int"))
+    return found.withColumn("slot", slot).select(
+        *[F.col(c).cast("int") if c == "shard" else c for c in placed.columns]
+    )
+
+
 def with_shards(
-    docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    shards: int = SHARDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with their ``shard`` and ``slot``, as ``shard_documents`` places them.
 
-    Input columns of these names are replaced. Rows repeated with their id are
-    told apart by text and by an occurrence number, which is only made if there
-    are any.
+    With ``places``, ``(placed_id, place)`` for every id, the slots of a shard
+    follow these. Input columns of these names are replaced. Rows repeated with
+    their id are told apart by text and by an occurrence number, which is only
+    made if there are any.
     """
     placed = stored(shard_documents(docs, shards, id_column, text_column), "shards")
+    if places is not None:
+        placed = stored(slots_by_place(placed, places), "ordered-shards")
     kept = with_columns_replaced(docs, ["shard", "slot"])
     text = text_of(text_column)
     keys = {

@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from labelmill.llm import mixing, sharding, splitters
 
 DOCS = "doc_id long, text string, source string, shard int, place string"
@@ -166,3 +167,32 @@ def test_in_mixed_order_writes_the_mix(spark, tmp_path):
     places = {r.doc_id: r.place for r in mixing.mixed(docs).collect()}
     written = sorted(rows, key=lambda r: (r.file_name, r.row_index))
     assert [r.doc_id for r in written] == sorted(places, key=places.get)
+
+
+def test_slots_of_a_shard_follow_the_mix(spark):
+    """Shards as before; in each the slots are in the order of the mix, from its beginning on."""
+    docs = documents(spark, n=6000, hot=0).drop("shard")
+    got = corpus_pipeline.shard(spark, docs, "").collect()
+    plain = {r.doc_id: r.shard for r in sharding.shard_documents(docs).collect()}
+    assert {r.doc_id: r.shard for r in got} == plain
+    places = {r.doc_id: r.place for r in mixing.mixed(docs).collect()}
+    shards = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.shard, r.slot)):
+        shards[r.shard].append(places[r.doc_id])
+        assert r.slot == len(shards[r.shard]) - 1
+    assert len(shards) == sharding.SHARDS and all(s == sorted(s) for s in shards.values())
+
+
+def test_beginnings_of_shards_hold_the_target_shares(spark):
+    """One source of ten times the rows of the other; weights are the roots of the sizes."""
+    rows = [(i, f"{i:06d}" * 200, "large" if i % 11 else "small") for i in range(8800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    target = 10**0.5 / (1 + 10**0.5)
+    first = defaultdict(list)
+    for r in corpus_pipeline.shard(spark, docs, "").collect():
+        if r.slot < 50:
+            first[r.shard].append(r.source == "large")
+    assert len(first) == sharding.SHARDS
+    shares = [sum(s) / len(s) for s in first.values()]
+    assert abs(sum(shares) / len(shares) - target) < 0.03
+    assert all(abs(s - target) < 0.25 for s in shares)
