@@ -4,29 +4,32 @@ Time is cut into slots, one block each. A source of weight ``w`` must get its
 block number ``k`` (from 0) within a window: released at ``floor(k / w)``, due at
 ``ceil((k + 1) / w)``. In every slot the released block that is due first runs.
 On one resource this keeps each source within one block of its share at all
-times. Weights are rounded to a common denominator, the cycle; after a cycle
-all shares are whole and the windows repeat, so the schedule of one cycle tells
-the slot of any block of any source, and no task walks through all blocks.
+times. Weights are taken as the decimal numbers they are given as and brought to
+a common denominator, the cycle, without rounding, so nothing adds up however
+long the mix is. One task walks through the blocks and holds one entry a source.
 """
 
 import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.llm.common import text_of
-from labelmill.llm.splitters import numbers, ranked
+from labelmill.llm.splitters import numbers, ranked, real_numbers
 from labelmill.session import stored
 
-# Slots of a cycle at least, and for each source. A weight is off by at most
-# half a slot of a cycle.
-CYCLE, SLOTS_PER_SOURCE = 1024, 8
 # Bytes of a block, and of a row beside its text.
 BLOCK_BYTES = 65_536
 ROW_BYTES = 16
 # Target weights, where none are given: the size of a source to this power.
 TEMPERATURE = 0.5
+# Blocks the walk hands on at a time.
+WALKED = 50_000
 
 
 @dataclass
@@ -38,20 +41,14 @@ class Schedule:
     slots: list[list[int]]
 
 
-def rounded(weights: list[float], cycle: int) -> list[int]:
-    """Whole shares of the cycle, one at least, by largest remainder."""
-    total = sum(weights)
-    exact = [w / total * cycle for w in weights]
-    shares = [max(1, int(e)) for e in exact]
-    order = sorted(range(len(weights)), key=lambda i: (shares[i] - exact[i], i))
-    at = 0
-    while sum(shares) < cycle:
-        shares[order[at % len(order)]] += 1
-        at += 1
-    while sum(shares) > cycle:
-        i = max(range(len(shares)), key=lambda i: (shares[i] - exact[i] if shares[i] > 1 else -1, -i))
-        shares[i] -= 1
-    return shares
+def exact(weights: list[float]) -> tuple[int, list[int]]:
+    """The cycle and the whole shares of it that are the weights, none rounded."""
+    parts = [Fraction(str(w)) for w in weights]
+    common = math.lcm(*[p.denominator for p in parts])
+    shares = [int(p * common) for p in parts]
+    divisor = math.gcd(*shares) or 1
+    shares = [s // divisor for s in shares]
+    return sum(shares), shares
 
 
 def window(k: int, share: int, cycle: int) -> tuple[int, int]:
@@ -59,25 +56,56 @@ def window(k: int, share: int, cycle: int) -> tuple[int, int]:
     return k * cycle // share, -((-(k + 1) * cycle) // share)
 
 
-def schedule(weights: list[float]) -> Schedule:
-    """Earliest due date first over one cycle, among the blocks released."""
-    cycle = max(CYCLE, SLOTS_PER_SOURCE * len(weights))
-    shares = rounded(weights, cycle)
-    waiting = [(0, s, 0) for s in range(len(shares))]
+def walk(cycle: int, shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """``(slot, source, block)``: earliest due date first, among the blocks released.
+
+    Source ``s`` has ``blocks[s]`` blocks. Where none is released, slots stay empty.
+    """
+    waiting = [(0, s, 0) for s in range(len(shares)) if blocks[s]]
     heapq.heapify(waiting)
     released: list[tuple[int, int, int]] = []
-    slots: list[list[int]] = [[] for _ in shares]
-    for slot in range(cycle):
+    slot = 0
+    while waiting or released:
+        if not released:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, source, k = heapq.heappop(waiting)
             heapq.heappush(released, (window(k, shares[source], cycle)[1], source, k))
         _, source, k = heapq.heappop(released)
-        slots[source].append(slot)
-        if k + 1 < shares[source]:
+        yield slot, source, k
+        if k + 1 < blocks[source]:
             heapq.heappush(waiting, (window(k + 1, shares[source], cycle)[0], source, k + 1))
+        slot += 1
+
+
+def schedule(weights: list[float]) -> Schedule:
+    """One cycle of the walk; sources that last repeat it."""
+    cycle, shares = exact(weights)
+    slots: list[list[int]] = [[] for _ in shares]
+    for slot, source, _ in walk(cycle, shares, shares):
+        slots[source].append(slot)
     return Schedule(cycle, shares, slots)
 
 
+def _walked(docs: DataFrame, cycle: int, shares: list[int], blocks: list[int]) -> DataFrame:
+    """``(source_no, block, slot, release_slot, due_slot)`` of all blocks, stored by one task."""
+    names = ["slot", "source_no", "block", "release_slot", "due_slot"]
+
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            rows = []
+            for slot, source, k in walk(cycle, shares, blocks):
+                rows.append((slot, source, k, *window(k, shares[source], cycle)))
+                if len(rows) == WALKED:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    one = docs.sparkSession.range(0, min(1, len(shares)), 1, 1)
+    return stored(one.mapInPandas(steps, ", ".join(f"{n} long" for n in names)), "walked")
+
+
 def _key(source: Column) -> Column:
     """The source as text that also tells null from empty."""
     return F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source.cast("string")))
@@ -99,8 +127,8 @@ def mixed(
     ``place`` counts all rows in the order of the slots, from 0 without gaps.
     While all sources last, every beginning of the mix holds each source's
     share but for less than one block (and the row that ends it). A source that
-    is used up leaves its slots empty, and the others go on in their order; no
-    row is dropped or repeated.
+    is used up leaves its slots to the others, which go on inside their windows;
+    no row is dropped or repeated.
 
     Weights that are missing, zero or negative count as the smallest given; with
     none given, sources weigh as the square root of their size. One row per
@@ -130,7 +158,9 @@ def mixed(
         asked = {"" if k is None else f"={k}": w for k, w in weights.items()}
         least = min((w for w in asked.values() if w > 0), default=1.0)
         given = [max(asked.get(n, 0.0), 0.0) or least for n in names]
-    plan = schedule(given) if names else Schedule(CYCLE, [], [])
+    cycle, shares = exact(given)
+    blocks = [(held[n] - 1) // block_bytes + 1 for n in names]
+    walked = _walked(docs, cycle, shares, blocks)
     number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)]) if names else None
     place = number[F.col("source_key")] if names else F.lit(0)
     found = ranked(
@@ -142,30 +172,16 @@ def mixed(
     for n in names:
         starts.append(passed)
         passed += held[n]
-    firsts, flat = [], []
-    for s in plan.slots:
-        firsts.append(len(flat))
-        flat += s
-    at = lambda values: F.get(numbers(values), F.col("source_no").cast("int"))
-    share = at(plan.shares)
-    block = F.expr(f"first_byte div {block_bytes}")
-    inside = (at(firsts) + F.col("block") % share).cast("int")
-    rows = (
-        found.rows.withColumn("first_byte", F.col("before") - at(starts))
-        .withColumn("block", block)
-        .withColumn("share_slots", share)
-        .withColumn("cycle_no", F.expr("block div share_slots"))
-        .withColumn("slot", F.col("cycle_no") * plan.cycle + F.get(numbers(flat), inside))
-        .withColumn("release_slot", F.expr(f"(block * {plan.cycle}) div share_slots"))
-        .withColumn(
-            "due_slot", F.expr(f"((block + 1) * {plan.cycle} + share_slots - 1) div share_slots")
-        )
+    start = F.get(numbers(starts), F.col("source_no").cast("int"))
+    part = F.get(real_numbers([w / cycle for w in shares]), F.col("source_no").cast("int"))
+    rows = found.rows.withColumn("first_byte", F.col("before") - start).withColumn(
+        "block", F.expr(f"first_byte div {block_bytes}")
     )
     slotted = stored(
-        rows.select(
+        rows.join(walked, ["source_no", "block"]).select(
             "doc_id", "source", "block", "slot", "release_slot", "due_slot",
             F.col("place").alias("source_place"), F.lit(1).cast("long").alias("one"),
-            (F.col("share_slots") / F.lit(plan.cycle)).alias("share"),
+            part.alias("share"),
         ),
         "slotted",
     )

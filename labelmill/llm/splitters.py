@@ -37,6 +37,10 @@ def numbers(values: list[int]) -> Column:
     return _literal(values, "bigint")
 
 
+def real_numbers(values: list[float]) -> Column:
+    return _literal(values, "double")
+
+
 def _range_of(points: list[tuple], keys: list[str]) -> Column:
     """How many splitters are at or below the key, by halving steps."""
     if not points:

@@ -196,3 +196,31 @@ def test_beginnings_of_shards_hold_the_target_shares(spark):
     shares = [sum(s) / len(s) for s in first.values()]
     assert abs(sum(shares) / len(shares) - target) < 0.03
     assert all(abs(s - target) < 0.25 for s in shares)
+
+
+@pytest.mark.parametrize("weights", [[1] * 20, [2**0.5, 3**0.5, 7.3, 1e-5], [0.7, 0.1, 0.1, 0.1]])
+def test_shares_keep_to_the_weights_over_many_cycles(weights):
+    """At every slot each source is within one block of the weight it was given."""
+    cycle, shares = mixing.exact(weights)
+    slots, total = 60_000, sum(weights)
+    seen = [0] * len(weights)
+    for slot, source, k in mixing.walk(cycle, shares, [slots] * len(weights)):
+        if slot == slots:
+            break
+        assert seen[source] == k
+        seen[source] += 1
+        assert sum(seen) == slot + 1
+        if slot % 97 == 0 or slot > slots - 50:
+            assert all(abs(n - w / total * (slot + 1)) < 1 + 1e-6 for n, w in zip(seen, weights))
+
+
+def test_mixed_keeps_equal_sources_equal(spark):
+    """20 equal sources of 120 blocks each: after each round all have run once."""
+    rows = [(i, "x" * 84, f"s{i % 20:02}") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mixed(docs, {f"s{i:02}": 1.0 for i in range(20)}, block_bytes=100).collect()
+    rounds = defaultdict(set)
+    for r in got:
+        rounds[r.place // 20].add(r.source)
+        assert r.share == 0.05 and r.release_slot <= r.slot < r.due_slot
+    assert len(rounds) == 120 and all(len(s) == 20 for s in rounds.values())
