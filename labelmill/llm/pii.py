@@ -38,9 +38,22 @@ DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9])*+")
 PHONE_RUN = re.compile(r"\+[0-9][ ().0-9-]+")
 URL = re.compile(r"[^\s<>\"'`{}|\\^]+")
 ACCOUNT = re.compile(
-    r"(?:[ _-]?(?:number|name|no\.?|nr\.?|id|key))?[ \t]{0,3}[:=#][ \t]{0,3}\"?([A-Za-z0-9][A-Za-z0-9_./+-]{3,63})"
+    r"(?i:[ _-]?(?:number|name|no\.?|nr\.?|id|key))?[ \t]{0,3}[:=#][ \t]{0,3}\"?([A-Za-z0-9][A-Za-z0-9_./+-]{3,}+)"
 )
-IBAN = re.compile(r"[ :=#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8})(?![A-Za-z0-9])")
+IBAN = re.compile(r"[ :=#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
+ALNUM = frozenset(string.ascii_letters + string.digits)
+# Characters of an account number by country, from the register of the standard.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 def luhn(digits: str) -> bool:
@@ -101,14 +114,30 @@ def _url(text: str, at: int, taken: int) -> tuple[Span | None, int]:
 
 
 def _iban(text: str, at: int, taken: int) -> tuple[Span | None, int]:
-    """Anchor: the end of the cue. Country, check digits, remainder 1 by 97."""
+    """Anchor: the end of the cue. Country, check digits, remainder 1 by 97.
+
+    What follows may look like another group, so the value is tried at the
+    length its country states first, then as far as it goes; without a stated
+    length at every end of a group.
+    """
     found = IBAN.match(text, at)
     if not found:
         return None, at
-    code = found.group(1).replace(" ", "")
-    value = "".join(str(int(c, 36)) for c in code[4:] + code[:4])
-    fits = 15 <= len(code) <= 34 and int(value) % 97 == 1
-    return (found.span(1) if fits else None), found.end()
+    start, last = found.span(1)
+    places = [i for i in range(start, last) if text[i] != " "]
+    code = "".join(text[i] for i in places)
+    stated = IBAN_LENGTHS.get(code[:2])
+    lengths = range(len(code), 14, -1) if stated is None else (stated, len(code))
+    for length in lengths:
+        if length > len(code):
+            continue
+        end = places[length - 1] + 1
+        if text[end : end + 1] in ALNUM:
+            continue
+        value = "".join(str(int(c, 36)) for c in code[4:length] + code[:4])
+        if int(value) % 97 == 1:
+            return (start, end), end
+    return None, at
 
 
 def _account(text: str, at: int, taken: int) -> tuple[Span | None, int]:

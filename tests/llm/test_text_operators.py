@@ -70,6 +70,35 @@ def test_added_spans(text, kind, value):
     assert found == ([value] if value else [])
 
 
+TOKEN = "".join(chr(97 + i % 26) for i in range(118)) + "42"
+JWT = ".".join(["eyJhbGciOiJIUzI1NiJ9", "eyJ" + "c3ViIjoi" * 12, "x" * 40 + "7-_Q"])
+
+
+@pytest.mark.parametrize(
+    "text,kind,values",
+    [
+        ("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban", ["DE89 3704 0044 0532 0130 00"]),
+        ("IBAN: DE89 3704 0044 0532 0130 00 SWIFT", "iban", ["DE89 3704 0044 0532 0130 00"]),
+        ("IBAN DE89370400440532013000 12", "iban", ["DE89370400440532013000"]),
+        ("IBAN DE89370400440532013000X", "iban", []),
+        ("IBAN: PT50 0002 0123 1234 5678 9015 4 A", "iban", ["PT50 0002 0123 1234 5678 9015 4"]),
+        (
+            "IBAN: DE89 3704 0044 0532 0130 00 IBAN GB82 WEST 1234 5698 7654 32",
+            "iban",
+            ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"],
+        ),
+        ("Account Number: 12345678", "account", ["12345678"]),
+        ("ACCOUNT NUMBER: 12345678", "account", ["12345678"]),
+        ("Customer ID: 4711-0815", "account", ["4711-0815"]),
+        (f"token={TOKEN} x", "account", [TOKEN]),
+        (f'"token": x, token: "{JWT}"', "account", [JWT]),
+    ],
+)
+def test_added_kinds_in_common_forms(text, kind, values):
+    found = [text[s:e] for s, k, e in pii.find_spans(text) if pii.KINDS[k] == kind]
+    assert found == values
+
+
 def test_spans_are_linear_in_long_texts():
     for text in ("1" * 300_000, "a" * 300_000 + "@", "1 " * 200_000, "+1" * 200_000, "a@" * 200_000, "1." * 200_000):
         pii.find_spans(text)
