@@ -480,7 +480,7 @@ def transcript_select(spark, sf_dir):
 
 @query
 def transcript_text(spark, sf_dir):
-    return video.transcript_texts(I.spoken_lines(spark, sf_dir)).select(
+    return video.transcript_texts(I.spoken_lines(spark, sf_dir), limit=None).select(
         "video_id", "track_id", "transcript"
     )
 

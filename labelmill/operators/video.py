@@ -75,16 +75,19 @@ def select_tracks(tracks: DataFrame, languages: tuple[str, ...] = LANGUAGES) ->
 def transcript_texts(
     lines: DataFrame,
     keys: tuple[str, ...] = ("video_id", "track_id"),
-    limit: int = WHOLE_LIMIT_BYTES,
+    limit: int | None = WHOLE_LIMIT_BYTES,
 ) -> DataFrame:
     """Lines ``(video_id, track_id, seq, text)`` as one text per track.
 
     Lines go on lines of their own, in ``seq`` order; one without text is an
     empty line. A track over the limit keeps its lines as parts, each ending
     in its line break but for the last. ``opening`` marks the first part.
+    Without a limit (None) every track is one row, whatever its size.
     """
     text = F.coalesce("text", F.lit(""))
     rows = lines.select(*keys, "seq", text.alias("text"))
+    if limit is None:
+        return _joined_lines(rows, keys)
     oversize = oversize_groups(rows, list(keys), F.octet_length("text") + 1, limit, order=F.col("seq"))
     if oversize is None:
         return _joined_lines(rows, keys)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions import videos as V
+from labelmill.operators.assemble import WHOLE_LIMIT_BYTES
 from labelmill.operators.labelling import label_documents, rule_labels
 from labelmill.operators.routing import split_quarantine
 from labelmill.operators.skew import join_hot
@@ -31,16 +32,22 @@ def video_ids(urls: DataFrame) -> DataFrame:
 
 
 def distinct_videos(
-    ids: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
+    ids: DataFrame,
+    answers: DataFrame,
+    tracks: DataFrame,
+    lines: DataFrame,
+    limit: int | None = WHOLE_LIMIT_BYTES,
 ) -> DataFrame:
     """Documents of the videos among ``ids``, each put together once.
 
     ``(uri, video_id, part, full_text, status)``; the id also serves as ``uri``.
     Ids are reduced before the shuffle, so a video behind most of the URLs is
-    one key of many, and its text is not repeated for them.
+    one key of many, and its text is not repeated for them. Transcripts over the
+    limit come in parts; without one (None) every video is one row.
     """
     wanted = ids.filter(F.col("status") == "ok").select("video_id").distinct()
-    spoken = transcript_texts(chosen_lines(lines, select_tracks(tracks)), ("video_id",))
+    chosen = chosen_lines(lines, select_tracks(tracks))
+    spoken = transcript_texts(chosen, ("video_id",), limit)
     asked = answers.join(wanted, "video_id", "left_semi")
     return video_documents(video_info(asked), spoken).withColumn("uri", F.col("video_id"))
 
@@ -62,10 +69,10 @@ def of_urls(ids: DataFrame, rows: DataFrame) -> DataFrame:
 def documents_of_videos(
     urls: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
 ) -> DataFrame:
-    """The document of every URL. The text of a video behind several URLs is
-    repeated for each; the jobs join labels to the URLs instead."""
+    """The document of every URL, one row at every size. The text of a video behind
+    several URLs is repeated for each; the jobs join labels to the URLs instead."""
     ids = video_ids(urls)
-    found = of_urls(ids, distinct_videos(ids, answers, tracks, lines))
+    found = of_urls(ids, distinct_videos(ids, answers, tracks, lines, limit=None))
     return found.select(
         "uri", "video_id", F.coalesce("part", F.lit("")).alias("part"), "full_text", "status"
     )

@@ -7,10 +7,12 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from catalog import queries as catalog
 from catalog import sql as catalog_sql
+from labelmill.operators import video
 from labelmill.sources import files
 
 # Queries of the text preparation package are tested beside it.
@@ -77,3 +79,35 @@ def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["dimension", "value", "label", "n"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["transcript_text", "video_document"])
+def test_query_matches_sql_at_a_limit_of_one_byte(spark, sf_dir, duck, monkeypatch, name):
+    found = video.oversize_groups
+
+    def of_one_byte(pieces, keys, size, limit, order=None):
+        return found(pieces, keys, size, 1, order)
+
+    monkeypatch.setattr(video, "oversize_groups", of_one_byte)
+    test_query_matches_sql(spark, sf_dir, duck, name)
+
+
+@pytest.mark.parametrize("name", ["transcript_text", "video_document"])
+def test_large_transcript_is_one_row_in_order(spark, sf_dir, monkeypatch, name):
+    """One track above 16 MiB."""
+    n = 180
+    lines = spark.range(n).select(
+        F.lit("vid1").alias("video_id"),
+        F.lit("system").alias("track_id"),
+        (n - F.col("id")).alias("seq"),
+        F.concat(F.lpad((n - F.col("id")).cast("string"), 4, "0"), F.repeat(F.lit("x"), 100_000)).alias("text"),
+    )
+    track = [("vid1", "system", "ko", False)]
+    tracks = spark.createDataFrame(track, "video_id string, track_id string, language string, is_generated boolean")
+    monkeypatch.setattr(catalog.I, "spoken_lines", lambda *_: lines.repartition(7))
+    monkeypatch.setattr(catalog.I, "spoken_tracks", lambda *_: tracks)
+    rows = QUERIES[name](spark, sf_dir)
+    text = "transcript" if name == "transcript_text" else "full_text"
+    got = rows.filter("video_id = 'vid1'").select(text).collect()
+    want = "\n".join(f"{i:04}" + "x" * 100_000 for i in range(1, n + 1))
+    assert len(got) >= 1 and all(r[0].endswith(want) for r in got)
