@@ -9,6 +9,7 @@ from labelmill.llm import (
     exactdedup,
     lm,
     mixing,
+    periodic,
     pii,
     quality,
     sharding,
@@ -77,6 +78,11 @@ def op10_exact_dedup(spark, sf_dir):
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), repeat=True)
+
+
 ORACLES["op10_exact_dedup"] = f"""
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
