@@ -16,6 +16,7 @@ from labelmill.llm import (
     simhash,
     toxicity,
     warc,
+    whitening,
 )
 from labelmill.llm.common import LOWER, UPPER, table
 
@@ -78,6 +79,11 @@ def op10_exact_dedup(spark, sf_dir):
     return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic.periodic_runs(table(spark, sf_dir, "documents"), repeat=True)
