@@ -9,6 +9,7 @@ from labelmill.llm import (
     exactdedup,
     lm,
     mixing,
+    packing,
     periodic,
     pii,
     quality,
@@ -24,6 +25,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """A file of a public tokenizer, where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -84,6 +92,11 @@ def op11_embedding_whitening(spark, sf_dir):
     return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic.periodic_runs(table(spark, sf_dir, "documents"), repeat=True)

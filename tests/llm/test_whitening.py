@@ -83,7 +83,7 @@ def test_without_spread(spark):
     line = spark.createDataFrame([(i, [float(i), 2.0 * i]) for i in range(9)], VECTORS)
     got = whitening.whitened_vectors(line).collect()
     assert all((r.whitened is None) == (r.component == 2) and r.identity_error < 1e-9 for r in got)
-    assert all(r.explained == pytest.approx(r.component == 1, abs=1e-9) for r in got)
+    assert all(r.explained == pytest.approx(float(r.component == 1), abs=1e-9) for r in got)
 
 
 def test_empty_and_other_columns(spark):
