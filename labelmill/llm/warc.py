@@ -355,11 +355,13 @@ def archived_pages(
     write_archives(pages, path, id_column, url_column, html_column, least_bytes)
     found = read_archives(spark, path).withColumn("own_bytes", F.octet_length("payload").cast("long"))
     listed = stored(found.drop("payload"), "archived")
-    lengths = listed.filter("record_type = 'response'").groupBy("page_id").agg(
-        F.max("own_bytes").alias("response_bytes")
+    # Ids may be repeated with other payloads; the digest tells these apart.
+    lengths = listed.filter("record_type = 'response'").groupBy(
+        F.col("page_id").alias("response_id"), F.col("payload_digest").alias("response_digest")
     )
-    lengths = stored(lengths.withColumnRenamed("page_id", "response_id"), "lengths")
-    return listed.join(lengths, listed.refers_to == lengths.response_id, "left").select(
+    lengths = stored(lengths.agg(F.max("own_bytes").alias("response_bytes")), "lengths")
+    same = (listed.refers_to == lengths.response_id) & (listed.payload_digest == lengths.response_digest)
+    return listed.join(lengths, same, "left").select(
         "page_id",
         F.coalesce("own_bytes", "response_bytes").alias("payload_bytes"),
         "payload_digest",

@@ -275,6 +275,15 @@ def test_archived_pages(spark, monkeypatch, rows_to_broadcast):
     assert got == sorted(want)
 
 
+def test_lengths_where_ids_are_repeated(spark):
+    """An id with two payloads; what revisits one of them has the length of that one."""
+    rows = [(5, "u", "x" * 100), (5, "u", "y" * 200), (7, "u", "x" * 100), (8, "u", "y" * 200)]
+    got = warc.archived_pages(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to or 0) for r in got) == sorted(
+        (p, len(html), digest(html), 5 if p > 5 else 0) for p, _, html in rows
+    )
+
+
 def test_archives_are_plain_records(spark, tmp_path, monkeypatch):
     """The files follow the format; another reader finds every payload."""
     monkeypatch.setattr(warc, "SEGMENT_BYTES", 300)
