@@ -153,12 +153,21 @@ def train(rows: list[tuple[int, float, bytes]], metadata: int) -> Machine:
     return machine
 
 
+_NUMBERS = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+
+
 def _metadata_of(docs: DataFrame, names: list[str]) -> list[Column]:
-    """The metadata columns as doubles; a missing one is null."""
-    return [
-        (F.col(n) if n in docs.columns else F.lit(None)).cast("double").alias(f"metadata_{i}")
-        for i, n in enumerate(names)
-    ]
+    """The metadata columns as doubles; a missing one is null, and so is what is no number."""
+    kinds = dict(docs.dtypes)
+
+    def number(name: str) -> Column:
+        if name not in kinds:
+            return F.lit(None).cast("double")
+        if kinds[name] in _NUMBERS or kinds[name].startswith("decimal"):
+            return F.col(name).cast("double")
+        return F.col(name).cast("string").try_cast("double")
+
+    return [number(n).alias(f"metadata_{i}") for i, n in enumerate(names)]
 
 
 def fit(

@@ -90,6 +90,13 @@ def test_classifier_edges(spark, score):
 # --- toxicity -----------------------------------------------------------------------
 
 
+def test_metadata_that_is_no_number(spark):
+    rows = [(i, "some plain words here " * (i % 5), "many") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    assert quality.quality(docs, labels).count() == 30
+
+
 def test_noisy_or():
     scores = [-1.0, 0.5, -8.0]
     chances = [1 / (1 + np.exp(-z)) for z in scores]
@@ -131,7 +138,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n.split("_")[0][2:]) for n in llm.QUERIES} == set(range(1, 11))
+    assert {int(n.split("_")[0][2:]) for n in llm.QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
