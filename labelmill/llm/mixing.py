@@ -12,14 +12,13 @@ long the mix is. One task walks through the blocks and holds one entry a source.
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelmill.llm.common import text_of
+from labelmill.llm.common import FILE_PLACE, as_rows, in_files, text_of
 from labelmill.llm.splitters import numbers, ranked, real_numbers
 from labelmill.session import stored
 
@@ -30,15 +29,8 @@ ROW_BYTES = 16
 TEMPERATURE = 0.5
 # Blocks the walk hands on at a time.
 WALKED = 50_000
-
-
-@dataclass
-class Schedule:
-    """Per source its blocks in a cycle; per block its slot, release and due time."""
-
-    cycle: int
-    shares: list[int]
-    slots: list[list[int]]
+# Later times, which only the smallest weights lead to, are given as this.
+LATEST = (1 << 63) - 1
 
 
 def exact(weights: list[float]) -> tuple[int, list[int]]:
@@ -59,9 +51,10 @@ def window(k: int, share: int, cycle: int) -> tuple[int, int]:
 def walk(cycle: int, shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
     """``(slot, source, block)``: earliest due date first, among the blocks released.
 
-    Source ``s`` has ``blocks[s]`` blocks. Where none is released, slots stay empty.
+    Source ``s`` has ``blocks[s]`` blocks. Where none is released, slots stay
+    empty. Sources without a share come after all others, one after the other.
     """
-    waiting = [(0, s, 0) for s in range(len(shares)) if blocks[s]]
+    waiting = [(0, s, 0) for s in range(len(shares)) if blocks[s] and shares[s]]
     heapq.heapify(waiting)
     released: list[tuple[int, int, int]] = []
     slot = 0
@@ -76,15 +69,10 @@ def walk(cycle: int, shares: list[int], blocks: list[int]) -> Iterator[tuple[int
         if k + 1 < blocks[source]:
             heapq.heappush(waiting, (window(k + 1, shares[source], cycle)[0], source, k + 1))
         slot += 1
-
-
-def schedule(weights: list[float]) -> Schedule:
-    """One cycle of the walk; sources that last repeat it."""
-    cycle, shares = exact(weights)
-    slots: list[list[int]] = [[] for _ in shares]
-    for slot, source, _ in walk(cycle, shares, shares):
-        slots[source].append(slot)
-    return Schedule(cycle, shares, slots)
+    for source, share in enumerate(shares):
+        for k in range(0 if share else blocks[source]):
+            yield slot, source, k
+            slot += 1
 
 
 def _walked(docs: DataFrame, cycle: int, shares: list[int], blocks: list[int]) -> DataFrame:
@@ -95,7 +83,8 @@ def _walked(docs: DataFrame, cycle: int, shares: list[int], blocks: list[int]) -
         for _ in batches:
             rows = []
             for slot, source, k in walk(cycle, shares, blocks):
-                rows.append((slot, source, k, *window(k, shares[source], cycle)))
+                times = window(k, shares[source], cycle) if shares[source] else (slot, slot + 1)
+                rows.append((min(slot, LATEST), source, k, *(min(t, LATEST) for t in times)))
                 if len(rows) == WALKED:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -130,13 +119,31 @@ def mixed(
     is used up leaves its slots to the others, which go on inside their windows;
     no row is dropped or repeated.
 
-    Weights that are missing, zero or negative count as the smallest given; with
-    none given, sources weigh as the square root of their size. One row per
+    Weights that are missing count as the smallest given above zero; a source of
+    weight zero comes after all others; negative weights and those that are no
+    finite number are a ``ValueError``. With none given, sources weigh as the
+    square root of their size. Times beyond 64 bits are given as the largest. One row per
     source is all that comes to the driver. A null source is a source; null
     texts have size 16; null ids come first; repeated rows are placed each; an
     empty table gives an empty result.
     """
+    return _mixed(docs, weights, id_column, text_column, source_column, block_bytes, None).select(
+        "doc_id", "source", "block", "slot", "release_slot", "due_slot", "place", "share"
+    )
+
+
+def _mixed(
+    docs: DataFrame,
+    weights: dict[str | None, float] | None,
+    id_column: str,
+    text_column: str,
+    source_column: str,
+    block_bytes: int,
+    row_place: list[Column] | None,
+) -> DataFrame:
+    """``mixed`` with the row's place in its files, if that is given."""
     low = -(1 << 63)
+    row_key = FILE_PLACE if row_place else ["row_key"]
     source = F.col(source_column)
     sized = stored(
         docs.select(
@@ -146,7 +153,7 @@ def mixed(
             (F.octet_length(text_of(text_column)) + ROW_BYTES).cast("long").alias("size"),
             F.xxhash64(F.col(id_column).cast("long")).alias("id_hash"),
             F.coalesce(F.col(id_column).cast("long"), F.lit(low)).alias("id_key"),
-            F.monotonically_increasing_id().alias("row_key"),
+            *(row_place or [F.monotonically_increasing_id().alias("row_key")]),
         ),
         "sources",
     )
@@ -156,8 +163,10 @@ def mixed(
         given = [held[n] ** TEMPERATURE for n in names]
     else:
         asked = {"" if k is None else f"={k}": w for k, w in weights.items()}
+        if not all(math.isfinite(w) and w >= 0 for w in asked.values()):
+            raise ValueError("weights must be finite and not negative")
         least = min((w for w in asked.values() if w > 0), default=1.0)
-        given = [max(asked.get(n, 0.0), 0.0) or least for n in names]
+        given = [asked.get(n, least) for n in names]
     cycle, shares = exact(given)
     blocks = [(held[n] - 1) // block_bytes + 1 for n in names]
     walked = _walked(docs, cycle, shares, blocks)
@@ -165,7 +174,7 @@ def mixed(
     place = number[F.col("source_key")] if names else F.lit(0)
     found = ranked(
         sized.withColumn("source_no", place.cast("long")),
-        ["source_no", "id_hash", "id_key", "row_key"],
+        ["source_no", "id_hash", "id_key", *row_key],
         "size",
     )
     starts, passed = [], 0
@@ -173,7 +182,7 @@ def mixed(
         starts.append(passed)
         passed += held[n]
     start = F.get(numbers(starts), F.col("source_no").cast("int"))
-    part = F.get(real_numbers([w / cycle for w in shares]), F.col("source_no").cast("int"))
+    part = F.get(real_numbers([w / max(1, cycle) for w in shares]), F.col("source_no").cast("int"))
     rows = found.rows.withColumn("first_byte", F.col("before") - start).withColumn(
         "block", F.expr(f"first_byte div {block_bytes}")
     )
@@ -181,34 +190,37 @@ def mixed(
         rows.join(walked, ["source_no", "block"]).select(
             "doc_id", "source", "block", "slot", "release_slot", "due_slot",
             F.col("place").alias("source_place"), F.lit(1).cast("long").alias("one"),
-            part.alias("share"),
+            part.alias("share"), *row_key,
         ),
         "slotted",
     )
-    return ranked(slotted, ["slot", "source_place"], "one").rows.select(
-        "doc_id", "source", "block", "slot", "release_slot", "due_slot", "place", "share"
-    )
-
-
-def first_places(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """``(placed_id, place)``: of each id the first place its rows have in the mix."""
-    placed = mixed(docs, id_column=id_column, **options)
-    first = placed.groupBy(F.col("doc_id").alias("placed_id")).agg(F.min("place").alias("place"))
-    return stored(first, "mix")
+    return ranked(slotted, ["slot", "source_place"], "one").rows
 
 
-def in_mixed_order(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+def in_mixed_order(
+    docs: DataFrame,
+    weights: dict[str | None, float] | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """The rows of ``docs``, written in the order of the mix when saved.
 
-    Rows are range-partitioned by their place, so the files follow each other as
-    the mix does. Rows repeated with their id stand together at the first place.
+    Rows are dealt to partitions by their place, so the files follow each other
+    as the mix does. Rows are told apart by where they stand in their files, see
+    ``in_files``; the names of their columns do not matter.
     """
-    placed = first_places(docs, id_column, **options).withColumnsRenamed(
-        {"placed_id": "mixed_id", "place": "mixed_place"}
-    )
-    joined = docs.join(placed, F.col(id_column).cast("long").eqNullSafe(F.col("mixed_id")))
+    docs, row_place = in_files(docs, "to-mix")
+    options = (id_column, text_column, source_column, block_bytes)
+    placed = _mixed(docs, weights, *options, row_place).select(F.struct(*FILE_PLACE).alias("at"), "place")
+    placed = stored(placed, "mix")
+    count, parts = placed.count(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = docs.select(as_rows(docs).alias("row"), F.struct(*row_place).alias("at"))
+    part = F.floor(F.col("place") / F.lit(max(1, count)) * parts).cast("int")
     return (
-        joined.repartitionByRange("mixed_place")
-        .sortWithinPartitions("mixed_place")
-        .drop("mixed_id", "mixed_place")
+        mine.join(placed, "at")
+        .repartitionById(parts, part)
+        .sortWithinPartitions("place")
+        .select("row.*")
     )

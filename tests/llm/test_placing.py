@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from labelmill.llm import mixing, sharding, splitters
+from labelmill.session import stored
 
 DOCS = "doc_id long, text string, source string, shard int, place string"
 
@@ -102,21 +103,28 @@ def test_with_shards_keeps_rows_and_replaces_columns(spark):
 # --- mix -------------------------------------------------------------------------
 
 
+def one_cycle(weights):
+    """The cycle, the shares of it, and the slots that one cycle gives each source."""
+    cycle, shares = mixing.exact(weights)
+    slots = [[] for _ in shares]
+    for slot, source, _ in mixing.walk(cycle, shares, shares):
+        slots[source].append(slot)
+    return cycle, shares, slots
+
+
 @pytest.mark.parametrize("weights", [[1, 1], [5, 3, 1, 1], [0.7, 0.1, 0.1, 0.05, 0.05], [1] * 200])
-def test_schedule_keeps_windows_and_shares(weights):
-    plan = mixing.schedule(weights)
-    assert sum(plan.shares) == plan.cycle
-    assert sorted(s for slots in plan.slots for s in slots) == list(range(plan.cycle))
-    for share, slots in zip(plan.shares, plan.slots):
+def test_walk_keeps_windows_and_shares(weights):
+    cycle, shares, by_source = one_cycle(weights)
+    assert sum(shares) == cycle
+    assert sorted(s for slots in by_source for s in slots) == list(range(cycle))
+    for share, slots in zip(shares, by_source):
         for k, slot in enumerate(slots):
-            release, due = mixing.window(k, share, plan.cycle)
+            release, due = mixing.window(k, share, cycle)
             assert release <= slot < due
-            assert abs((k + 1) - share * (slot + 1) / plan.cycle) < 1
-            assert abs(k - share * slot / plan.cycle) < 1
+            assert abs((k + 1) - share * (slot + 1) / cycle) < 1
+            assert abs(k - share * slot / cycle) < 1
     total = sum(weights)
-    assert all(
-        abs(s / plan.cycle - w / total) <= 1 / plan.cycle for s, w in zip(plan.shares, weights)
-    )
+    assert all(abs(s / cycle - w / total) <= 1 / cycle for s, w in zip(shares, weights))
 
 
 def brute_mix(rows, weights, block_bytes, order):
@@ -125,13 +133,13 @@ def brute_mix(rows, weights, block_bytes, order):
     for doc_id, text, source in sorted(rows, key=lambda r: order[r[0]]):
         by_source[source].append((doc_id, size_of(text)))
     names = sorted(by_source)
-    plan = mixing.schedule([weights[n] for n in names])
+    cycle, shares, in_cycle = one_cycle([weights[n] for n in names])
     slots = {}
-    for n, share, cycle_slots in zip(names, plan.shares, plan.slots):
+    for n, share, cycle_slots in zip(names, shares, in_cycle):
         first = 0
         for place, (doc_id, size) in enumerate(by_source[n]):
             block = first // block_bytes
-            slot = block // share * plan.cycle + cycle_slots[block % share]
+            slot = block // share * cycle + cycle_slots[block % share]
             slots[doc_id] = (slot, place)
             first += size
     return {d: i for i, d in enumerate(sorted(slots, key=slots.get))}
@@ -157,6 +165,22 @@ def test_mix_edges(spark):
     assert {r.source for r in got} == {None, "", "a"}
 
 
+@pytest.mark.parametrize("weight", [float("nan"), float("inf"), -1.0])
+def test_weights_that_are_none(spark, weight):
+    with pytest.raises(ValueError, match="weights"):
+        mixing.mixed(documents(spark), {"s0": weight})
+
+
+def test_smallest_and_zero_weights(spark):
+    docs = documents(spark)
+    got = mixing.mixed(docs, {"s0": 1.0, "s1": 1e-300, "s2": 0.0}, block_bytes=700).collect()
+    by_place = [r.source for r in sorted(got, key=lambda r: r.place)]
+    assert sorted(r.place for r in got) == list(range(600))
+    last = {s: max(i for i, x in enumerate(by_place) if x == s) for s in ("s0", "s1", "s2")}
+    assert by_place[-200:] == ["s2"] * 200 and last["s0"] < last["s1"]
+    assert mixing.mixed(docs, {"s0": 0.0, "s1": 0.0, "s2": 0.0}).count() == 600
+
+
 def test_in_mixed_order_writes_the_mix(spark, tmp_path):
     docs = documents(spark)
     path = str(tmp_path / "mix")
@@ -169,10 +193,15 @@ def test_in_mixed_order_writes_the_mix(spark, tmp_path):
     assert [r.doc_id for r in written] == sorted(places, key=places.get)
 
 
+def mixed_and_sharded(spark, docs):
+    """The last two stages, the first written and read again as between all stages."""
+    return corpus_pipeline.shard(spark, stored(corpus_pipeline.mix(spark, docs, ""), "stage-mixing"), "")
+
+
 def test_slots_of_a_shard_follow_the_mix(spark):
     """Shards as before; in each the slots are in the order of the mix, from its beginning on."""
     docs = documents(spark, n=6000, hot=0).drop("shard")
-    got = corpus_pipeline.shard(spark, docs, "").collect()
+    got = mixed_and_sharded(spark, docs).collect()
     plain = {r.doc_id: r.shard for r in sharding.shard_documents(docs).collect()}
     assert {r.doc_id: r.shard for r in got} == plain
     places = {r.doc_id: r.place for r in mixing.mixed(docs).collect()}
@@ -183,13 +212,39 @@ def test_slots_of_a_shard_follow_the_mix(spark):
     assert len(shards) == sharding.SHARDS and all(s == sorted(s) for s in shards.values())
 
 
+def test_sharding_runs_no_python(spark):
+    docs = stored(documents(spark), "plain")
+    plan = sharding.with_shards(docs, keep_order=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan
+
+
+HELPERS = [
+    "at", "row", "row_no", "file_no", "split_no", "_metadata", "mixed_id", "mixed_place", "place", "_id",
+    "_crc", "_size", "_copy", "size", "slot", "block", "one", "Shard", "a b", "x.y",
+]
+
+
+def test_helper_names_as_columns(spark):
+    """Input columns named like anything the operators make come back as they were."""
+    docs = spark.createDataFrame([(i, f"t{i % 4}", "s") for i in range(40)], "doc_id long, text string, source string")
+    given = docs.select("*", *[F.concat(F.lit("keep"), "doc_id").alias(h) for h in HELPERS])
+    mixed = mixing.in_mixed_order(given)
+    assert mixed.columns == given.columns
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, given.collect()))
+    got = sharding.with_shards(given, keep_order=True)
+    assert got.columns == [c for c in given.columns if c not in ("slot", "Shard")] + ["shard", "slot"]
+    for r in got.collect():
+        assert {r[h] for h in HELPERS if h not in ("slot", "Shard")} == {f"keep{r.doc_id}"}
+    assert mixing.mixed(given).count() == sharding.shard_documents(given).count() == 40
+
+
 def test_beginnings_of_shards_hold_the_target_shares(spark):
     """One source of ten times the rows of the other; weights are the roots of the sizes."""
     rows = [(i, f"{i:06d}" * 200, "large" if i % 11 else "small") for i in range(8800)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
     target = 10**0.5 / (1 + 10**0.5)
     first = defaultdict(list)
-    for r in corpus_pipeline.shard(spark, docs, "").collect():
+    for r in mixed_and_sharded(spark, docs).collect():
         if r.slot < 50:
             first[r.shard].append(r.source == "large")
     assert len(first) == sharding.SHARDS
