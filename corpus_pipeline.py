@@ -59,11 +59,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with ``shard`` and ``slot``; input columns of these names are replaced.
 
-    Shards hold near equal bytes; inside each, documents stand as in the mix. A
-    place in the mix depends on the documents alone, so it is found again here,
-    whatever order their files have.
+    Shards hold near equal bytes; inside each, documents follow each other as in
+    the files they are read from, which is the order of the mix.
     """
-    return sharding.with_shards(docs, places=mixing.first_places(docs))
+    return sharding.with_shards(docs, keep_order=True)
 
 
 STAGES = [
