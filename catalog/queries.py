@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog import inputs as I
 from labelmill.functions import anchors, answers, rules, text, uri, videos
 from labelmill.operators import (
+    assemble,
     extraction,
     labelling,
     quality,
@@ -28,6 +29,7 @@ from labelmill.sources.tables import read_metadata_csv
 RUN_AT = datetime(2024, 1, 29, 14, 30, 5)
 RUN_DATE = "2024-01-29"
 ROUTE_LIMIT = 10_000
+PART_CHARS = assemble.PART_CHARS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,7 +165,8 @@ def _parsed_shards(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
-    return shards.merge_shards(_parsed_shards(spark, sf_dir), size=F.col("length"))
+    parsed = _parsed_shards(spark, sf_dir)
+    return shards.merge_shards(parsed, chars=PART_CHARS, size=F.col("length"))
 
 
 @query
@@ -195,6 +198,7 @@ def shard_merge(spark, sf_dir):
     return merged.select(
         "uri",
         "part",
+        "start",
         "mime_type",
         "full_text",
         F.array_join(numbers, ",").alias("page_numbers"),
@@ -224,8 +228,7 @@ def page_stats(spark, sf_dir):
 
 @query
 def entity_list(spark, sf_dir):
-    # Positions run through whole documents, so none is in parts.
-    return shards.entity_list(_parsed_shards(spark, sf_dir)).withColumn("part", F.lit(""))
+    return shards.entity_list(_parsed_shards(spark, sf_dir))
 
 
 @query
@@ -480,23 +483,32 @@ def transcript_select(spark, sf_dir):
 
 @query
 def transcript_text(spark, sf_dir):
-    return video.transcript_texts(I.spoken_lines(spark, sf_dir), limit=None).select(
-        "video_id", "track_id", "transcript"
-    )
+    return video.transcript_texts(I.spoken_lines(spark, sf_dir), chars=PART_CHARS)
 
 
-def _video_documents(spark, sf_dir):
-    return video_plan.documents_of_videos(
-        I.video_urls(spark, sf_dir).select("url"),
+def _videos(spark, sf_dir):
+    ids = video_plan.video_ids(I.video_urls(spark, sf_dir))
+    documents = video_plan.distinct_videos(
+        ids,
         I.video_answers(spark, sf_dir),
         I.spoken_tracks(spark, sf_dir),
         I.spoken_lines(spark, sf_dir),
+        PART_CHARS,
     )
+    return ids, documents
 
 
 @query
 def video_document(spark, sf_dir):
-    return _video_documents(spark, sf_dir).select("uri", "video_id", "full_text", "status")
+    """The text of every video behind a URL, once."""
+    return _videos(spark, sf_dir)[1].select("video_id", "part", "start", "full_text", "status")
+
+
+@query
+def video_reference(spark, sf_dir):
+    """The text that every URL leads to, by id."""
+    ids, documents = _videos(spark, sf_dir)
+    return video_plan.references_of_urls(ids, stored(documents, "videos"))
 
 
 # --- whole jobs --------------------------------------------------------------------------------
@@ -524,13 +536,7 @@ def batch_report(spark, sf_dir):
 @query
 def video_records(spark, sf_dir):
     """Videos to the 13 columns."""
-    ids = video_plan.video_ids(I.video_urls(spark, sf_dir))
-    found = video_plan.distinct_videos(
-        ids,
-        I.video_answers(spark, sf_dir),
-        I.spoken_tracks(spark, sf_dir),
-        I.spoken_lines(spark, sf_dir),
-    )
+    ids, found = _videos(spark, sf_dir)
     documents = stored(found, "videos")
     good = routing.split_quarantine(documents)[0]
     labels = video_plan.video_records(good, RUN_DATE, I.MODELS)

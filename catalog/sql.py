@@ -12,6 +12,7 @@ from labelmill.functions.text import (
     REQUEST_OPENING,
     WHITESPACE,
 )
+from labelmill.operators.assemble import PART_CHARS
 from labelmill.schema import DOMAINS, METADATA_COLUMNS, SUMMARY_CHARS
 
 RUN_DATE = "2024-01-29"
@@ -371,14 +372,56 @@ TRACKS = f"""tracks AS (SELECT DISTINCT 'vid' || conv_id AS video_id, role AS tr
 SPOKEN = """spoken AS (SELECT 'vid' || conv_id AS video_id, role AS track_id,
     string_agg(CASE WHEN turn % 5 <> 4 THEN text ELSE '' END, chr(10) ORDER BY turn) AS transcript
     FROM conversations GROUP BY conv_id, role)"""
+
+
+def _in_parts(source: str, text: str, chars: int) -> str:
+    """Each text of ``source`` cut every so many characters; adds ``k``, ``part``, ``start``."""
+    return f"""SELECT * REPLACE (substring({text}, k * {chars} + 1, {chars}) AS {text}),
+      CASE WHEN n = 1 THEN '' ELSE lpad(k::VARCHAR, 12, '0') END AS part, k * {chars} AS start
+      FROM (SELECT *, unnest(range(n)) AS k FROM (
+        SELECT *, greatest(1, ceil(length({text}) / {chars}))::BIGINT AS n FROM {source}))"""
+
+
+def texts_in_parts(chars: int) -> dict[str, str]:
+    """The queries whose texts come in parts of so many characters."""
+    return {
+        "shard_merge": f"""WITH {TEXTS}, {SHARDS}, placed AS (
+            SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY uri ORDER BY shard_uri
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
+              greatest(1, ceil(sum(length(text)) OVER (PARTITION BY uri) / {chars})) AS n FROM shards),
+          lists AS (SELECT uri, least(ahead // {chars}, n - 1)::BIGINT AS k,
+              string_agg((i + 1)::VARCHAR, ',' ORDER BY shard_uri) AS page_numbers,
+              string_agg({_PAGE}, '|' ORDER BY shard_uri) AS page_texts,
+              string_agg(lang || '@' || (['0.25', '0.5', '0.75'])[i + 1], ',' ORDER BY shard_uri) AS mentions
+            FROM placed GROUP BY ALL),
+          merged AS (SELECT uri, string_agg(text, '' ORDER BY shard_uri) AS full_text FROM shards GROUP BY uri),
+          parts AS ({_in_parts("merged", "full_text", chars)})
+          SELECT uri, part, start, {_mime('uri')} AS mime_type, full_text, coalesce(page_numbers, '') AS page_numbers,
+            coalesce(page_texts, '') AS page_texts, coalesce(mentions, '') AS mentions, 'ok' AS status
+          FROM parts LEFT JOIN lists USING (uri, k)""",
+        "transcript_text": f"""WITH {SPOKEN}, parts AS ({_in_parts("spoken", "transcript", chars)})
+          SELECT video_id, track_id, part, start, transcript FROM parts""",
+        "video_document": f"""{VIDEOS}, parts AS ({_in_parts("documents", "full_text", chars)})
+          SELECT video_id, part, start, full_text, status FROM parts""",
+        "video_reference": f"""{VIDEOS} SELECT url AS uri, ids.video_id,
+            CASE WHEN documents.video_id IS NOT NULL THEN greatest(1, ceil(length(full_text) / {chars}))::BIGINT END AS parts,
+            length(full_text) AS chars,
+            CASE WHEN ids.video_id IS NULL THEN 'not_a_video' ELSE coalesce(status, 'video_not_found') END AS status
+          FROM ids LEFT JOIN documents USING (video_id)""",
+    }
+
+
 VIDEOS = f"""WITH {URLS}, {IDS}, {INFO}, {TRACKS}, {SPOKEN},
-  videos AS (SELECT url AS uri, ids.video_id,
+  documents AS (SELECT info.video_id,
     CASE WHEN found THEN '[Video Title] ' || title || chr(10) || '[Channel] ' || channel || chr(10) ||
       '[Published] 2024-01-29T00:00:00Z' || chr(10) || chr(10) || '[Transcript]' || chr(10) ||
       CASE WHEN coalesce(transcript, '') = '' THEN description ELSE transcript END END AS full_text,
-    CASE WHEN ids.video_id IS NULL THEN 'not_a_video' WHEN found THEN 'ok' ELSE 'video_not_found' END AS status
-    FROM ids LEFT JOIN info USING (video_id) LEFT JOIN chosen USING (video_id)
-      LEFT JOIN spoken ON spoken.video_id = chosen.video_id AND spoken.track_id = chosen.track_id)"""
+    CASE WHEN found THEN 'ok' ELSE 'video_not_found' END AS status
+    FROM info SEMI JOIN ids USING (video_id) LEFT JOIN chosen USING (video_id)
+      LEFT JOIN spoken ON spoken.video_id = chosen.video_id AND spoken.track_id = chosen.track_id),
+  videos AS (SELECT url AS uri, ids.video_id, full_text,
+    CASE WHEN ids.video_id IS NULL THEN 'not_a_video' ELSE coalesce(status, 'video_not_found') END AS status
+    FROM ids LEFT JOIN documents USING (video_id))"""
 
 # --- records by rule ------------------------------------------------------------------
 
@@ -458,14 +501,8 @@ ORACLES: dict[str, str] = {
     "prompt_text": f"""WITH {TEXTS} SELECT uri, {_format(_name('uri'))} AS file_format, {_REQUEST} AS request FROM texts""",
     "anchor_slice": f"WITH {TEXTS}, {SHARDS} SELECT shard_uri, text AS anchored FROM shards",
     "page_text": f"WITH {TEXTS}, {SHARDS} SELECT shard_uri, (i + 1)::BIGINT AS page_number, {_PAGE} AS text FROM shards",
-    "shard_merge": f"""WITH {TEXTS}, {SHARDS} SELECT uri, '' AS part, {_mime('uri')} AS mime_type,
-        string_agg(text, '' ORDER BY shard_uri) AS full_text,
-        string_agg((i + 1)::VARCHAR, ',' ORDER BY shard_uri) AS page_numbers,
-        string_agg({_PAGE}, '|' ORDER BY shard_uri) AS page_texts,
-        string_agg(lang || '@' || (['0.25', '0.5', '0.75'])[i + 1], ',' ORDER BY shard_uri) AS mentions,
-        'ok' AS status FROM shards GROUP BY uri""",
     "page_stats": f"""WITH {TEXTS} SELECT uri, 3::BIGINT AS page_count, length(full_text) AS text_length FROM texts""",
-    "entity_list": f"""WITH {TEXTS}, {SHARDS} SELECT uri, '' AS part,
+    "entity_list": f"""WITH {TEXTS}, {SHARDS} SELECT uri,
         row_number() OVER (PARTITION BY uri ORDER BY shard_uri) - 1 AS position, 'language' AS type,
         lang AS mention_text, (i + 1) / 4 AS confidence FROM shards""",
     "shard_owner": f"""WITH {TEXTS}, {SHARDS}, named AS (
@@ -538,10 +575,9 @@ ORACLES: dict[str, str] = {
         CASE k WHEN 1 THEN {_pick(['ko', 'de'], 1, 'page_id')} WHEN 2 THEN {_pick(['en', 'fr', 'ko'], 1, 'page_id')} WHEN 3 THEN 'en' END AS language,
         CASE WHEN k > 0 THEN k = 1 END AS is_generated FROM numbered""",
     "transcript_select": f"WITH {TRACKS} SELECT * FROM chosen",
-    "transcript_text": f"WITH {SPOKEN} SELECT * FROM spoken",
-    "video_document": f"{VIDEOS} SELECT * FROM videos",
     "batch_records": f"{_BATCH} SELECT * FROM batch",
     "batch_report": f"{_BATCH} {_report('batch')}",
     "video_records": f"{VIDEOS}, good AS (SELECT * FROM videos WHERE status = 'ok') "
     + _rule_records("good", _text("UNKNOWN"), _text("video")),
+    **texts_in_parts(PART_CHARS),
 }

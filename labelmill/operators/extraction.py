@@ -40,7 +40,7 @@ def extract_documents(files: DataFrame, extractor: Extractor) -> DataFrame:
 
     chosen = files.select("uri", U.mime_type(F.col("uri")).alias("mime_type"), "content")
     done = chosen.mapInPandas(extract, EXTRACTED)
-    return done.withColumn("part", F.lit(""))
+    return done
 
 
 def _plain_text() -> Extractor:

@@ -10,7 +10,7 @@ from labelmill.functions import answers as A
 from labelmill.functions import rules as R
 from labelmill.functions import text as X
 from labelmill.functions import uri as U
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, head_text, told_apart, whole_lines
+from labelmill.operators.assemble import PART_CHARS, head_text, told_apart, whole_lines
 from labelmill.operators.skew import join_narrow
 from labelmill.schema import FIELD_DEFAULTS, METADATA_COLUMNS, REQUEST_TEXT_CHARS
 from labelmill.session import configure
@@ -118,7 +118,7 @@ def rule_labels(
     run_date: str,
     source_type: str = "document",
     language: Column | None = None,
-    limit: int = WHOLE_LIMIT_BYTES,
+    limit: int = PART_CHARS,
 ) -> DataFrame:
     """Metadata records by text rules: no service, no Python worker, no shuffle
     for documents in one row.

@@ -1,14 +1,14 @@
 """OCR shards to documents: parse, cut pages, merge in shard order."""
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelmill.functions import uri as U
 from labelmill.functions.anchors import page_texts
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, oversize_groups, with_part
-from labelmill.operators.skew import join_short
+from labelmill.operators.assemble import PART_CHARS, in_parts
+from labelmill.operators.skew import join_short, running_before
 from labelmill.schema import ENTITIES, SHARD_JSON, SHARD_PAGES
+from labelmill.session import stored
 
 
 def owned_shards(files: DataFrame, names: DataFrame) -> DataFrame:
@@ -85,53 +85,44 @@ def _first_problem(status: Column) -> Column:
 
 
 def merge_shards(
-    shards: DataFrame, limit: int = WHOLE_LIMIT_BYTES, size: Column | None = None
+    shards: DataFrame, chars: int = PART_CHARS, size: Column | None = None
 ) -> DataFrame:
-    """One row per document: text, pages and entities in shard order.
+    """Documents of parsed shards: text, pages and entities in shard order.
 
     The order is that of the shard names as text, so ``-10`` comes before
     ``-2``; texts are joined without a separator, page numbers are kept as they
     are. Page texts are cut from their own shard before anything is merged.
-    Documents over the limit keep one row per shard, see ``assemble``. ``size``
-    may name a column with the file length, which saves reading the texts once
-    more for the check.
+    ``(uri, part, start, mime_type, full_text, pages, entities, status)``: a
+    text of more than ``chars`` characters has several parts, see ``assemble``;
+    the pages and entities of a shard stand in the part in which it begins.
+    ``size`` may name a column with the file length, which saves reading the
+    texts once more to find the long ones.
     """
-    size = F.octet_length("text") if size is None else size
-    oversize = oversize_groups(shards, ["uri"], size, limit)
-    if oversize is None:
-        placed, keys = shards.withColumn("part", F.lit("")), ["uri"]
-    else:
-        placed = with_part(shards, ["uri"], F.col("shard_uri"), oversize)
-        keys = ["uri", "part"]
-    status = F.col("status") if "status" in shards.columns else F.lit("ok")
+    if "status" not in shards.columns:
+        shards = shards.withColumn("status", F.lit("ok"))
     pages = page_texts(F.col("text"), F.col("pages"))
-    rows = placed.select(
-        *keys,
-        status.alias("status"),
-        F.struct("shard_uri", "text", pages.alias("pages"), "entities").alias("shard"),
-    )
-    merged = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list("shard")).alias("s"),
-        _first_problem(F.col("status")).alias("status"),
-    )
-    if oversize is None:
-        merged = merged.withColumn("part", F.lit(""))
+    rows = shards.select(
+        "uri", "shard_uri", F.col("text").alias("full_text"), pages.alias("pages"), "entities", "status",
+        (F.lit(None).cast("bigint") if size is None else size).alias("_bytes"),
+    )
+    merged = in_parts(
+        rows, ["uri"], "shard_uri", "full_text", ("pages", "entities"), chars=chars,
+        size=None if size is None else F.col("_bytes"),
+        facts={"status": _first_problem(F.col("status"))},
+    )
     return merged.select(
-        "uri",
-        "part",
-        U.mime_type(F.col("uri")).alias("mime_type"),
-        F.array_join("s.text", "").alias("full_text"),
-        F.flatten("s.pages").alias("pages"),
-        F.flatten("s.entities").alias("entities"),
-        "status",
-    )
+        "uri", "part", "start", U.mime_type(F.col("uri")).alias("mime_type"), "full_text", "pages",
+        "entities", "status",
+    )
 
 
 def with_missing(expected: DataFrame, merged: DataFrame, shards: DataFrame) -> DataFrame:
     """Merged documents, with a status row for the expected ones without shards."""
     listed = expected.select("uri")
     missing = listed.join(shards.select("uri").distinct(), "uri", "left_anti")
-    rows = missing.select("uri", F.lit("").alias("part"), F.lit("no_shards").alias("status"))
+    rows = missing.select(
+        "uri", F.lit("").alias("part"), F.lit(0).cast("bigint").alias("start"), F.lit("no_shards").alias("status")
+    )
     return merged.unionByName(rows, allowMissingColumns=True)
 
 
@@ -144,16 +135,20 @@ def page_stats(shards: DataFrame) -> DataFrame:
 
 
 def entity_list(shards: DataFrame) -> DataFrame:
-    """One row per recognised entity of parsed shards, numbered through their document."""
-    before = W.partitionBy("uri").orderBy("shard_uri").rowsBetween(W.unboundedPreceding, -1)
-    listed = shards.select(
-        "uri",
+    """One row per recognised entity of parsed shards, numbered through their document.
+
+    Numbers come from the sizes of the shards before, summed by range, so
+    neither the shards of a large document nor any entity meet in one task.
+    """
+    tie = F.xxhash64(F.to_json("entities")).alias("_tie")
+    rows = stored(
+        shards.select("uri", "shard_uri", "entities", tie, F.monotonically_increasing_id().alias("_row")),
         "entities",
-        F.coalesce(F.sum(F.size("entities")).over(before), F.lit(0)).alias("_before"),
     )
-    return listed.select(
-        "uri", "_before", F.posexplode("entities").alias("_at", "entity")
-    ).select(
+    sizes = rows.select("_row", "uri", "shard_uri", "_tie", F.size("entities").cast("bigint").alias("_n"))
+    before = running_before(sizes, ["uri"], ["shard_uri", "_tie"], "_n").select("_row", "_before")
+    listed = rows.filter(F.size("entities") > 0).join(before, "_row")
+    return listed.select("uri", "_before", F.posexplode("entities").alias("_at", "entity")).select(
         "uri",
         (F.col("_before") + F.col("_at")).cast("bigint").alias("position"),
         "entity.type",

@@ -1,13 +1,17 @@
 """Joins that stay spread out when one key holds a large share of the rows."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from labelmill.session import stored
+
 SALTS = 64
 
-# A key with more rows than this is hot. There are at most (rows / limit) of
-# them, few enough to broadcast up to the second number.
-HOT_ROWS = 1_000_000
+# Bytes of joined rows that one task should make of a key. Keys beyond it are
+# salted; there are at most (bytes / limit) of them.
+TASK_BYTES = 64 * 1024 * 1024
+# Keys that may be broadcast once counted.
 _BROADCAST_KEYS = 10_000
 
 
@@ -50,24 +54,43 @@ def join_short(
 
 
 def join_hot(
-    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Column, how: str = "left"
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: Column, row_bytes: int, how: str = "left"
 ) -> DataFrame:
-    """Join with a lookup of wide rows, one per key.
+    """Join with a lookup of wide rows, one per key; a joined row takes ``row_bytes``.
 
-    Rows per key are counted at once, reduced in the map tasks. Only the keys
-    found hot are salted and their lookup rows repeated; without any this is
-    the plain join.
+    Rows per key are counted at once, reduced in the map tasks. A key gets as
+    many salts as its joined rows fill tasks, and its lookup row is repeated as
+    often; without a key of several tasks this is the plain join.
     """
     counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = few_or_all(counts.filter(F.col("_n") > HOT_ROWS).select(key))
+    salts = F.ceil(F.col("_n") * row_bytes / TASK_BYTES).cast("int").alias("_salts")
+    hot = few_or_all(counts.select(key, salts).filter("_salts > 1"))
     if hot is None:
         return rows.join(lookup, key, how)
-    marked = hot.withColumn("_hot", F.lit(True))
-    salted = rows.join(marked, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt_of(spread_by)).otherwise(0)
+    own = F.pmod(F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = rows.join(hot, key, "left").withColumn("_salt", own).drop("_salts")
+    numbers = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = lookup.join(hot, key, "left").withColumn("_salt", F.explode(numbers)).drop("_salts")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def running_before(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Narrow ``rows`` with ``_before``: the sum of ``value`` over the earlier rows of their key.
+
+    Rows are dealt by ranges of key and order, so one key may lie in many
+    tasks. Each range is summed for itself; the sums of a key's ranges, one row
+    each, tell where a range begins.
+    """
+    ranged = stored(
+        rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges"
     )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
+    held = ranged.groupBy("_range", *keys).agg(F.sum(value).alias("_held"))
+    ranges = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    first = held.select("_range", *keys, F.coalesce(F.sum("_held").over(ranges), F.lit(0)).alias("_first"))
+    inside = W.partitionBy("_range", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    within = ranged.withColumn("_within", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return (
+        within.join(first, ["_range", *keys])
+        .withColumn("_before", F.col("_first") + F.col("_within"))
+        .drop("_range", "_first", "_within")
     )
-    repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(salts))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions import videos as V
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES, oversize_groups, with_part
+from labelmill.operators.assemble import PART_CHARS, cut_rows, in_parts, moved_parts
 from labelmill.schema import CAPTION_ANSWER, VIDEO_ANSWER
 
 LANGUAGES = ("ko", "en")
@@ -75,42 +75,16 @@ def select_tracks(tracks: DataFrame, languages: tuple[str, ...] = LANGUAGES) ->
 def transcript_texts(
     lines: DataFrame,
     keys: tuple[str, ...] = ("video_id", "track_id"),
-    limit: int | None = WHOLE_LIMIT_BYTES,
+    chars: int = PART_CHARS,
 ) -> DataFrame:
-    """Lines ``(video_id, track_id, seq, text)`` as one text per track.
+    """Lines ``(video_id, track_id, seq, text)`` as texts ``(keys, part, start, transcript)``.
 
     Lines go on lines of their own, in ``seq`` order; one without text is an
-    empty line. A track over the limit keeps its lines as parts, each ending
-    in its line break but for the last. ``opening`` marks the first part.
-    Without a limit (None) every track is one row, whatever its size.
+    empty line. A text of more than ``chars`` characters has several parts, see
+    ``assemble``.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = lines.select(*keys, "seq", text.alias("text"))
-    if limit is None:
-        return _joined_lines(rows, keys)
-    oversize = oversize_groups(rows, list(keys), F.octet_length("text") + 1, limit, order=F.col("seq"))
-    if oversize is None:
-        return _joined_lines(rows, keys)
-    at = F.lpad(F.col("seq").cast("string"), 20, "0")
-    placed = with_part(rows, list(keys), at, oversize)
-    line_end = F.when(F.col("seq") == F.col("_last"), "").otherwise("\n")
-    pieces = placed.filter(F.col("part") != "").select(
-        *keys,
-        "part",
-        F.concat("text", line_end).alias("transcript"),
-        (F.col("seq") == F.col("_first")).alias("opening"),
-    )
-    return _joined_lines(placed.filter(F.col("part") == ""), keys).unionByName(pieces)
-
-
-def _joined_lines(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    lines = F.sort_array(F.collect_list(F.struct("seq", "text")))
-    return rows.groupBy(*keys).agg(lines.alias("l")).select(
-        *keys,
-        F.lit("").alias("part"),
-        F.array_join("l.text", "\n").alias("transcript"),
-        F.lit(True).alias("opening"),
-    )
+    rows = lines.select(*keys, "seq", F.coalesce("text", F.lit("")).alias("transcript"))
+    return in_parts(rows, list(keys), "seq", "transcript", separator="\n", chars=chars)
 
 
 def chosen_lines(lines: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -119,21 +93,29 @@ def chosen_lines(lines: DataFrame, tracks: DataFrame) -> DataFrame:
     return lines.join(wanted, ["video_id", "track_id"], "left_semi")
 
 
-def video_documents(info: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Documents ``(video_id, part, full_text, status)`` of videos.
+def video_documents(info: DataFrame, transcripts: DataFrame, chars: int = PART_CHARS) -> DataFrame:
+    """Documents ``(video_id, part, start, full_text, status)`` of videos.
 
-    ``transcripts`` holds one text per video. A video without transcript is
-    read from its description. The head lines open the first part.
+    ``transcripts`` holds one text per video, maybe in parts. A video without
+    transcript is read from its description. Behind the head lines the parts of
+    a long transcript begin elsewhere and are cut anew.
     """
-    spoken = transcripts.select("video_id", "part", "transcript", "opening")
+    spoken = transcripts.select("video_id", "part", "start", "transcript")
     rows = info.join(spoken, "video_id", "left")
+    title = [F.col(c) for c in ("title", "channel", "published_at")]
+    known, opening = F.col("status") == "ok", F.col("start") == 0
+    in_one = F.coalesce(F.col("part"), F.lit("")) == ""
     words = V.spoken_text(F.col("transcript"), F.col("description"))
-    whole = V.video_text(F.col("title"), F.col("channel"), F.col("published_at"), words)
-    return rows.select(
+    short = rows.filter(in_one | (~known & opening)).select(
+        "video_id", V.video_text(*title, words).alias("full_text"), "status"
+    )
+    head = V.video_text(*title, F.lit(""))
+    long = rows.filter(~in_one & known).select(
         "video_id",
-        F.coalesce("part", F.lit("")).alias("part"),
-        F.when(F.coalesce("opening", F.lit(True)), whole)
-        .otherwise(F.col("transcript"))
-        .alias("full_text"),
+        F.when(opening, F.concat(head, "transcript")).otherwise(F.col("transcript")).alias("full_text"),
+        F.when(opening, F.lit(0)).otherwise(F.col("start") + F.length(head)).alias("begin"),
         "status",
     )
+    moved = moved_parts(long, ["video_id", "status"], "begin", "full_text", chars)
+    whole = cut_rows(short, "full_text", chars)
+    return whole.unionByName(moved).select("video_id", "part", "start", "full_text", "status")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labelmill.functions import uri as U
 from labelmill.functions.uri import SUPPORTED_EXTENSIONS
+from labelmill.operators.assemble import cut_rows
 from labelmill.operators.extraction import Extractor, extract_documents
 from labelmill.operators.labelling import label_documents, rule_labels
 from labelmill.operators.records import metadata_table
@@ -45,7 +46,8 @@ def direct_documents(contents: DataFrame, extractor: Extractor) -> DataFrame:
     not opened.
     """
     direct = contents.filter(F.coalesce("length", F.lit(0)) <= DIRECT_LIMIT_BYTES)
-    return extract_documents(direct.select("uri", "length", "content"), extractor)
+    found = extract_documents(direct.select("uri", "length", "content"), extractor)
+    return cut_rows(found, "full_text", lists=("pages", "entities"))
 
 
 def chunked_documents(files: DataFrame, shards: DataFrame, at: datetime) -> DataFrame:
@@ -114,8 +116,9 @@ def _run(
         documents = documents.unionByName(chunked_documents(files, shards, shards_at or at))
     else:
         unread = files.filter(F.col("route") == "chunked").select(
-            "uri", F.lit("").alias("part"), "mime_type", F.lit("no_shards").alias("status")
-        )
+            "uri", F.lit("").alias("part"), F.lit(0).cast("bigint").alias("start"), "mime_type",
+            F.lit("no_shards").alias("status"),
+        )
         documents = documents.unionByName(unread, allowMissingColumns=True)
 
     good, failed = split_quarantine(stored(documents, "documents"))

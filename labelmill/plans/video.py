@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelmill.functions import videos as V
-from labelmill.operators.assemble import WHOLE_LIMIT_BYTES
+from labelmill.operators.assemble import PART_CHARS
 from labelmill.operators.labelling import label_documents, rule_labels
 from labelmill.operators.routing import split_quarantine
 from labelmill.operators.skew import join_hot
@@ -23,6 +23,10 @@ from labelmill.session import configure, stored
 from labelmill.sinks.tables import write_text_sidecar
 
 
+# Bytes of a joined row: 13 columns with a summary, or a reference to a text.
+RECORD_BYTES, REFERENCE_BYTES = 4_000, 200
+
+
 def video_ids(urls: DataFrame) -> DataFrame:
     """``(uri, video_id, status)`` of URLs in column ``url``."""
     found = V.video_id(F.col("url"))
@@ -36,46 +40,47 @@ def distinct_videos(
     answers: DataFrame,
     tracks: DataFrame,
     lines: DataFrame,
-    limit: int | None = WHOLE_LIMIT_BYTES,
+    chars: int = PART_CHARS,
 ) -> DataFrame:
     """Documents of the videos among ``ids``, each put together once.
 
-    ``(uri, video_id, part, full_text, status)``; the id also serves as ``uri``.
-    Ids are reduced before the shuffle, so a video behind most of the URLs is
-    one key of many, and its text is not repeated for them. Transcripts over the
-    limit come in parts; without one (None) every video is one row.
+    ``(uri, video_id, part, start, full_text, status)``; the id also serves as
+    ``uri``. Ids are reduced before the shuffle, so a video behind most of the
+    URLs is one key of many, and its text is not repeated for them.
     """
     wanted = ids.filter(F.col("status") == "ok").select("video_id").distinct()
     chosen = chosen_lines(lines, select_tracks(tracks))
-    spoken = transcript_texts(chosen, ("video_id",), limit)
+    spoken = transcript_texts(chosen, ("video_id",), chars)
     asked = answers.join(wanted, "video_id", "left_semi")
-    return video_documents(video_info(asked), spoken).withColumn("uri", F.col("video_id"))
+    return video_documents(video_info(asked), spoken, chars).withColumn("uri", F.col("video_id"))
 
 
-def of_urls(ids: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows ``(video_id, status, ...)`` of videos for each URL of ``ids``.
+def of_urls(ids: DataFrame, rows: DataFrame, row_bytes: int = RECORD_BYTES) -> DataFrame:
+    """Rows ``(video_id, status, ...)`` of videos, one each, for each URL of ``ids``.
 
     A URL without a video and a video without an answer keep a status row.
     """
     # Foreign URLs share one key, null; they do not take part in the join.
     foreign = ids.filter(F.col("status") != "ok")
     own = ids.filter(F.col("status") == "ok").drop("status")
-    known = join_hot(own, rows.drop("uri"), "video_id", F.col("uri")).withColumn(
+    known = join_hot(own, rows.drop("uri"), "video_id", F.col("uri"), row_bytes).withColumn(
         "status", F.coalesce("status", F.lit("video_not_found"))
     )
     return known.unionByName(foreign, allowMissingColumns=True)
 
 
-def documents_of_videos(
-    urls: DataFrame, answers: DataFrame, tracks: DataFrame, lines: DataFrame
-) -> DataFrame:
-    """The document of every URL, one row at every size. The text of a video behind
-    several URLs is repeated for each; the jobs join labels to the URLs instead."""
-    ids = video_ids(urls)
-    found = of_urls(ids, distinct_videos(ids, answers, tracks, lines, limit=None))
-    return found.select(
-        "uri", "video_id", F.coalesce("part", F.lit("")).alias("part"), "full_text", "status"
+def references_of_urls(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(uri, video_id, parts, chars, status)``: which document each URL leads to.
+
+    A URL refers to the text of its video by id; the text itself stays where it
+    is, once, however many URLs share it.
+    """
+    known = documents.groupBy("video_id").agg(
+        F.count("*").alias("parts"),
+        F.sum(F.length("full_text").cast("bigint")).alias("chars"),
+        F.min("status").alias("status"),
     )
+    return of_urls(ids, known, REFERENCE_BYTES).select("uri", "video_id", "parts", "chars", "status")
 
 
 def video_records(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from catalog import queries as catalog
 from catalog import sql as catalog_sql
-from labelmill.operators import video
+from labelmill.operators import assemble
 from labelmill.sources import files
 
 # Queries of the text preparation package are tested beside it.
@@ -81,20 +81,20 @@ def test_flagship(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["transcript_text", "video_document"])
-def test_query_matches_sql_at_a_limit_of_one_byte(spark, sf_dir, duck, monkeypatch, name):
-    found = video.oversize_groups
+IN_PARTS = ["shard_merge", "transcript_text", "video_document", "video_reference"]
 
-    def of_one_byte(pieces, keys, size, limit, order=None):
-        return found(pieces, keys, size, 1, order)
 
-    monkeypatch.setattr(video, "oversize_groups", of_one_byte)
+@pytest.mark.parametrize("chars", [97, 2000])
+@pytest.mark.parametrize("name", IN_PARTS)
+def test_query_matches_sql_in_short_parts(spark, sf_dir, duck, monkeypatch, name, chars):
+    """The same rows when nearly every text has several parts."""
+    monkeypatch.setattr(catalog, "PART_CHARS", chars)
+    monkeypatch.setitem(ORACLES, name, catalog_sql.texts_in_parts(chars)[name])
     test_query_matches_sql(spark, sf_dir, duck, name)
 
 
-@pytest.mark.parametrize("name", ["transcript_text", "video_document"])
-def test_large_transcript_is_one_row_in_order(spark, sf_dir, monkeypatch, name):
-    """One track above 16 MiB."""
+def test_large_transcript_in_parts(spark, sf_dir, monkeypatch):
+    """One track of 18 MiB; no task holds more than one part of it."""
     n = 180
     lines = spark.range(n).select(
         F.lit("vid1").alias("video_id"),
@@ -106,8 +106,10 @@ def test_large_transcript_is_one_row_in_order(spark, sf_dir, monkeypatch, name):
     tracks = spark.createDataFrame(track, "video_id string, track_id string, language string, is_generated boolean")
     monkeypatch.setattr(catalog.I, "spoken_lines", lambda *_: lines.repartition(7))
     monkeypatch.setattr(catalog.I, "spoken_tracks", lambda *_: tracks)
-    rows = QUERIES[name](spark, sf_dir)
-    text = "transcript" if name == "transcript_text" else "full_text"
-    got = rows.filter("video_id = 'vid1'").select(text).collect()
     want = "\n".join(f"{i:04}" + "x" * 100_000 for i in range(1, n + 1))
-    assert len(got) >= 1 and all(r[0].endswith(want) for r in got)
+    for name, text in (("transcript_text", "transcript"), ("video_document", "full_text")):
+        got = QUERIES[name](spark, sf_dir).filter("video_id = 'vid1'").orderBy("part").collect()
+        whole = "".join(r[text] for r in got)
+        assert whole.endswith(want) and (len(whole) == len(want)) == (name == "transcript_text")
+        assert [(r.part, r.start) for r in got] == [(f"{k:012}", k * assemble.PART_CHARS) for k in range(len(got))]
+        assert {len(r[text]) for r in got[:-1]} == {assemble.PART_CHARS} and len(got) == 5

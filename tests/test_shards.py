@@ -112,18 +112,68 @@ def many_shards(spark, counts):
 
 
 @pytest.mark.parametrize("broadcast_keys", [10_000, 0])
-def test_one_document_with_most_shards_stays_in_pieces(spark, monkeypatch, broadcast_keys):
+@pytest.mark.parametrize("chars", [1, 13, 500])
+def test_one_document_with_most_shards_is_cut(spark, monkeypatch, broadcast_keys, chars):
     monkeypatch.setattr(skew, "_BROADCAST_KEYS", broadcast_keys)
     rows, df = many_shards(spark, {"hot": 400, "x": 3, "y": 2})
-    merged = shards.merge_shards(df, limit=500).orderBy("uri", "part").collect()
-    assert {r.uri: sum(m.uri == r.uri for m in merged) for r in merged} == {"hot": 400, "x": 1, "y": 1}
-    for uri in ("hot", "x", "y"):
-        text = "".join(t for u, _, t in sorted(rows) if u == uri)
-        assert "".join(m.full_text for m in merged if m.uri == uri) == text
+    rows += [("none", "n-0", ""), ("none", "n-1", ""), ("twice", "t-0", "ab" * 40), ("twice", "t-0", "ab" * 40)]
+    more = spark.createDataFrame(rows[-4:], "uri string, shard_uri string, text string")
+    df = df.unionByName(more.withColumns({c: F.array().cast(df.schema[c].dataType) for c in ("pages", "entities")}))
+    # Every shard has one entity, named like its place.
+    entity = F.struct(F.lit("k").alias("type"), F.col("shard_uri").alias("mention_text"), F.lit(0.5).alias("confidence"))
+    df = df.withColumn("entities", F.array(entity))
+    got = shards.merge_shards(df.repartition(5), chars=chars).orderBy("uri", "part").collect()
+    for uri in ("hot", "x", "y", "none", "twice"):
+        own = sorted((s, t) for u, s, t in rows if u == uri)
+        text = "".join(t for _, t in own)
+        parts = [m for m in got if m.uri == uri]
+        assert [m.full_text for m in parts] == [text[i : i + chars] for i in range(0, max(1, len(text)), chars)]
+        assert [m.start for m in parts] == list(range(0, max(1, len(text)), chars))
+        names = [""] if len(parts) == 1 else [f"{k:012}" for k in range(len(parts))]
+        assert [m.part for m in parts] == names
+        assert [e.mention_text for m in parts for e in m.entities] == [s for s, _ in own]
+        ahead = 0
+        for shard, t in own:
+            home = parts[min(ahead // chars, len(parts) - 1)]
+            assert shard in {e.mention_text for e in home.entities}
+            ahead += len(t)
     stats = {r.uri: r.text_length for r in shards.page_stats(df).collect()}
     assert stats["hot"] == sum(len(t) for u, _, t in rows if u == "hot")
 
 
+def test_parts_of_a_large_document_meet_in_no_task(spark):
+    """Every group is one part; places come from narrow rows, summed by range."""
+    _, df = many_shards(spark, {"hot": 50})
+    merged = shards.merge_shards(df, chars=10)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    grouped = [g for g in re.findall(r"ObjectHashAggregate\(keys=\[([^\]]*)\]", plan) if "_at" in g]
+    assert grouped and "Window" not in plan.split("collect_list")[0]
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_running_sums_over_ranges(spark, monkeypatch, ranges):
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        rng = random.Random(5)
+        rows = [(i, "hot" if i % 3 else f"k{i % 5}", rng.randrange(50), rng.randrange(9)) for i in range(400)]
+        frame = spark.createDataFrame(rows, "i long, k string, o long, n long").repartition(4)
+        got = {r.i: r._before for r in skew.running_before(frame, ["k"], ["o", "i"], "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    for i, k, o, _ in rows:
+        assert got[i] == sum(n for j, l, p, n in rows if l == k and (p, j) < (o, i))
+
+
+@pytest.mark.parametrize("text", ["", "abc", "abcdefg", "é😀한" * 5])
+def test_cut_rows(spark, text):
+    df = spark.createDataFrame([(1, text, [1, 2]), (2, None, [3])], "i long, t string, l array<int>")
+    got = assemble.cut_rows(df, "t", 3, ("l",)).orderBy("i", "part").collect()
+    mine = [r for r in got if r.i == 1]
+    assert [r.t for r in mine] == [text[i : i + 3] for i in range(0, max(1, len(text)), 3)]
+    assert [r.l for r in mine] == [[1, 2]] + [[]] * (len(mine) - 1) and [r.start for r in mine] == [3 * k for k in range(len(mine))]
+    assert tuple(got[-1]) == (2, None, [3], "", 0)
+
+
 @pytest.mark.parametrize("chars", [1, 7, 200, 10**5])
 def test_head_text(spark, chars):
     rows, df = many_shards(spark, {"hot": 700, "x": 3})
