@@ -219,7 +219,7 @@ def in_mixed_order(
     mine = docs.select(as_rows(docs).alias("row"), F.struct(*row_place).alias("at"))
     part = F.floor(F.col("place") / F.lit(max(1, count)) * parts).cast("int")
     return (
-        mine.join(placed, "at")
+        mine.join(placed.hint("merge"), "at")
         .repartitionById(parts, part)
         .sortWithinPartitions("place")
         .select("row.*")

@@ -119,4 +119,4 @@ def with_shards(
         F.struct(*FILE_PLACE).alias("at"), F.col("shard").cast("int").alias("shard"), "slot"
     )
     mine = docs.select(as_rows(docs, ["shard", "slot"]).alias("row"), F.struct(*place).alias("at"))
-    return mine.join(keys, "at").select("row.*", "shard", "slot")
+    return mine.join(keys.hint("merge"), "at").select("row.*", "shard", "slot")
