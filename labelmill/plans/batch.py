@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.functions import uri as U
-from labelmill.functions.uri import SUPPORTED_EXTENSIONS
 from labelmill.operators.assemble import cut_rows
 from labelmill.operators.extraction import Extractor, extract_documents
 from labelmill.operators.labelling import label_documents, rule_labels
@@ -25,7 +24,7 @@ from labelmill.operators.shards import (
 from labelmill.schema import DIRECT_LIMIT_BYTES
 from labelmill.session import configure, stored
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
-from labelmill.sources.files import below_prefix, read_contents
+from labelmill.sources.files import Opener, below_prefix, list_objects, open_uri, read_contents
 
 
 @dataclass
@@ -38,15 +37,18 @@ class Outcome:
     report: DataFrame
 
 
+def small_files(listing: DataFrame) -> DataFrame:
+    """Files that are read in one call; one of unknown size is."""
+    return listing.filter(F.coalesce("length", F.lit(0)) <= DIRECT_LIMIT_BYTES)
+
+
 def direct_documents(contents: DataFrame, extractor: Extractor) -> DataFrame:
     """Documents of the files that are read in one call.
 
-    The size test is put on the scan of ``(uri, length, content)`` itself, so
-    contents are neither joined nor shuffled, and files that are too large are
-    not opened.
+    ``contents`` holds ``(uri, length, content)``; contents are neither joined
+    nor shuffled.
     """
-    direct = contents.filter(F.coalesce("length", F.lit(0)) <= DIRECT_LIMIT_BYTES)
-    found = extract_documents(direct.select("uri", "length", "content"), extractor)
+    found = extract_documents(small_files(contents).select("uri", "length", "content"), extractor)
     return cut_rows(found, "full_text", lists=("pages", "entities"))
 
 
@@ -97,6 +99,7 @@ def finish(records: DataFrame, csv_path: str, failed: DataFrame) -> Outcome:
 
 
 def _run(
+    listing: DataFrame,
     contents: DataFrame,
     output_path: str,
     csv_name: str,
@@ -108,8 +111,7 @@ def _run(
     shards_at: datetime | None,
     partitions: int | None,
 ) -> Outcome:
-    listing = select_objects(contents.drop("content"))
-    files = listing.withColumn("route", size_route(F.col("length")))
+    files = select_objects(listing).withColumn("route", size_route(F.col("length")))
 
     documents = direct_documents(contents, extractor)
     if shards is not None:
@@ -141,11 +143,12 @@ def run_batch(
     any_extension: bool = False,
     partitions: int | None = None,
     shards_at: datetime | None = None,
+    opener: Opener = open_uri,
 ) -> Outcome:
     """Label all files whose path begins with ``inputs``, see ``below_prefix``.
 
     ``inputs`` may also be a table ``(uri, length, content)``: then nothing is
-    listed. One bad file never stops the others: it ends in
+    listed. ``opener`` brings another file system than those pyarrow knows. One bad file never stops the others: it ends in
     ``Outcome.quarantine``, while a document whose labelling failed keeps its
     default record. ``any_extension`` takes whatever the suffix is. ``shards``
     without a ``uri`` are those of the run ``shards_at``, this one by default.
@@ -153,12 +156,14 @@ def run_batch(
     configure(spark)
     if isinstance(inputs, DataFrame):
         contents = inputs if any_extension else supported_files(inputs)
+        listing = contents.drop("content")
     else:
-        wanted = None if any_extension else SUPPORTED_EXTENSIONS
-        contents = read_contents(spark, below_prefix(inputs), wanted)
+        listing = list_objects(spark, below_prefix(inputs), opener)
+        listing = listing if any_extension else supported_files(listing)
+        contents = read_contents(small_files(listing), opener)
     name = f"batch_metadata_{at:%Y%m%d_%H%M%S}.csv"
     return _run(
-        contents, output_path, name, extractor, at, models, labeler, shards, shards_at, partitions
+        listing, contents, output_path, name, extractor, at, models, labeler, shards, shards_at, partitions
     )
 
 
@@ -172,6 +177,7 @@ def run_file(
     labeler: Callable[[str], str] | None = None,
     shards: DataFrame | None = None,
     shards_at: datetime | None = None,
+    opener: Opener = open_uri,
 ) -> Outcome:
     """Label one file, whatever its extension.
 
@@ -179,8 +185,11 @@ def run_file(
     """
     configure(spark)
     name = path.rsplit("/", 1)[-1].rsplit(".", 1)[0] + "_metadata.csv"
-    contents = read_contents(spark, path)
-    return _run(contents, output_path, name, extractor, at, models, labeler, shards, shards_at, None)
+    listing = list_objects(spark, path, opener)
+    contents = read_contents(small_files(listing), opener)
+    return _run(
+        listing, contents, output_path, name, extractor, at, models, labeler, shards, shards_at, None
+    )
 
 
 def output_names(listing: DataFrame, folder: str, at: datetime) -> DataFrame:

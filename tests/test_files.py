@@ -1,6 +1,7 @@
 """Files in and out: listings, CSV, sidecars, whole runs."""
 
 import json
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -12,7 +13,8 @@ from labelmill.plans import batch
 from labelmill.schema import METADATA_COLUMNS, METADATA_SCHEMA
 from labelmill.session import scratch_path
 from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
-from labelmill.sources.files import below_prefix, list_files, read_contents, read_shards
+from labelmill.sources import files as sources
+from labelmill.sources.files import below_prefix, list_files, list_objects, read_contents, read_shards
 from labelmill.sources.tables import read_metadata_csv
 
 AT = datetime(2024, 1, 29, 14, 30)
@@ -41,11 +43,73 @@ def test_listing(spark, tree):
     assert names(list_files(spark, str(tree))) == everything
     assert names(list_files(spark, str(tree), suffix=".PPTX")) == ["sub/b.PPTX"]
     assert names(routing.supported_files(list_files(spark, str(tree)))) == ["a.pdf", "bad.pdf", "sub/a.pdf", "sub/b.PPTX", "sub/deep/d.Docx"]
-    assert names(read_contents(spark, str(tree), ["pdf", "pptx"])) == ["a.pdf", "bad.pdf", "sub/a.pdf", "sub/b.PPTX"]
+    contents = read_contents(list_objects(spark, str(tree)))
+    assert names(contents) == everything
+    assert all(bytes(r.content) == Path(r.uri.removeprefix("file:")).read_bytes() and r.length == len(r.content) for r in contents.collect())
     sizes = {r.file_name: r.length for r in list_files(spark, str(tree)).collect()}
     assert sizes["b.PPTX"] == 30
-    plan = list_files(spark, str(tree))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+    times = {r.file_name: r.modificationTime for r in list_files(spark, str(tree)).collect()}
+    assert abs(times["noext"].timestamp() - (tree / "noext").stat().st_mtime) < 1
+
+
+HIDDEN = ["_x", ".x", "_old/b.pdf", ".git/c.pdf", "_old/.deep/_er/d.pdf", "sub/_SUCCESS", "a b.pdf", "x%20y.pdf", "한 글.pdf"]
+
+
+def test_every_name_is_listed_and_read(spark, tree):
+    """Names that file sources of Spark leave out, odd ones, folders without files."""
+    for name in HIDDEN:
+        path = tree / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(name)
+    (tree / "empty" / "emptier").mkdir(parents=True)
+    listed = list_objects(spark, str(tree))
+    assert set(HIDDEN) <= set(names(listed)) and len(names(listed)) == len(HIDDEN) + 7
+    read = {r.uri.rsplit("/in/", 1)[1]: bytes(r.content).decode("utf-8", "replace") for r in read_contents(listed).collect()}
+    assert all(read[name] == name for name in HIDDEN)
+    assert names(list_objects(spark, f"{tree}/_*")) == ["_old/.deep/_er/d.pdf", "_old/b.pdf", "_x"]
+    assert names(list_objects(spark, f"{tree}/_x")) == ["_x"]
+    assert names(list_objects(spark, f"file://{tree}/_old/")) == ["_old/.deep/_er/d.pdf", "_old/b.pdf"]
+    for nothing in (f"{tree}/empty", f"{tree}/none", f"{tree}/none/", f"{tree}/zz*"):
+        assert list_objects(spark, nothing).count() == 0
+    manifest = routing.select_objects(listed, suffix=".pdf").select("uri", "length", "file_name", "mime_type")
+    got = {r.file_name: (r.length, r.mime_type) for r in manifest.collect()}
+    assert got["d.pdf"] == (len("_old/.deep/_er/d.pdf"), "application/pdf") and ".x" not in got
+
+
+def test_folders_are_listed_by_tasks(spark, tree, monkeypatch):
+    """Each round is a job over the folders of the last; the driver opens nothing."""
+    rounds = []
+    keep = sources.stored
+    monkeypatch.setattr(sources, "stored", lambda rows, name: rounds.append(rows.rdd.getNumPartitions()) or keep(rows, name))
+    for i in range(9):
+        (tree / f"f{i}").mkdir()
+        (tree / f"f{i}" / "x").write_text("x")
+    monkeypatch.setattr(sources, "LISTING_TASKS", 5)
+    driver, open_uri = os.getpid(), sources.open_uri
+
+    def opener(uri):
+        assert os.getpid() != driver
+        return open_uri(uri)
+
+    assert len(names(list_objects(spark, str(tree), opener))) == 16
+    assert len(rounds) == 3 and rounds[1] == 5
+
+
+def test_files_that_are_gone(spark, tree):
+    listed = list_objects(spark, str(tree / "sub") + "/")
+    rows = listed.collect()
+    gone = spark.createDataFrame([(r.uri + "x", r.length, r.modificationTime) for r in rows], listed.schema)
+    got = read_contents(listed.unionByName(gone)).collect()
+    assert sum(r.content is None for r in got) == len(rows) == 3
+    found = extraction.extract_documents(read_contents(gone), extraction.plain_text).collect()
+    assert {r.status for r in found} == {"extractor_error"}
+
+
+def test_run_takes_hidden_names(spark, tree, tmp_path):
+    (tree / "_draft").mkdir()
+    (tree / "_draft" / ".a.pdf").write_text("An Aurora")
+    done = batch.run_batch(spark, f"{tree}/_", str(tmp_path / "out"), extraction.plain_text, AT, models=["Aurora"])
+    assert [(r.uri[-6:], r.model) for r in done.records.collect()] == [(".a.pdf", "Aurora")]
 
 
 def test_object_info(spark):
