@@ -77,6 +77,15 @@ def told(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir).withColumn("full_text", F.concat(sentence, "full_text"))
 
 
+def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(name)``: the models, part names, and the first three words of benchmark items."""
+    three = r"^([\p{L}\p{N}]+ [\p{L}\p{N}]+ [\p{L}\p{N}]+)"
+    models = spark.createDataFrame([(m,) for m in MODELS], "name string")
+    parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
+    items = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", three, 1).alias("name"))
+    return models.union(parts).union(items)
+
+
 # --- labelling answers --------------------------------------------------------
 
 

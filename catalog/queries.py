@@ -13,6 +13,7 @@ from labelmill.operators import (
     extraction,
     labelling,
     quality,
+    recognition,
     records,
     report,
     routing,
@@ -408,6 +409,13 @@ def model_recognise(spark, sf_dir):
     )
 
 
+@query
+def model_dictionary(spark, sf_dir):
+    """The first name of a dictionary table in every text."""
+    names = stored(recognition.dictionary(I.lexicon(spark, sf_dir)), "names")
+    return recognition.recognise(I.told(spark, sf_dir), I.DOC_ID, "full_text", names)
+
+
 @query
 def type_classify(spark, sf_dir):
     told = F.col("full_text")

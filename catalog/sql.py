@@ -554,6 +554,19 @@ ORACLES: dict[str, str] = {
       WHERE l.region <> 'UNKNOWN' AND l.region IS DISTINCT FROM c.region""",
     "label_accuracy": f"WITH {_REVIEWED} {_accuracy('quality')} UNION ALL {_accuracy('toxic')}",
     "model_recognise": f"WITH {TOLD} SELECT doc_id, {_model('full_text')} AS model FROM told",
+    "model_dictionary": rf"""WITH {TOLD}, listed AS (
+        SELECT unnest([{_list(I.MODELS)}]) AS name UNION ALL SELECT p_name FROM part
+        UNION ALL SELECT regexp_extract(text, '^([\p{{L}}\p{{N}}]+ [\p{{L}}\p{{N}}]+ [\p{{L}}\p{{N}}]+)', 1) FROM benchmark),
+      names AS (SELECT lower(name) AS lowered, min(name) AS name FROM listed
+        WHERE regexp_matches(name, '[\p{{L}}\p{{N}}]') GROUP BY ALL),
+      words AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(full_text), '{WORD}+')) AS word FROM told),
+      near AS (SELECT doc_id, name, lowered FROM words JOIN names
+        ON word = regexp_extract(lowered, '[\p{{L}}\p{{N}}]+')),
+      placed AS (SELECT doc_id, name, lowered, length(regexp_extract(lower(full_text), '(?s)^(|.*?{WORD})' || lowered || '(?:{WORD}|$)', 1)) AS place,
+          regexp_matches(lower(full_text), '(?s)(?:^|{WORD})' || lowered || '(?:{WORD}|$)') AS there
+        FROM near JOIN told USING (doc_id) WHERE contains(lower(full_text), lowered)),
+      first AS (SELECT doc_id, arg_min(name, [place, -length(lowered)]) AS model FROM placed WHERE there GROUP BY doc_id)
+      SELECT doc_id, coalesce(model, 'UNKNOWN') AS model FROM told LEFT JOIN first USING (doc_id)""",
     "type_classify": f"""WITH {TOLD} SELECT doc_id, {_car_type('full_text')} AS car_type,
       {_engine('full_text')} AS engine_type, {_xev('full_text')} AS xev FROM told""",
     "price_extract": f"WITH {TOLD} {_AMOUNTS}",

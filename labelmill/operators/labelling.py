@@ -11,6 +11,7 @@ from labelmill.functions import rules as R
 from labelmill.functions import text as X
 from labelmill.functions import uri as U
 from labelmill.operators.assemble import PART_CHARS, head_text, told_apart, whole_lines
+from labelmill.operators.recognition import UNKNOWN, first_names
 from labelmill.operators.skew import join_narrow
 from labelmill.schema import FIELD_DEFAULTS, METADATA_COLUMNS, REQUEST_TEXT_CHARS
 from labelmill.session import configure
@@ -114,7 +115,7 @@ def _parts(documents: DataFrame, *others: Column) -> DataFrame:
 
 def rule_labels(
     documents: DataFrame,
-    models: list[str],
+    models: list[str] | DataFrame,
     run_date: str,
     source_type: str = "document",
     language: Column | None = None,
@@ -123,7 +124,9 @@ def rule_labels(
     """Metadata records by text rules: no service, no Python worker, no shuffle
     for documents in one row.
 
-    What a text does not state stays at its default. Documents kept in several
+    ``models`` is a short list of names, or a ``recognition.dictionary`` of any
+    length; what it finds is joined to the finished rows, never to texts. What a
+    text does not state stays at its default. Documents kept in several
     parts are cut anew at line breaks, judged part by part and combined, with
     the result they would have in one row; only a line above the limit is
     judged in pieces.
@@ -131,9 +134,11 @@ def rule_labels(
     code = F.lit(None).cast("string") if language is None else language
     tag = R.language_tag(code).alias("language")
     text = F.coalesce("full_text", F.lit(""))
-    whole = documents.filter(F.col("part") == "").select(
-        "uri", tag, *_findings(text, models), X.summary_paragraph(text).alias("content_summary")
+    in_one = documents.filter(F.col("part") == "").withColumn("_key", F.struct("uri", F.xxhash64("full_text")))
+    whole = in_one.select(
+        "_key", "uri", tag, *_findings(text, models), X.summary_paragraph(text).alias("content_summary")
     )
+    whole = _named(whole, in_one, models).drop("_key")
     labels = whole.drop("_paragraph").unionByName(
         _combine_parts(_parts(documents, tag), models, limit)
     )
@@ -149,11 +154,21 @@ def rule_labels(
     return labels.select("uri", *columns)
 
 
-def _findings(text: Column, models: list[str]) -> list[Column]:
+def _named(rows: DataFrame, texts: DataFrame, models: list[str] | DataFrame) -> DataFrame:
+    """``rows`` with the models that a dictionary finds in ``texts``; both have ``_key``."""
+    if not isinstance(models, DataFrame):
+        return rows
+    found = first_names(texts, "_key", "full_text", models)
+    joined = rows.drop("model").join(found, "_key", "left")
+    return joined.withColumn("model", F.coalesce("name", F.lit(UNKNOWN))).drop("name")
+
+
+def _findings(text: Column, models: list[str] | DataFrame) -> list[Column]:
     """What the rules find in a text that is made of whole lines."""
     years = R.model_years(text)
+    listed = [] if isinstance(models, DataFrame) else models
     return [
-        R.model_name(text, models).alias("model"),
+        R.model_name(text, listed).alias("model"),
         R.xev_type(text).alias("xev"),
         F.array_min(years).alias("year1"),
         F.array_max(years).alias("year2"),
@@ -161,10 +176,11 @@ def _findings(text: Column, models: list[str]) -> list[Column]:
     ]
 
 
-def _combine_parts(parts: DataFrame, models: list[str], limit: int) -> DataFrame:
+def _combine_parts(parts: DataFrame, models: list[str] | DataFrame, limit: int) -> DataFrame:
     """Findings of documents in parts; every step reduces before it shuffles."""
-    lines = whole_lines(parts, "_doc", "part", "full_text", limit)
-    found = lines.select("_doc", "part", *_findings(F.col("full_text"), models))
+    lines = whole_lines(parts, "_doc", "part", "full_text", limit).withColumn("_key", F.struct("_doc", "part"))
+    found = lines.select("_key", "_doc", "part", *_findings(F.col("full_text"), models))
+    found = _named(found, lines, models)
 
     def first(name: str, found_one: Column) -> Column:
         return F.min_by(name, F.when(found_one, F.col("part")))

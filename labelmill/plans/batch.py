@@ -74,7 +74,7 @@ def chunked_documents(files: DataFrame, shards: DataFrame, at: datetime) -> Data
 def batch_records(
     documents: DataFrame,
     run_date: str,
-    models: list[str] | None = None,
+    models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -84,7 +84,7 @@ def batch_records(
     """
     if labeler is not None:
         return label_documents(documents, labeler, run_date, partitions=partitions)
-    rules = rule_labels(documents, models or [], run_date)
+    rules = rule_labels(documents, [] if models is None else models, run_date)
     return rules.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
 
 
@@ -105,7 +105,7 @@ def _run(
     csv_name: str,
     extractor: Extractor,
     at: datetime,
-    models: list[str] | None,
+    models: list[str] | DataFrame | None,
     labeler: Callable[[str], str] | None,
     shards: DataFrame | None,
     shards_at: datetime | None,
@@ -137,7 +137,7 @@ def run_batch(
     output_path: str,
     extractor: Extractor,
     at: datetime,
-    models: list[str] | None = None,
+    models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
     shards: DataFrame | None = None,
     any_extension: bool = False,
@@ -173,7 +173,7 @@ def run_file(
     output_path: str,
     extractor: Extractor,
     at: datetime,
-    models: list[str] | None = None,
+    models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
     shards: DataFrame | None = None,
     shards_at: datetime | None = None,

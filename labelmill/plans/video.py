@@ -86,13 +86,13 @@ def references_of_urls(ids: DataFrame, documents: DataFrame) -> DataFrame:
 def video_records(
     documents: DataFrame,
     run_date: str,
-    models: list[str] | None = None,
+    models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
 ) -> DataFrame:
     """Records of video documents; their file format is ``video``."""
     if labeler is not None:
         return label_documents(documents, labeler, run_date, source_type="video")
-    rules = rule_labels(documents, models or [], run_date, source_type="video")
+    rules = rule_labels(documents, [] if models is None else models, run_date, source_type="video")
     return rules.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
 
 
@@ -115,7 +115,7 @@ def run_videos(
     lines: DataFrame,
     output_path: str,
     at: datetime,
-    models: list[str] | None = None,
+    models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
 ) -> Outcome:
     """Label the videos behind a table of URLs, or behind one.

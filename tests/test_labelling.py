@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from labelmill.functions import rules as R
-from labelmill.operators import assemble, extraction, labelling, records
+from labelmill.operators import assemble, extraction, labelling, recognition, records
 from labelmill.schema import METADATA_COLUMNS
 from pyspark.sql import functions as F
 
@@ -83,6 +83,18 @@ def test_words_and_lines_run_across_parts(spark, size):
     assert (first.model, first.xev, first.year1, first.year2, first.content_summary) == ("Aurora", "Plugin-Hybrid", "1987", "2024", para)
 
 
+def test_rule_labels_by_a_dictionary(spark):
+    """A table of names gives the labels that the list gives, in one part and in several."""
+    names = ["Aurora", "Aurora GT", "Cirrus"]
+    table = recognition.dictionary(spark.createDataFrame([(n,) for n in names], "name string"))
+    texts = {"gs://b/1.pdf": "the aurora\ngt and Cirrus 2024", "gs://b/2.pdf": "AURORA gt", "gs://b/3.pdf": "none", "gs://b/4.pdf": ""}
+    whole = spark.createDataFrame([*[(u, "", t) for u, t in texts.items()], ("gs://b/1.pdf", "", "Cirrus")], DOC)
+    parted = spark.createDataFrame([(u, f"p{i:03d}", t) for u, text in texts.items() for i, t in enumerate(cut(text, 4) or [""])], DOC)
+    for docs in (whole, parted):
+        want = sorted(labelling.rule_labels(docs, names, "2024-01-29").collect(), key=str)
+        assert sorted(labelling.rule_labels(docs, table, "2024-01-29").collect(), key=str) == want
+
+
 def test_whole_lines_keep_every_character(spark):
     texts = {"a": ["on", "e\ntw", "o\r", "\nthree", "", " four"], "b": ["", ""], "c": ["\n", "\n"], "d": ["x" * 9, "y" * 9]}
     rows = [(u, f"p{i}", t) for u, parts in texts.items() for i, t in enumerate(parts)]
