@@ -22,29 +22,44 @@ def tokenizer():
 
 
 PARTS = [
-    "word", "Word,", "it's", "'s", "12,5", "a.b", "...", "end.\n", "é", "日本語", "x" * 60, "<|endoftext|>",
+    "$5.", "a&&", "&.", "#1%",    "word", "Word,", "it's", "'s", "12,5", "a.b", "...", "end.\n", "é", "日本語", "x" * 60, "<|endoftext|>",
     "(&)", "$$$", "½,", "_", "don't.", "\x1c", "​", "😀",
 ]
 GAPS = [" ", "  ", "   ", "\n", " \n", "\n ", "\n\n  ", "\t ", " \xa0", "\xa0 ", "　", "", "\r\n", " \x1c", "\x85 "]
 
 
 def test_ids_of_parts_are_those_of_the_text(tokenizer):
-    ids = packing.Ids(tokenizer, "<u2")
-    rng = random.Random(1)
+    ids = packing.Ids(open(PATH, encoding="utf-8").read(), "<u2")
+    rng, texts = random.Random(1), []
     for k in range(3000):
         gaps = GAPS if k % 3 else [" "]
         text = "".join(rng.choice(PARTS) + rng.choice(gaps) for _ in range(rng.randint(0, 25)))
         text = text.strip() if k % 2 else rng.choice(GAPS) + text
-        got = np.frombuffer(ids.of(text), "<u2").tolist()
-        assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        texts.append(text)
+    for text, got in zip(texts, ids.of(texts[:1000]) + ids.of(texts[1000:])):
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_tokenizers_are_not_cut():
+    """A file with another rule for words: lower case, white space dropped."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other = Tokenizer.from_file(path)
+    ids = packing.Ids(open(path, encoding="utf-8").read(), "<u2")
+    for text in ("Some  Words, and more.\n", "", "it's ÄÖ 123"):
+        assert np.frombuffer(ids.of([text])[0], "<u2").tolist() == other.encode(text, add_special_tokens=False).ids
 
 
 def test_words_are_forgotten(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 5)
-    ids = packing.Ids(tokenizer, "<u4")
+    ids = packing.Ids(open(PATH, encoding="utf-8").read(), "<u4")
     text = " ".join(f"word{i}, word{i % 7}." for i in range(300))
-    assert np.frombuffer(ids.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(ids) <= 6
+    for _ in range(2):
+        (got,) = ids.of([text])
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.of(["x" * 50, "y"])[0] == ids.of(["x" * 50])[0]
+        assert len(ids.after_blank) <= 310 and len(ids.plain) <= 6 and "x" * 50 not in ids.plain
 
 
 def single_packs(histogram, size):
