@@ -326,6 +326,24 @@ def spoken_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEGMENT_MS = 15_000
+
+
+def spoken_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(uri, start_ms, end_ms, text)``: a conversation is a recording, a turn a segment.
+
+    Some turns were not understood, and of some recordings the beginning is lost.
+    """
+    talks = table(spark, sf_dir, "conversations")
+    start = (F.col("turn") + F.when(F.col("conv_id") % 7 == 3, 1).otherwise(0)) * SEGMENT_MS
+    return talks.select(
+        F.concat(F.lit("gs://talks/"), F.col("conv_id").cast("string"), F.lit(".mp4")).alias("uri"),
+        start.cast("bigint").alias("start_ms"),
+        (start + SEGMENT_MS).cast("bigint").alias("end_ms"),
+        F.when((F.col("conv_id") % 5 > 0) | (F.col("turn") % 3 > 0), F.col("text")).alias("text"),
+    )
+
+
 # --- job settings -----------------------------------------------------------------
 
 

@@ -1,5 +1,6 @@
 """One query per operator, over the given tables."""
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -12,6 +13,7 @@ from labelmill.operators import (
     assemble,
     extraction,
     labelling,
+    media,
     quality,
     recognition,
     records,
@@ -24,7 +26,7 @@ from labelmill.plans import batch
 from labelmill.plans import video as video_plan
 from labelmill.schema import METADATA_COLUMNS
 from labelmill.session import scratch_path, stored
-from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
+from labelmill.sinks.tables import write_by_uri, write_metadata_csv, write_text_sidecar
 from labelmill.sources.tables import read_metadata_csv
 
 RUN_AT = datetime(2024, 1, 29, 14, 30, 5)
@@ -102,6 +104,17 @@ def pending_files(spark, sf_dir):
     return routing.pending_files(I.listing(spark, sf_dir), done).select("uri", "length")
 
 
+@query
+def pending_by_table(spark, sf_dir):
+    """The same against a table bucketed by URI, which two runs have added to."""
+    name = f"done_{uuid.uuid4().hex}"
+    done = _done(spark, sf_dir).withColumn("at", F.lit(RUN_DATE))
+    early = F.xxhash64("uri") % 2 == 0
+    write_by_uri(done.filter(early), name, scratch_path(spark, "done"))
+    write_by_uri(done.filter(~early), name)
+    return routing.pending_files(I.listing(spark, sf_dir), spark.table(name)).select("uri", "length")
+
+
 @query
 def uri_split(spark, sf_dir):
     u = F.col("url")
@@ -308,6 +321,23 @@ def label_documents(spark, sf_dir):
     return labelled.select("uri", "type", "source", "file_format", "content_summary", "status", "error")
 
 
+@query
+def label_store(spark, sf_dir):
+    """Labelled twice with one store: the second time by a labeler that knows no answer."""
+
+    def labeler(request: str) -> str:
+        return f'{{"metadata": {{"type": "FAQ"}}, "content_summary": "{len(request)}"}}'
+
+    def silent(request: str) -> str:
+        raise ValueError("asked again")
+
+    store = scratch_path(spark, "store")
+    texts = I.texts(spark, sf_dir)
+    labelling.label_documents(texts, labeler, RUN_DATE, store=store).write.format("noop").mode("overwrite").save()
+    labelled = labelling.label_documents(texts, silent, RUN_DATE, store=store)
+    return labelled.select("uri", "type", "file_format", "content_summary", "status", "error")
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
@@ -336,6 +366,12 @@ def distribution_report(spark, sf_dir):
     return report.distribution_report(I.records(spark, sf_dir))
 
 
+@query
+def report_order(spark, sf_dir):
+    """The report in the order in which it is printed."""
+    return report.placed_report(report.distribution_report(I.records(spark, sf_dir)))
+
+
 @query
 def xev_distribution(spark, sf_dir):
     return report.xev_distribution(I.records(spark, sf_dir))
@@ -519,6 +555,12 @@ def video_reference(spark, sf_dir):
     return video_plan.references_of_urls(ids, stored(documents, "videos"))
 
 
+@query
+def media_transcript(spark, sf_dir):
+    """Recordings put together from the segments they were transcribed in."""
+    return media.media_transcripts(I.spoken_segments(spark, sf_dir), chars=PART_CHARS)
+
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 

@@ -401,6 +401,17 @@ def texts_in_parts(chars: int) -> dict[str, str]:
           FROM parts LEFT JOIN lists USING (uri, k)""",
         "transcript_text": f"""WITH {SPOKEN}, parts AS ({_in_parts("spoken", "transcript", chars)})
           SELECT video_id, track_id, part, start, transcript FROM parts""",
+        "media_transcript": f"""WITH segments AS (
+            SELECT 'gs://talks/' || conv_id || '.mp4' AS uri,
+              (turn + CASE WHEN conv_id % 7 = 3 THEN 1 ELSE 0 END) * {I.SEGMENT_MS} AS begins,
+              CASE WHEN conv_id % 5 > 0 OR turn % 3 > 0 THEN text END AS said FROM conversations),
+          media AS (SELECT uri, string_agg(coalesce(said, ''), chr(10) ORDER BY begins) AS full_text,
+              count(*) AS segments, (count(*) * {I.SEGMENT_MS})::BIGINT AS spoken_ms,
+              CASE WHEN count(*) > count(said) THEN 'missing_text'
+                WHEN min(begins) = 0 AND count(*) * {I.SEGMENT_MS} = max(begins) + {I.SEGMENT_MS} THEN 'ok'
+                ELSE 'missing_segment' END AS status FROM segments GROUP BY uri),
+          parts AS ({_in_parts("media", "full_text", chars)})
+          SELECT uri, part, start, full_text, segments, spoken_ms, status FROM parts""",
         "video_document": f"""{VIDEOS}, parts AS ({_in_parts("documents", "full_text", chars)})
           SELECT video_id, part, start, full_text, status FROM parts""",
         "video_reference": f"""{VIDEOS} SELECT url AS uri, ids.video_id,
@@ -482,6 +493,8 @@ ORACLES: dict[str, str] = {
       WHERE uri IN (SELECT l.uri FROM listing l JOIN labels USING (doc_id))""",
     "pending_files": f"""WITH {LISTING} SELECT uri, length FROM listing
       WHERE uri NOT IN (SELECT l.uri FROM listing l JOIN labels USING (doc_id))""",
+    "pending_by_table": f"""WITH {LISTING} SELECT uri, length FROM listing
+      WHERE uri NOT IN (SELECT l.uri FROM listing l JOIN labels USING (doc_id))""",
     "uri_split": """WITH uris AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url
         ELSE 'gs://' || regexp_replace(url, '^https?://', '') END AS uri FROM pages)
       SELECT page_id, CASE WHEN starts_with(uri, 'gs://') THEN split_part(uri, '/', 3) END AS bucket,
@@ -533,11 +546,17 @@ ORACLES: dict[str, str] = {
         CASE WHEN failed THEN '' ELSE length(request)::VARCHAR END AS content_summary,
         CASE WHEN failed THEN 'labeler_error' ELSE 'ok' END AS status,
         CASE WHEN failed THEN 'ValueError: no prices, please' END AS error FROM judged""",
+    "label_store": f"""WITH {TEXTS}, asked AS (SELECT uri, {_REQUEST} AS request FROM texts)
+      SELECT uri, 'FAQ' AS type, {_format(_name('uri'))} AS file_format, length(request)::VARCHAR AS content_summary,
+        'ok' AS status, NULL::VARCHAR AS error FROM asked""",
     "csv_round_trip": f"WITH {RECORDS} SELECT "
     + ", ".join(f"nullif({c}, '') AS {c}" for c in METADATA_COLUMNS) + " FROM records",
     "append_records": f"""WITH {RECORDS} SELECT uri, type, version, year1, updated_at FROM records
       UNION ALL SELECT 'gs://reviewed/' || doc_id, CASE WHEN quality = 1 THEN '기술정보' ELSE 'UNKNOWN' END, 'NULL', NULL, NULL FROM labels""",
     "distribution_report": f"WITH {RECORDS} {_report('records')}",
+    "report_order": f"""WITH {RECORDS}, report AS ({_report('records')})
+      SELECT *, row_number() OVER (ORDER BY list_position(['total', 'type', 'source', 'region', 'model', 'xev',
+        'language', 'file_format'], dimension), n DESC, value NULLS FIRST) - 1 AS place FROM report""",
     "xev_distribution": f"""WITH {RECORDS} SELECT xev, CASE WHEN xev IS NULL OR xev = '' THEN 'NULL (Non-Hybrid)' ELSE xev END AS label,
       count(*) AS n FROM records GROUP BY xev""",
     "top_models": f"""WITH {RECORDS} SELECT model, count(*) AS n FROM records WHERE model IS NOT NULL

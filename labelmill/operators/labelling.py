@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelmill.functions import answers as A
@@ -12,9 +12,13 @@ from labelmill.functions import text as X
 from labelmill.functions import uri as U
 from labelmill.operators.assemble import PART_CHARS, head_text, told_apart, whole_lines
 from labelmill.operators.recognition import UNKNOWN, first_names
-from labelmill.operators.skew import join_narrow
+from labelmill.operators.skew import join_hot, join_narrow
 from labelmill.schema import FIELD_DEFAULTS, METADATA_COLUMNS, REQUEST_TEXT_CHARS
-from labelmill.session import configure
+from labelmill.session import configure, stored
+
+# What an answer store holds, and bytes of an answer beside a document.
+ANSWERS = "digest string, response string"
+ANSWER_BYTES = 8_000
 
 
 def label_requests(documents: DataFrame, source_type: str = "document") -> DataFrame:
@@ -68,6 +72,37 @@ def ask_labeler(
     )
 
 
+def answers_in(spark: SparkSession, store: str) -> DataFrame:
+    """``(digest, response)`` kept at ``store``, one row per request."""
+    kept = spark.read.schema(ANSWERS).parquet(store)
+    return kept.groupBy("digest").agg(F.min("response").alias("response"))
+
+
+def ask_once(
+    requests: DataFrame, labeler: Callable[[str], str], store: str, partitions: int | None = None
+) -> DataFrame:
+    """``ask_labeler`` with a memory: requests whose answers are kept at ``store`` are not sent.
+
+    Equal requests are sent once, however many documents they stand for, and
+    their answer is kept for later runs; a failed call is not, so it is tried
+    again. ``store`` is a folder of its own on storage the executors share.
+    """
+    spark = requests.sparkSession
+    spark.createDataFrame([], ANSWERS).write.mode("ignore").parquet(store)
+    digest = F.sha2(F.col("request"), 256).alias("digest")
+    asked = stored(requests.select("uri", "file_format", "request", digest), "requests")
+    new = asked.select("digest", "request").dropDuplicates(["digest"])
+    new = new.join(answers_in(spark, store), "digest", "left_anti")
+    sent = new.select(F.col("digest").alias("uri"), F.lit("").alias("file_format"), "request")
+    answered = stored(ask_labeler(sent, labeler, partitions), "answers")
+    answered = answered.select(F.col("uri").alias("digest"), "response", "error")
+    answered.filter("error IS NULL").select("digest", "response").write.mode("append").parquet(store)
+    failed = answered.filter("error IS NOT NULL")
+    known = answers_in(spark, store).unionByName(failed, allowMissingColumns=True)
+    documents = asked.select("uri", "file_format", "digest")
+    return join_hot(documents, known, "digest", F.col("uri"), ANSWER_BYTES).drop("digest")
+
+
 def parse_responses(responses: DataFrame, run_date: str) -> DataFrame:
     """Responses to ``uri``, 13 metadata columns, ``status`` and ``error``.
 
@@ -100,9 +135,15 @@ def label_documents(
     run_date: str,
     source_type: str = "document",
     partitions: int | None = None,
+    store: str | None = None,
 ) -> DataFrame:
-    """Metadata records of documents, labelled by a caller's function."""
+    """Metadata records of documents, labelled by a caller's function.
+
+    With ``store`` answers are kept and used again, see ``ask_once``.
+    """
     requests = label_requests(documents, source_type)
+    if store:
+        return parse_responses(ask_once(requests, labeler, store, partitions), run_date)
     return parse_responses(ask_labeler(requests, labeler, partitions), run_date)
 
 
@@ -193,7 +234,7 @@ def _combine_parts(parts: DataFrame, models: list[str] | DataFrame, limit: int)
         first("_paragraph", F.col("_paragraph").isNotNull()).alias("_paragraph"),
     )
     spoken = parts.groupBy("_doc").agg(F.min("language").alias("language"))
-    openings = _opening(parts, X.SUMMARY_FALLBACK)
+    openings = opening_of_parts(parts, X.SUMMARY_FALLBACK)
     return (
         combined.join(spoken, "_doc")
         .join(openings, "_doc", "left")
@@ -206,7 +247,7 @@ def _combine_parts(parts: DataFrame, models: list[str] | DataFrame, limit: int)
     )
 
 
-def _opening(parts: DataFrame, chars: int) -> DataFrame:
+def opening_of_parts(parts: DataFrame, chars: int) -> DataFrame:
     """The first characters of each document, white space at its ends ignored."""
     written = X.strip(F.col("full_text")) != ""
     ends = parts.filter(written).groupBy("_doc").agg(

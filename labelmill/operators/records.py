@@ -8,6 +8,8 @@ from labelmill.functions import answers as A
 from labelmill.functions import rules as R
 from labelmill.functions import text as X
 from labelmill.functions import uri as U
+from labelmill.operators.assemble import told_apart, whole_lines
+from labelmill.operators.labelling import opening_of_parts
 from labelmill.schema import EARLIER_COLUMNS, METADATA_COLUMNS
 from labelmill.session import configure
 
@@ -76,30 +78,87 @@ def keyword_topk_of_parts(parts: DataFrame, key: str, text: str, k: int = 10) ->
 
 
 def earlier_projection(
-    documents: DataFrame, models: list[str], at: Column, source_type: str = "document"
+    documents: DataFrame, models: list[str], at: Column, source_type: Column | str = "document"
 ) -> DataFrame:
-    """The earlier 15 columns of documents ``(uri, full_text, page_count)``.
+    """The earlier 15 columns of documents ``(uri, part, full_text, page_count)``.
 
-    ``features`` and ``specifications`` have no rule and stay null.
+    ``features`` and ``specifications`` have no rule and stay null. Documents in
+    several parts are cut anew at line breaks; what each piece says is merged to
+    what the whole text would say. Without a column ``part`` all are whole.
+    ``at`` and ``source_type`` hold for all rows of a document.
     """
-    text = F.col("full_text")
+    kind = F.lit(source_type) if isinstance(source_type, str) else source_type
+    given = documents if "part" in documents.columns else documents.withColumn("part", F.lit(""))
+    text = F.coalesce("full_text", F.lit(""))
+    rows = given.select(
+        "uri", "part", text.alias("full_text"), F.col("page_count").cast("bigint").alias("page_count"),
+        at.alias("_time"), kind.alias("source_type"),
+    )
+    words = F.transform(R.top_words(R.word_counts(F.col("full_text"))), lambda w: w["word"])
+    whole = rows.filter(F.col("part") == "").select(
+        "uri", "page_count", "_time", "source_type", *_earlier_findings(models),
+        F.length("full_text").cast("bigint").alias("text_length"),
+        F.array_join(words, ", ").alias("keywords"),
+        X.summary_paragraph(F.col("full_text")).alias("summary"),
+    )
+    found = whole.unionByName(_earlier_of_parts(rows.filter(F.col("part") != ""), models))
     name = U.file_name(F.col("uri"))
-    keywords = F.transform(R.top_words(R.word_counts(text)), lambda w: w["word"])
-    values = {
-        "document_id": U.document_id(name, at),
-        "source_type": F.lit(source_type),
+    made = {
+        "document_id": U.document_id(name, F.col("_time")),
         "file_name": name,
-        "upload_date": F.date_format(at, "yyyy-MM-dd"),
-        "car_model": R.model_name(text, models),
-        "car_type": R.car_type(text),
-        "engine_type": R.engine_type(text),
-        "price": R.price_text(text),
-        "page_count": F.col("page_count").cast("bigint"),
-        "text_length": F.length(text).cast("bigint"),
+        "upload_date": F.date_format("_time", "yyyy-MM-dd"),
         "features": F.lit(None).cast("string"),
-        "keywords": F.array_join(keywords, ", "),
-        "summary": X.summary_paragraph(text),
         "specifications": F.lit(None).cast("string"),
         "gcs_uri": F.col("uri"),
     }
-    return documents.select(*[values[c].alias(c) for c in EARLIER_COLUMNS])
+    return found.select(*[made.get(c, F.col(c)).alias(c) for c in EARLIER_COLUMNS])
+
+
+def _earlier_findings(models: list[str]) -> list[Column]:
+    text = F.col("full_text")
+    return [
+        R.model_name(text, models).alias("car_model"),
+        R.car_type(text).alias("car_type"),
+        R.engine_type(text).alias("engine_type"),
+        R.price_text(text).alias("price"),
+    ]
+
+
+def _earlier_of_parts(rows: DataFrame, models: list[str]) -> DataFrame:
+    """Findings of documents in parts, merged from what their pieces say."""
+    facts = F.struct("page_count", "_time", "source_type").alias("facts")
+    parts = told_apart(rows.select("uri", "part", "full_text", facts), "uri", "part", "full_text")
+    lines = whole_lines(parts, "_doc", "part", "full_text")
+    pieces = lines.select(
+        "_doc", "part", *_earlier_findings(models), X.long_paragraph(F.col("full_text")).alias("paragraph")
+    )
+
+    def first(name: str, there: Column) -> Column:
+        return F.min_by(name, F.when(there, F.col("part"))).alias(name)
+
+    def best(name: str, kinds: list[str]) -> Column:
+        place = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col(name))
+        return F.min_by(name, F.when(place > 0, place)).alias(name)
+
+    merged = pieces.groupBy("_doc").agg(
+        first("car_model", F.col("car_model") != "UNKNOWN"),
+        best("car_type", R.CAR_TYPES),
+        best("engine_type", R.ENGINE_TYPES),
+        first("price", F.col("price").isNotNull()),
+        first("paragraph", F.col("paragraph").isNotNull()),
+    )
+    top = keyword_topk_of_parts(lines, "_doc", "full_text").groupBy("_doc").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("top")
+    )
+    sizes = parts.groupBy("_doc").agg(
+        F.sum(F.length("full_text").cast("bigint")).alias("text_length"), F.min("facts").alias("facts")
+    )
+    opening = opening_of_parts(parts, X.SUMMARY_FALLBACK)
+    joined = sizes.join(merged, "_doc", "left").join(top, "_doc", "left").join(opening, "_doc", "left")
+    unknown = lambda c: F.coalesce(c, F.lit("UNKNOWN")).alias(c)
+    return joined.select(
+        "_doc.uri", "facts.*", unknown("car_model"), unknown("car_type"), unknown("engine_type"), "price",
+        "text_length",
+        F.array_join(F.coalesce("top.word", F.array().cast("array<string>")), ", ").alias("keywords"),
+        F.coalesce("paragraph", "head", F.lit("")).alias("summary"),
+    )

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from labelmill.operators.skew import running_before
 from labelmill.schema import TOP_MODELS
+from labelmill.session import stored
 
 # Sections of the report, in print order.
 SECTIONS = {
@@ -110,20 +112,37 @@ def earlier_report(records: DataFrame) -> DataFrame:
     )
 
 
+def placed_report(report: DataFrame) -> DataFrame:
+    """A report, stored once, with ``place``: its rows in print order, from 0.
+
+    The total, then the sections; in each values by falling count, ties by value.
+    Places are counted by ranges, so a section may have any number of values.
+    """
+    titles = ["total", *SECTIONS, *EARLIER_SECTIONS]
+    sections = F.create_map(*[F.lit(x) for i, d in enumerate(titles) for x in (d, i)])
+    rows = report.withColumns(
+        {
+            "_section": F.try_element_at(sections, F.col("dimension")),
+            "_falling": -F.col("n"),
+            "_one": F.lit(1).cast("bigint"),
+        }
+    )
+    placed = running_before(rows, [], ["_section", "_falling", "value"], "_one")
+    return stored(placed.select(*report.columns, F.col("_before").alias("place")), "report")
+
+
 def report_lines(
     report: DataFrame, generated_at: str, title: str = "METADATA GENERATION REPORT"
 ) -> Iterator[str]:
     """The report's text line by line, values by falling count.
 
     Takes the present report and the earlier one, whose mean page number goes
-    last. Lines are handed on as partitions of the ordered report arrive; the
+    last, placed or not. Lines are handed on as partitions of the ordered report arrive; the
     driver holds no more than one of them.
     """
     titles = {**SECTIONS, **EARLIER_SECTIONS}
-    place = F.create_map(*[F.lit(x) for i, d in enumerate(["total", *titles]) for x in (d, i)])
-    ordered = report.orderBy(
-        F.try_element_at(place, F.col("dimension")), F.desc("n"), "value"
-    ).toLocalIterator()
+    placed = report if "place" in report.columns else placed_report(report)
+    ordered = placed.orderBy("place").toLocalIterator()
     total = next(ordered, None)
     if total is None or total["dimension"] != "total" or total["n"] == 0:
         yield EMPTY_REPORT

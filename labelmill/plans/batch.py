@@ -12,7 +12,7 @@ from labelmill.operators.assemble import cut_rows
 from labelmill.operators.extraction import Extractor, extract_documents
 from labelmill.operators.labelling import label_documents, rule_labels
 from labelmill.operators.records import metadata_table
-from labelmill.operators.report import distribution_report
+from labelmill.operators.report import distribution_report, placed_report
 from labelmill.operators.routing import select_objects, size_route, split_quarantine, supported_files
 from labelmill.operators.shards import (
     merge_shards,
@@ -77,13 +77,15 @@ def batch_records(
     models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
     partitions: int | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Records of extracted documents ``(uri, part, full_text)``.
 
-    With a ``labeler`` its answers are used, otherwise the text rules.
+    With a ``labeler`` its answers are used, kept at ``store`` if that is
+    given; otherwise the text rules.
     """
     if labeler is not None:
-        return label_documents(documents, labeler, run_date, partitions=partitions)
+        return label_documents(documents, labeler, run_date, partitions=partitions, store=store)
     rules = rule_labels(documents, [] if models is None else models, run_date)
     return rules.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
 
@@ -95,7 +97,7 @@ def finish(records: DataFrame, csv_path: str, failed: DataFrame) -> Outcome:
     """
     table = metadata_table(records)
     written = write_metadata_csv(table, csv_path, mode="overwrite")
-    return Outcome(written, records, failed, distribution_report(table))
+    return Outcome(written, records, failed, placed_report(distribution_report(table)))
 
 
 def _run(
@@ -124,11 +126,10 @@ def _run(
         documents = documents.unionByName(unread, allowMissingColumns=True)
 
     good, failed = split_quarantine(stored(documents, "documents"))
-    write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y%m%d_%H%M%S}")
-    records = stored(
-        batch_records(good, f"{at:%Y-%m-%d}", models, labeler, partitions), "records"
-    )
-    return finish(records, f"{output_path.rstrip('/')}/{csv_name}", failed)
+    folder = output_path.rstrip("/")
+    write_text_sidecar(good, f"{folder}/parsing", f"{at:%Y%m%d_%H%M%S}")
+    labelled = batch_records(good, f"{at:%Y-%m-%d}", models, labeler, partitions, f"{folder}/answers")
+    return finish(stored(labelled, "records"), f"{folder}/{csv_name}", failed)
 
 
 def run_batch(

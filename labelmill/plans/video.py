@@ -88,10 +88,11 @@ def video_records(
     run_date: str,
     models: list[str] | DataFrame | None = None,
     labeler: Callable[[str], str] | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Records of video documents; their file format is ``video``."""
     if labeler is not None:
-        return label_documents(documents, labeler, run_date, source_type="video")
+        return label_documents(documents, labeler, run_date, source_type="video", store=store)
     rules = rule_labels(documents, [] if models is None else models, run_date, source_type="video")
     return rules.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
 
@@ -129,7 +130,7 @@ def run_videos(
     documents = stored(distinct_videos(ids, answers, tracks, lines), "videos")
     good = split_quarantine(documents)[0]
     write_text_sidecar(good, f"{output_path.rstrip('/')}/parsing", f"{at:%Y%m%d_%H%M%S}")
-    labels = stored(video_records(good, f"{at:%Y-%m-%d}", models, labeler), "labels")
+    labels = stored(video_records(good, f"{at:%Y-%m-%d}", models, labeler, f"{output_path.rstrip('/')}/answers"), "labels")
     records = stored(records_of_urls(ids, documents, labels), "records")
     failed = records.filter(F.col("found") != "ok").select(
         "uri", "video_id", F.col("found").alias("status")

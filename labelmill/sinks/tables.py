@@ -7,6 +7,9 @@ from labelmill.operators.records import metadata_table
 
 BYTE_ORDER_MARK = "\ufeff"
 
+# Buckets of a table by URI; about one for each 128 MB it will hold.
+URI_BUCKETS = 64
+
 # A file is read back by one task, since values may hold line breaks.
 ROWS_PER_FILE = 100_000
 
@@ -51,3 +54,16 @@ def write_text_sidecar(documents: DataFrame, path: str, run: str) -> str:
         .parquet(path)
     )
     return path
+
+
+def write_by_uri(rows: DataFrame, name: str, path: str | None = None, buckets: int = URI_BUCKETS) -> None:
+    """Add rows to the table ``name``, bucketed by ``uri``; the table is made if it is not there.
+
+    Only the new rows are dealt; those of earlier runs stay where they are. What
+    is joined to such a table by ``uri`` moves, the table does not. ``path``
+    puts a new table elsewhere than the warehouse.
+    """
+    writer = rows.repartition(buckets, "uri").write.mode("append").format("parquet")
+    if path and not rows.sparkSession.catalog.tableExists(name):
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, "uri").sortBy("uri").saveAsTable(name)

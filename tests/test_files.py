@@ -2,17 +2,18 @@
 
 import json
 import os
+import re
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from labelmill.operators import extraction, report, routing, shards
+from labelmill.operators import extraction, records, report, routing, shards
 from labelmill.plans import batch
 from labelmill.schema import METADATA_COLUMNS, METADATA_SCHEMA
 from labelmill.session import scratch_path
-from labelmill.sinks.tables import write_metadata_csv, write_text_sidecar
+from labelmill.sinks.tables import write_by_uri, write_metadata_csv, write_text_sidecar
 from labelmill.sources import files as sources
 from labelmill.sources.files import below_prefix, list_files, list_objects, read_contents, read_shards
 from labelmill.sources.tables import read_metadata_csv
@@ -257,3 +258,29 @@ def test_run_with_shard_files(spark, tree, tmp_path, monkeypatch):
     assert later.records.count() == 1 and later.quarantine.isEmpty()
     none = batch.run_batch(spark, f"{tree}/sub/b", str(tmp_path / "none"), extraction.plain_text, datetime(2025, 1, 1), shards=found)
     assert [r.status for r in none.quarantine.collect()] == ["no_shards"]
+
+
+def exchanges(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_the_past_is_not_shuffled(spark, tmp_path):
+    """A table by URI: what is added is dealt, what is looked up moves, the table stays."""
+    name = "by_uri_" + tmp_path.name.replace("-", "_")
+    first = spark.range(500).select(F.concat(F.lit("gs://b/"), "id").alias("uri"), F.lit("T").alias("type"))
+    write_by_uri(first, name, str(tmp_path / "table"), buckets=4)
+    write_by_uri(first.select(F.concat("uri", F.lit("x")).alias("uri"), "type"), name, buckets=4)
+    done = spark.table(name)
+    assert done.count() == 1000 and len(list((tmp_path / "table").glob("*.parquet"))) == 8
+    listing = spark.range(1000).select(F.concat(F.lit("gs://b/"), "id").alias("uri")).repartition(3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for split, n in ((routing.pending_files, 500), (routing.already_processed, 500)):
+            rows = split(listing, done)
+            assert len(exchanges(rows)) == 1 and rows.count() == n
+        appended = records.append_records(done, first)
+        assert appended.count() == 1500 and not exchanges(appended)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP TABLE {name}")

@@ -30,6 +30,31 @@ def test_labeler_errors_stay_in_their_row(spark):
         assert got["gs://b/d"].status == "ok" and got["gs://b/d"].file_format == "unknown"
 
 
+def test_answers_are_kept(spark, tmp_path):
+    """A labeler is called once for equal requests, not at all on a rerun, again where it failed."""
+    rows = [(f"gs://b/{i}.pdf", "", f"text {i % 4}") for i in range(40)] + [("gs://b/x.pdf", "", "boom"), ("gs://b/y.pdf", "", None)]
+    docs = spark.createDataFrame(rows, DOC).repartition(5)
+    calls = spark.sparkContext.accumulator(0)
+
+    def labeler(request, broken=True):
+        calls.add(1)
+        if broken and "boom" in request:
+            raise RuntimeError("down")
+        return json.dumps({"metadata": {"type": "T"}, "content_summary": request[-40:]})
+
+    store, found = str(tmp_path / "answers"), []
+    for run, ask in enumerate([labeler, labeler, lambda r: labeler(r, False)]):
+        found.append(sorted(map(tuple, labelling.label_documents(docs, ask, "2024-01-29", store=store).collect()), key=str))
+        assert calls.value == [6, 7, 8][run]
+    plain = labelling.label_documents(docs, lambda r: labeler(r, False), "2024-01-29")
+    assert found[2] == sorted(map(tuple, plain.collect()), key=str)
+    assert found[0] == found[1] and sum(r[-1] is not None for r in found[0]) == 1
+    calls.value = 0
+    new = docs.union(spark.createDataFrame([("gs://b/new.pdf", "", "new")], DOC))
+    assert labelling.label_documents(new, labeler, "2024-01-29", store=store).count() == 43 and calls.value == 1
+    assert spark.read.parquet(store).count() == spark.read.parquet(store).select("digest").distinct().count() == 7
+
+
 def test_request_of_a_document_in_parts(spark):
     parts = [f"{i:04d} " * 3 for i in range(2000)]
     rows = [("gs://b/hot.pdf", f"p{i:05d}", t) for i, t in enumerate(parts)]
@@ -95,6 +120,24 @@ def test_rule_labels_by_a_dictionary(spark):
         assert sorted(labelling.rule_labels(docs, table, "2024-01-29").collect(), key=str) == want
 
 
+@pytest.mark.parametrize("chars", [5, 37, 400])
+def test_earlier_projection_of_parts(spark, chars):
+    """What pieces say is merged to what the whole text would say."""
+    para = "A paragraph that is long enough to be the summary of a document."
+    texts = {
+        "gs://b/1.v2.pdf": f"the cat cat dog\nA sedan\n  hybrid SUV costs 3,000만원 or $5\n{para}\nAurora GT Cirrus electric dog dog\n" + "w1 w2 w3\n" * 40,
+        "gs://b/2.pptx": " \n short\nlines only \n\n$ 7.5 and Cirrus", "gs://b/3.pdf": "", "gs://b/4.pdf": "one " * 30, "gs://b/5.pdf": "\n\n \n",
+    }
+    rows = [(u, t, i, f"2024-01-{i + 1:02}") for i, (u, t) in enumerate(texts.items())]
+    whole = spark.createDataFrame(rows, "uri string, full_text string, page_count int, day string")
+    parted = assemble.cut_rows(whole, "full_text", chars)
+    names, at = ["Aurora", "Aurora GT", "Cirrus"], F.to_timestamp("day")
+    want = records.earlier_projection(whole, names, at).orderBy("gcs_uri").collect()
+    assert parted.count() > whole.count()
+    assert records.earlier_projection(parted, names, at).orderBy("gcs_uri").collect() == want
+    assert (want[0].car_model, want[0].car_type, want[0].engine_type, want[0].price, want[0].summary) == ("Aurora GT", "SUV", "Electric", "3,000만원", para)
+
+
 def test_whole_lines_keep_every_character(spark):
     texts = {"a": ["on", "e\ntw", "o\r", "\nthree", "", " four"], "b": ["", ""], "c": ["\n", "\n"], "d": ["x" * 9, "y" * 9]}
     rows = [(u, f"p{i}", t) for u, parts in texts.items() for i, t in enumerate(parts)]

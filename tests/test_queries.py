@@ -81,7 +81,7 @@ def test_flagship(spark):
     assert df.count() > 0
 
 
-IN_PARTS = ["shard_merge", "transcript_text", "video_document", "video_reference"]
+IN_PARTS = ["shard_merge", "transcript_text", "media_transcript", "video_document", "video_reference"]
 
 
 @pytest.mark.parametrize("chars", [97, 2000])
