@@ -23,11 +23,11 @@ Parser = Callable[[str, int, int], tuple[Span | None, int]]
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 # In the order in which spans that start together are listed.
-KINDS = [*BASE_KINDS, "url", "iban", "account"]
+KINDS = [*BASE_KINDS, "url", "iban", "account", "secret"]
 
 SCHEMES = ["http://", "https://", "ftp://", "mailto:"]
 ACCOUNT_CUES = ["account", "acct", "customer", "passport", "ssn", "user", "login", "konto"]
-ACCOUNT_CUES += ["password", "token", "secret", "api_key", "apikey"]
+ACCOUNT_CUES += ["password", "passwort", "kennwort", "token", "secret", "api_key", "apikey", "api key", "api-key"]
 IBAN_CUE = "iban"
 
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -40,7 +40,16 @@ URL = re.compile(r"[^\s<>\"'`{}|\\^]+")
 ACCOUNT = re.compile(
     r"(?i:[ _-]?(?:number|name|no\.?|nr\.?|id|key))?[ \t]{0,3}[:=#][ \t]{0,3}\"?([A-Za-z0-9][A-Za-z0-9_./+-]{3,}+)"
 )
+# Without a sign of assignment only a number is taken for a value.
+ACCOUNT_NUMBER = re.compile(r"(?i:[ _-]?(?:number|no\.?|nr\.?|id))?[ \t]{1,3}([0-9]++(?:[./-][0-9]++)*+)")
+ACCOUNT_NUMBER_DIGITS = 6
 IBAN = re.compile(r"[ :=#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
+# What secrets of common services begin with, and how they go on.
+SECRETS = {
+    "AKIA": r"[0-9A-Z]{16}", "ASIA": r"[0-9A-Z]{16}", "ghp_": r"[0-9A-Za-z]{36,}", "xoxb-": r"[0-9A-Za-z-]{20,}",
+    "Bearer ": r"[0-9A-Za-z_.~+/-]{20,}=*", "-----BEGIN ": r"(?:[A-Z]+ )*PRIVATE KEY-----",
+}
+SECRET = re.compile("|".join(f"{re.escape(start)}{rest}" for start, rest in SECRETS.items()))
 ALNUM = frozenset(string.ascii_letters + string.digits)
 # Characters of an account number by country, from the register of the standard.
 IBAN_LENGTHS = {
@@ -114,14 +123,14 @@ def _url(text: str, at: int, taken: int) -> tuple[Span | None, int]:
 
 
 def _iban(text: str, at: int, taken: int) -> tuple[Span | None, int]:
-    """Anchor: the end of the cue. Country, check digits, remainder 1 by 97.
+    """Anchor: the end of the cue, or a country code. Check digits, remainder 1 by 97.
 
     What follows may look like another group, so the value is tried at the
     length its country states first, then as far as it goes; without a stated
     length at every end of a group.
     """
     found = IBAN.match(text, at)
-    if not found:
+    if not found or (found.start(1) and text[found.start(1) - 1] in ALNUM):
         return None, at
     start, last = found.span(1)
     places = [i for i in range(start, last) if text[i] != " "]
@@ -141,10 +150,14 @@ def _iban(text: str, at: int, taken: int) -> tuple[Span | None, int]:
 
 
 def _account(text: str, at: int, taken: int) -> tuple[Span | None, int]:
-    """Anchor: the end of the cue. A sign of assignment, then a value with a digit."""
+    """Anchor: the end of the cue. A sign of assignment, then a value with a digit; or a number."""
     found = ACCOUNT.match(text, at)
     if not found:
-        return None, at
+        number = ACCOUNT_NUMBER.match(text, at)
+        if not number or text[number.end() : number.end() + 1] in ALNUM:
+            return None, at
+        digits = sum("0" <= c <= "9" for c in number.group(1))
+        return (number.span(1) if digits >= ACCOUNT_NUMBER_DIGITS else None), number.end()
     start, end = found.span(1)
     while text[end - 1] in "./+-":
         end -= 1
@@ -152,6 +165,14 @@ def _account(text: str, at: int, taken: int) -> tuple[Span | None, int]:
     return ((start, end) if fits else None), found.end()
 
 
+def _secret(text: str, at: int, taken: int) -> tuple[Span | None, int]:
+    """Anchor: what secrets of a service begin with. As many characters as they have."""
+    found = SECRET.match(text, at)
+    if not found or (at and text[at - 1] in ALNUM) or text[found.end() : found.end() + 1] in ALNUM:
+        return None, at
+    return found.span(), found.end()
+
+
 # Kind, parser, and whether it starts where the anchor starts or where it ends.
 PARSERS: dict[str, list[tuple[str, Parser, bool]]] = {
     "at": [("email", _email, True)],
@@ -159,7 +180,9 @@ PARSERS: dict[str, list[tuple[str, Parser, bool]]] = {
     "plus": [("phone", _phone, True)],
     "scheme": [("url", _url, True)],
     "iban": [("iban", _iban, False)],
+    "country": [("iban", _iban, True)],
     "cue": [("account", _account, False)],
+    "start": [("secret", _secret, True)],
 }
 
 
@@ -169,6 +192,8 @@ def anchors() -> ahocorasick.Automaton:
     words = [("@", "at")]
     words += [(d, "digit") for d in string.digits]
     words += [(f"+{d}", "plus") for d in string.digits]
+    words += [(country, "country") for country in IBAN_LENGTHS]
+    words += [(start, "start") for start in SECRETS]
     for kind, names in (("scheme", SCHEMES), ("iban", [IBAN_CUE]), ("cue", ACCOUNT_CUES)):
         for name in names:
             words += [(w, kind) for w in (name, name.capitalize(), name.upper())]
