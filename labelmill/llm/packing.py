@@ -14,7 +14,6 @@ import bisect
 import heapq
 import json
 import os
-import re
 import sys
 import types
 import zlib
@@ -24,7 +23,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,14 +32,12 @@ from labelmill.session import stored
 SEQUENCE = 2048
 END_ID = 1
 
-# Words whose ids a Python worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 20, 40
+# Characters of a word, or of white space beside the gaps, beyond which a text is
+# left to ``tokenizers``, whose work stays linear in them.
+LONG_WORD = 500
 # Rows of ranks that may be broadcast, once counted; 16 bytes each.
 BROADCAST_ROWS = 500_000
-# Words of letters encoded in one string.
-TOGETHER = 20
-# Bytes of text handled, and tokens of pieces handed on, at a time.
-SLICE_BYTES = 4_000_000
+# Tokens handed on at a time.
 SLICE_TOKENS = 4_000_000
 
 _TOKENS = "doc_id long, part long, n long, rest int, rest_no long, full_no long, ids binary"
@@ -53,129 +49,93 @@ _PIECES = (
 
 # --- tokens ------------------------------------------------------------------------
 
-# A text may be cut before a blank or line break that a visible character
-# follows: the tokenizer's own rule ends a word there. If no blank is followed
-# by white space, that is at every blank.
-CUT = re.compile(r"(?=[ \n]\S)")
-BLANK_PAIRS = [" " + c for c in " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"]
-WIDE_PAIRS = [" " + c for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"]
-WIDE_PAIRS += [" " + chr(c) for c in range(0x2000, 0x200B)]
-# Marks at the end of a word are words of their own for the tokenizer, as long
-# as a letter or digit stands before them.
-MARKS = ",.;:!?|&$%*#\n"
+# How a byte-level tokenizer parts a text into words.
+WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Latin, Greek and Cyrillic letters end here; further on, what counts as a letter
+# depends on the version of Unicode.
+PLAIN_BELOW = "\u0530"
 
 
-def cuts_at_blanks(source: str) -> bool:
-    """Whether a tokenizer file says byte-level BPE with the usual rule for words."""
+def byte_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: itself if it shows."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def merge_ranks(source: str) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Byte strings with their ids, and special tokens, of a byte-level BPE file.
+
+    Only if ids say the order of the merges and words are parted by ``WORDS``;
+    else None.
+    """
     said = json.loads(source)
     before, model = said["pre_tokenizer"] or {}, said["model"]
-    return (
+    usual = (
         said["normalizer"] is None
         and said["post_processor"] is None
         and (before.get("type"), before.get("use_regex"), before.get("add_prefix_space")) == ("ByteLevel", True, False)
         and model.get("type") == "BPE"
         and not any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback", "unk_token"))
         and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix"))
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in said["added_tokens"])
     )
+    if not usual:
+        return None
+    letters, vocabulary = byte_letters(), model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [vocabulary.get(a + b, -1) for a, b in pairs]
+    special = {t["content"]: t["id"] for t in said["added_tokens"]}
+    whole = {token: n for token, n in vocabulary.items() if token not in special}
+    singles = sorted(n for token, n in whole.items() if len(token) == 1)
+    if made != sorted(made) or singles != list(range(256)) or len(whole) != 256 + len(made):
+        return None
+    return {bytes(letters[c] for c in token): n for token, n in whole.items()}, special
 
 
 class Ids:
-    """Ids of texts, as bytes, by words where the tokenizer's rule for words is known.
+    """The ids of whole texts, as bytes.
 
-    Words met before are looked up; the new ones of some texts are encoded
-    together, words of letters alone many at a time with line breaks between.
-    All are forgotten when there are too many.
+    They are those of ``tokenizers``. Where the file is byte-level BPE of the
+    usual kind, plain texts go through the same merges in ``tiktoken``, which
+    gives the same ids in less time; all other texts and files do not.
     """
 
     def __init__(self, source: str, kind: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer, self.kind = Tokenizer.from_str(source), kind
-        self.by_words = cuts_at_blanks(source)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain: dict[str, bytes] = {}
-        self.after_blank: dict[str, bytes] = {}
-        if self.by_words:
-            (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-            self.of_letters = Tokenizer.from_str(source)
-            lines = pre_tokenizers.Split("\n", "isolated")
-            letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            self.of_letters.pre_tokenizer = pre_tokenizers.Sequence([lines, letters])
+        self.source, self.kind, self.slow, self.fast = source, kind, None, None
+        ranks = merge_ranks(source)
+        if ranks:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding(
+                "of-file", pat_str=WORDS, mergeable_ranks=ranks[0], special_tokens=ranks[1]
+            )
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def words(self, text: str) -> tuple[list[str], list[str]] | None:
-        """Words as they stand, and those that follow, each after a blank.
-
-        None for a text that is not cut: a special token in it ends words too.
-        """
-        if not self.by_words or any(token in text for token in self.special):
-            return None
-        pairs = BLANK_PAIRS if text.isascii() else BLANK_PAIRS + WIDE_PAIRS
-        if any(pair in text for pair in pairs):
-            return CUT.split(text), []
-        first, *others = text.split(" ")
-        return [first], others
-
-    def letters(self, words: list[str]) -> Iterator[bytes]:
-        """The ids of words of letters, maybe behind a blank: one word each for the tokenizer."""
-        joined = ["\n".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
-        for found in self.of_letters.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(found.ids, self.kind)
-            ends = np.flatnonzero(ids == self.line_break)
-            data, width = ids.tobytes(), ids.itemsize
-            starts = [0, *((ends + 1) * width).tolist()]
-            yield from (data[a:b] for a, b in zip(starts, [*(ends * width).tolist(), len(data)]))
-
-    def learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        """Make words known that are not."""
-        letters, stems, others = set(), [], {}
-        for word in words:
-            if word.isalpha():
-                letters.add(lead + word)
-                continue
-            stem = word.rstrip(MARKS)
-            if stem.isalpha() and len(stem) < len(word):
-                letters.add(lead + stem)
-                others[word[len(stem) :]] = None
-                stems.append((word, stem))
-            else:
-                others[lead + word] = None
-        listed = list(letters)
-        found = dict(zip(listed, self.letters(listed)))
-        encoded = self.tokenizer.encode_batch_fast(list(others), add_special_tokens=False)
-        found.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(others, encoded))
-        composed = {word: found[lead + stem] + found[word[len(stem) :]] for word, stem in stems}
-        known.update((w, composed[w] if w in composed else found[lead + w]) for w in words)
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of whole texts."""
-        parted = [self.words(text) for text in texts]
-        long: list[tuple[dict, str]] = []
-        for known, lead, place in ((self.plain, "", 0), (self.after_blank, " ", 1)):
-            new: set[str] = set()
-            for found in parted:
-                if found:
-                    new.update(set(found[place]).difference(known))
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set().union(*(found[place] for found in parted if found))
-            if new:
-                self.learn(known, new, lead)
-            long += [(known, word) for word in new if len(word) > REMEMBERED_LENGTH]
-        plain, after_blank = self.plain.__getitem__, self.after_blank.__getitem__
-        out = [
-            b"".join([*map(plain, found[0]), *map(after_blank, found[1])]) if found else self.whole(text)
-            for text, found in zip(texts, parted)
-        ]
-        for known, word in long:
-            del known[word]
-        return out
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_str(self.source)
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def of(self, text: str) -> bytes:
+        if self.fast is None or not is_plain(text):
+            return self.whole(text)
+        return self.fast.encode_to_numpy(text, allowed_special="all").astype(self.kind).tobytes()
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text has letters of old alphabets only and no word or gap of great length."""
+    if not text.isascii() and max(text) >= PLAIN_BELOW:
+        return False
+    words = text.split()
+    lengths = list(map(len, words))
+    gaps = len(text) - sum(lengths) - len(words)
+    return max(lengths, default=0) <= LONG_WORD and gaps <= LONG_WORD
 
 
 def ids_by(name: str, source: str, kind: str) -> Ids:
-    """The tokenizer of this process; a worker keeps it, and its words, from task to task."""
+    """The tokenizer of this process; a worker keeps it from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     kept = sys.modules.setdefault("_tokenizers_of_worker", types.ModuleType("_tokenizers_of_worker"))
     held = kept.__dict__.setdefault("held", {})
@@ -184,18 +144,6 @@ def ids_by(name: str, source: str, kind: str) -> Ids:
     return held[name, kind]
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about so many bytes; a longer text is one alone."""
-    start, held = 0, 0
-    for row, size in enumerate(pc.binary_length(batch["text"]).fill_null(0).to_pylist()):
-        held += size
-        if held >= SLICE_BYTES:
-            yield batch.slice(start, row + 1 - start)
-            start, held = row + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def tokenised(
     docs: DataFrame, tokenizer: str, id_column: str, text_column: str, size: int, end_id: int
 ) -> DataFrame:
@@ -221,17 +169,21 @@ def tokenised(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_by(checksum, sent.value, kind)
         part, of_length, fulls = TaskContext.get().partitionId(), defaultdict(int), 0
+        rows, waiting = [], 0
         for batch in batches:
-            for piece in slices(batch):
-                rows = []
-                texts = [t or "" for t in piece["text"].to_pylist()]
-                for doc_id, found in zip(piece["doc_id"].to_pylist(), ids.of(texts)):
-                    n = len(found) // width + 1
-                    rest = n % size
-                    rows.append((doc_id, part, n, rest, of_length[rest], fulls, found + end))
-                    of_length[rest] += 1
-                    fulls += n // size
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                found = ids.of(text.as_py() or "") + end
+                n = len(found) // width
+                rest = n % size
+                rows.append((doc_id.as_py(), part, n, rest, of_length[rest], fulls, found))
+                of_length[rest] += 1
+                fulls += n // size
+                waiting += n
+                if waiting >= SLICE_TOKENS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    rows, waiting = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     given = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")

@@ -28,38 +28,60 @@ PARTS = [
 GAPS = [" ", "  ", "   ", "\n", " \n", "\n ", "\n\n  ", "\t ", " \xa0", "\xa0 ", "　", "", "\r\n", " \x1c", "\x85 "]
 
 
-def test_ids_of_parts_are_those_of_the_text(tokenizer):
-    ids = packing.Ids(open(PATH, encoding="utf-8").read(), "<u2")
-    rng, texts = random.Random(1), []
+def source():
+    with open(PATH, encoding="utf-8") as file:
+        return file.read()
+
+
+def same_ids(ids, tokenizer, text):
+    return np.frombuffer(ids.of(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_those_of_the_tokenizer(tokenizer):
+    ids = packing.Ids(source(), "<u2")
+    rng = random.Random(1)
+    plain = 0
     for k in range(3000):
         gaps = GAPS if k % 3 else [" "]
         text = "".join(rng.choice(PARTS) + rng.choice(gaps) for _ in range(rng.randint(0, 25)))
         text = text.strip() if k % 2 else rng.choice(GAPS) + text
-        texts.append(text)
-    for text, got in zip(texts, ids.of(texts[:1000]) + ids.of(texts[1000:])):
-        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        plain += packing.is_plain(text)
+        assert same_ids(ids, tokenizer, text), repr(text)
+    assert 500 < plain < 2900
+
+
+def test_every_plain_character(tokenizer):
+    """Each beside letters, digits, marks and blanks, so that all its kinds of words occur."""
+    ids = packing.Ids(source(), "<u2")
+    for code in range(ord(packing.PLAIN_BELOW)):
+        c = chr(code)
+        text = f"a{c} {c}b{c}{c} 1{c}2 .{c}, {c} '{c}s\n{c}"
+        assert packing.is_plain(text) and same_ids(ids, tokenizer, text), hex(code)
+
+
+def test_texts_of_the_table(spark, sf_dir, tokenizer):
+    ids = packing.Ids(source(), "<u2")
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert all(same_ids(ids, tokenizer, text) for text in texts)
+    assert sum(map(packing.is_plain, texts)) > 0.9 * len(texts)
+
+
+@pytest.mark.parametrize("text", ["x" * 200_000, " " * 200_000 + "x", "\n" * 3000 + "a" * 501, "ab" * 251])
+def test_long_words_and_gaps(tokenizer, text):
+    assert not packing.is_plain(text) and same_ids(packing.Ids(source(), "<u2"), tokenizer, text)
 
 
-def test_other_tokenizers_are_not_cut():
+def test_other_tokenizers(spark):
     """A file with another rule for words: lower case, white space dropped."""
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
     other = Tokenizer.from_file(path)
-    ids = packing.Ids(open(path, encoding="utf-8").read(), "<u2")
+    with open(path, encoding="utf-8") as file:
+        ids = packing.Ids(file.read(), "<u2")
+    assert ids.fast is None
     for text in ("Some  Words, and more.\n", "", "it's ÄÖ 123"):
-        assert np.frombuffer(ids.of([text])[0], "<u2").tolist() == other.encode(text, add_special_tokens=False).ids
-
-
-def test_words_are_forgotten(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 5)
-    ids = packing.Ids(open(PATH, encoding="utf-8").read(), "<u4")
-    text = " ".join(f"word{i}, word{i % 7}." for i in range(300))
-    for _ in range(2):
-        (got,) = ids.of([text])
-        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-        assert ids.of(["x" * 50, "y"])[0] == ids.of(["x" * 50])[0]
-        assert len(ids.after_blank) <= 310 and len(ids.plain) <= 6 and "x" * 50 not in ids.plain
+        assert same_ids(ids, other, text)
 
 
 def single_packs(histogram, size):
