@@ -86,11 +86,14 @@ def running_before(rows: DataFrame, keys: list[str], order: list[str], value: st
     )
     held = ranged.groupBy("_range", *keys).agg(F.sum(value).alias("_held"))
     ranges = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    first = held.select("_range", *keys, F.coalesce(F.sum("_held").over(ranges), F.lit(0)).alias("_first"))
+    # In a struct a null key equals itself.
+    key = F.struct("_range", *keys).alias("_key")
+    first = held.select(key, F.coalesce(F.sum("_held").over(ranges), F.lit(0)).alias("_first"))
     inside = W.partitionBy("_range", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     within = ranged.withColumn("_within", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return (
-        within.join(first, ["_range", *keys])
+        within.withColumn("_key", key)
+        .join(first, "_key")
         .withColumn("_before", F.col("_first") + F.col("_within"))
-        .drop("_range", "_first", "_within")
+        .drop("_key", "_range", "_first", "_within")
     )

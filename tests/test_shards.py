@@ -155,7 +155,7 @@ def test_running_sums_over_ranges(spark, monkeypatch, ranges):
     spark.conf.set("spark.sql.shuffle.partitions", ranges)
     try:
         rng = random.Random(5)
-        rows = [(i, "hot" if i % 3 else f"k{i % 5}", rng.randrange(50), rng.randrange(9)) for i in range(400)]
+        rows = [(i, "hot" if i % 3 else f"k{i % 5}" if i % 2 else None, rng.randrange(50), rng.randrange(9)) for i in range(400)]
         frame = spark.createDataFrame(rows, "i long, k string, o long, n long").repartition(4)
         got = {r.i: r._before for r in skew.running_before(frame, ["k"], ["o", "i"], "n").collect()}
     finally:
