@@ -42,23 +42,27 @@ def _words(text: Column, words: Column | int, before: Column | int) -> Column:
     ``ahead`` reaches over so many words, ``behind`` over so many characters.
     """
 
-    def listed(parts: Column) -> Column:
-        found, gaps = parts["found"], parts["gaps"]
-        both = F.arrays_zip(found.alias("w"), gaps.alias("g"))
-        joined = F.transform(both, lambda p: F.concat(p["w"], p["g"]))
-        front = F.regexp_extract(parts["text"], r"^([^\p{L}\p{N}]*+)", 1)
+    def prepared(parts: Column) -> Column:
+        both = F.arrays_zip(parts["found"].alias("w"), parts["gaps"].alias("g"))
+        return F.struct(
+            parts["found"].alias("found"),
+            parts["gaps"].alias("gaps"),
+            F.transform(both, lambda p: F.concat(p["w"], p["g"])).alias("joined"),
+            F.regexp_extract(parts["text"], r"^([^\p{L}\p{N}]*+)", 1).alias("front"),
+        )
 
+    def listed(parts: Column) -> Column:
         def word(w: Column, i: Column) -> Column:
-            gap = F.when(i == 0, front).otherwise(F.get(gaps, i - 1))
+            gap = F.when(i == 0, parts["front"]).otherwise(F.get(parts["gaps"], i - 1))
             return F.struct(
                 i.alias("at"),
                 w.alias("word"),
-                F.array_join(F.slice(joined, i + 1, words), "").alias("ahead"),
+                F.array_join(F.slice(parts["joined"], i + 1, words), "").alias("ahead"),
                 F.right(gap, F.lit(before)).alias("behind"),
                 ((i == 0) & (F.length(gap) <= before)).alias("opens"),
             )
 
-        return F.transform(found, word)
+        return F.transform(parts["found"], word)
 
     lowered = F.lower(text)
     parts = F.struct(
@@ -66,7 +70,8 @@ def _words(text: Column, words: Column | int, before: Column | int) -> Column:
         F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(1)).alias("found"),
         F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(2)).alias("gaps"),
     )
-    return let(parts, lambda p: let(p, listed))
+    # Named before they are used for every word, so each is made once per text.
+    return let(let(parts, prepared), listed)
 
 
 def first_names(documents: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:

@@ -58,6 +58,14 @@ def test_odd_names(spark):
     assert R.recognise(docs.limit(0), "i", "t", table(spark, ["a"])).count() == 0
 
 
+def test_long_text_in_linear_time(spark):
+    text = "word " * 200_000 + "nimbus gt"
+    docs = spark.createDataFrame([(1, text)], "i long, t string")
+    begin = time.perf_counter()
+    assert R.recognise(docs, "i", "t", table(spark, NAMES)).first().model == "Nimbus GT"
+    assert time.perf_counter() - begin < 60
+
+
 def test_many_names_cost_no_more_than_few(spark):
     """A hundred thousand names: found by their words, no pattern holds them."""
     many = [f"name{i} of {i % 7}" for i in range(100_000)]
