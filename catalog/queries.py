@@ -544,8 +544,9 @@ def _videos(spark, sf_dir):
 
 @query
 def video_document(spark, sf_dir):
-    """The text of every video behind a URL, once."""
-    return _videos(spark, sf_dir)[1].select("video_id", "part", "start", "full_text", "status")
+    """The text that every URL leads to; URLs without one keep a status row."""
+    ids, documents = _videos(spark, sf_dir)
+    return video_plan.documents_of_urls(ids, stored(documents, "videos"))
 
 
 @query

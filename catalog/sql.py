@@ -412,8 +412,8 @@ def texts_in_parts(chars: int) -> dict[str, str]:
                 ELSE 'missing_segment' END AS status FROM segments GROUP BY uri),
           parts AS ({_in_parts("media", "full_text", chars)})
           SELECT uri, part, start, full_text, segments, spoken_ms, status FROM parts""",
-        "video_document": f"""{VIDEOS}, parts AS ({_in_parts("documents", "full_text", chars)})
-          SELECT video_id, part, start, full_text, status FROM parts""",
+        "video_document": f"""{VIDEOS}, parts AS ({_in_parts("videos", "full_text", chars)})
+          SELECT uri, video_id, part, start, full_text, status FROM parts""",
         "video_reference": f"""{VIDEOS} SELECT url AS uri, ids.video_id,
             CASE WHEN documents.video_id IS NOT NULL THEN greatest(1, ceil(length(full_text) / {chars}))::BIGINT END AS parts,
             length(full_text) AS chars,

@@ -23,8 +23,8 @@ from labelmill.session import configure, stored
 from labelmill.sinks.tables import write_text_sidecar
 
 
-# Bytes of a joined row: 13 columns with a summary, or a reference to a text.
-RECORD_BYTES, REFERENCE_BYTES = 4_000, 200
+# Bytes of a joined row: 13 columns with a summary, a reference to a text, or a part of one.
+RECORD_BYTES, REFERENCE_BYTES, PART_BYTES = 4_000, 200, PART_CHARS
 
 
 def video_ids(urls: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def distinct_videos(
 
 
 def of_urls(ids: DataFrame, rows: DataFrame, row_bytes: int = RECORD_BYTES) -> DataFrame:
-    """Rows ``(video_id, status, ...)`` of videos, one each, for each URL of ``ids``.
+    """Rows ``(video_id, status, ...)`` of videos for each URL of ``ids``.
 
     A URL without a video and a video without an answer keep a status row.
     """
@@ -83,6 +83,23 @@ def references_of_urls(ids: DataFrame, documents: DataFrame) -> DataFrame:
     return of_urls(ids, known, REFERENCE_BYTES).select("uri", "video_id", "parts", "chars", "status")
 
 
+def documents_of_urls(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(uri, video_id, part, start, full_text, status)``: the text that each URL leads to.
+
+    A URL without a video and a video without an answer keep a status row. URLs
+    get the places of the parts first, and then each part by a key of its own,
+    so neither a long text nor a video behind most URLs meets in one task.
+    """
+    place = ["video_id", "part", "start", "status"]
+    key = F.struct(*place).alias("_key")
+    placed = of_urls(ids, documents.select(*place).distinct(), REFERENCE_BYTES).select("*", key)
+    held = placed.filter("part IS NOT NULL")
+    texts = join_hot(held, documents.select(key, "full_text"), "_key", F.col("uri"), PART_BYTES)
+    without = placed.filter("part IS NULL").withColumns({"part": F.lit(""), "start": F.lit(0).cast("bigint")})
+    both = texts.unionByName(without, allowMissingColumns=True)
+    return both.select("uri", "video_id", "part", "start", "full_text", "status")
+
+
 def video_records(
     documents: DataFrame,
     run_date: str,

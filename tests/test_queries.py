@@ -93,6 +93,16 @@ def test_query_matches_sql_in_short_parts(spark, sf_dir, duck, monkeypatch, name
     test_query_matches_sql(spark, sf_dir, duck, name)
 
 
+def test_every_url_has_its_document(spark, sf_dir, monkeypatch):
+    """Pages that are no video and videos without an answer too."""
+    monkeypatch.setattr(catalog, "PART_CHARS", 97)
+    urls = sorted(r.url for r in catalog.I.video_urls(spark, sf_dir).collect())
+    rows = QUERIES["video_document"](spark, sf_dir).collect()
+    assert sorted(r.uri for r in rows if r.start == 0) == urls
+    assert {r.status for r in rows} == {"ok", "not_a_video", "video_not_found"}
+    assert all((r.full_text is None) == (r.status != "ok") for r in rows) and len(rows) > len(urls)
+
+
 def test_large_transcript_in_parts(spark, sf_dir, monkeypatch):
     """One track of 18 MiB; no task holds more than one part of it."""
     n = 180
