@@ -1,8 +1,7 @@
 """Documents to labels: by text rules, or by a function the caller brings."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,30 +45,28 @@ def ask_labeler(
 ) -> DataFrame:
     """Add ``response`` and ``error`` by calling ``labeler`` once per request.
 
-    Calls run in Python workers, one Arrow batch at a time. A call that fails
-    costs its own row only: its response is null and ``error`` says why.
-    ``partitions`` spreads the calls when the input has too few partitions.
+    Calls run in Python workers. These are sent the requests alone, a hundred at
+    a time: a worker's memory depends neither on the rows of its task nor on
+    the Arrow batches of the session. A call that fails costs its own row only:
+    its response is null and ``error`` says why. ``partitions`` spreads the
+    calls when the input has too few partitions.
     """
     if partitions:
         requests = requests.repartition(partitions)
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            responses, errors = [], []
-            for request in batch["request"]:
-                try:
-                    response, error = labeler(request), None
-                    if not isinstance(response, str):
-                        raise TypeError(f"labeler returned {type(response).__name__}")
-                except Exception as e:  # one bad document must not stop the others
-                    response, error = None, f"{type(e).__name__}: {e}"
-                responses.append(response)
-                errors.append(error)
-            yield batch[["uri", "file_format"]].assign(response=responses, error=errors)
-
-    return requests.select("uri", "file_format", "request").mapInPandas(
-        call, "uri STRING, file_format STRING, response STRING, error STRING"
-    )
+    def call(request: str) -> tuple[str | None, str | None]:
+        try:
+            response = labeler(request)
+            if not isinstance(response, str):
+                raise TypeError(f"labeler returned {type(response).__name__}")
+            return str.__str__(response), None  # subclasses of str have no place in a row
+        except Exception as e:  # one bad document must not stop the others
+            return None, f"{type(e).__name__}: {e}"
+
+    # Not deterministic, so that no step of a plan repeats or moves the calls.
+    ask = F.udf(call, "response STRING, error STRING", useArrow=False).asNondeterministic()
+    asked = requests.select("uri", "file_format", ask("request").alias("_answer"))
+    return asked.select("uri", "file_format", "_answer.response", "_answer.error")
 
 
 def answers_in(spark: SparkSession, store: str) -> DataFrame:

@@ -30,6 +30,23 @@ def test_labeler_errors_stay_in_their_row(spark):
         assert got["gs://b/d"].status == "ok" and got["gs://b/d"].file_format == "unknown"
 
 
+def test_a_request_is_sent_once_whatever_is_asked_of_its_answer(spark):
+    docs = spark.createDataFrame([(f"gs://b/{i}.pdf", "", f"text {i}") for i in range(300)], DOC).repartition(3)
+    calls = spark.sparkContext.accumulator(0)
+
+    class Answer(str):
+        pass
+
+    def labeler(request):
+        calls.add(1)
+        if "text 7" in request:
+            raise RuntimeError("down")
+        return Answer(json.dumps({"metadata": {"type": "T"}, "content_summary": request[-9:]}))
+
+    got = labelling.label_documents(docs, labeler, "2024-01-29").filter("status = 'ok' AND type = 'T'")
+    assert got.select("uri", "content_summary", "error").distinct().count() == 289 and calls.value == 300
+
+
 def test_answers_are_kept(spark, tmp_path):
     """A labeler is called once for equal requests, not at all on a rerun, again where it failed."""
     rows = [(f"gs://b/{i}.pdf", "", f"text {i % 4}") for i in range(40)] + [("gs://b/x.pdf", "", "boom"), ("gs://b/y.pdf", "", None)]
