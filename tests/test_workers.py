@@ -56,7 +56,7 @@ print((pages(6000, stores[1]) - few) * 4096 // 2**20)
 """
 
 
-@pytest.mark.parametrize("stored", [True])
+@pytest.mark.parametrize("stored", [True, False])
 def test_labelling_holds_few_requests(tmp_path, stored):
     """A worker with 6,000 requests, 60 MB, takes little more memory than one with ten."""
     stores = [str(tmp_path / s) if stored else None for s in ("few", "many")]
